@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+CANONICAL = r"\A[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\z"
+DIGITS = r"\A[0-9a-f]{32}\z"
+
 
 def _hyphenated(hex32: Column) -> Column:
-    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    return F.concat_ws("-", *[F.substring(hex32, start, size) for start, size in cuts])
+    cuts = [F.substring(hex32, start, size) for start, size in ((9, 4), (13, 4), (17, 4), (21, 12))]
+    parts = [F.substring(hex32, 1, 8)]
+    for cut in cuts:
+        parts += [F.lit("-"), cut]
+    return F.concat(*parts)
 
 
 def canonical_uuid(text: Column) -> Column:
@@ -19,7 +25,7 @@ def canonical_uuid(text: Column) -> Column:
     """
     bare = F.replace(F.replace(text, F.lit("urn:"), F.lit("")), F.lit("uuid:"), F.lit(""))
     digits = F.lower(F.replace(F.btrim(bare, F.lit("{}")), F.lit("-"), F.lit("")))
-    return F.when(digits.rlike(r"\A[0-9a-f]{32}\z"), _hyphenated(digits))
+    return F.when(text.rlike(CANONICAL), text).when(digits.rlike(DIGITS), _hyphenated(digits))
 
 
 def derived_uuid(namespace: str, ident: Column) -> Column:

@@ -7,15 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.functions.ids import canonical_uuid
 from tillstream.functions.isotime import iso_text
 
 # A mapper turns a table into the list of its document fields; "id" is required.
 Mapper = Callable[[DataFrame], list[Column]]
 
 
-def _uuid(column: str, name: str | None = None) -> Column:
-    return canonical_uuid(F.col(column)).alias(name or column)
+def _id(key: str) -> Column:
+    """The key as text. A plain rename: the documents stay partitioned by it."""
+    return F.col(key).cast("string").alias("id")
+
+
+def _reference(key: str) -> Column:
+    return F.col(key).cast("string").alias(key)
 
 
 def _number(column: str) -> Column:
@@ -29,21 +33,21 @@ def _moment(column: str) -> Column:
 
 def product_fields(_: DataFrame) -> list[Column]:
     plain = [F.col(c) for c in ("category", "description", "stock")]
-    return [_uuid("product_id", "id"), F.col("title"), _number("price"), *plain]
+    return [_id("product_id"), F.col("title"), _number("price"), *plain]
 
 
 def customer_fields(_: DataFrame) -> list[Column]:
     plain = [F.col(c) for c in ("name", "email", "location", "loyalty_status")]
-    return [_uuid("customer_id", "id"), _moment("signup_date"), *plain]
+    return [_id("customer_id"), _moment("signup_date"), *plain]
 
 
 def order_fields(_: DataFrame) -> list[Column]:
-    keys = [_uuid("order_id", "id"), _uuid("customer_id"), _uuid("product_id")]
+    keys = [_id("order_id"), _reference("customer_id"), _reference("product_id")]
     return [*keys, _moment("order_date"), F.col("quantity"), F.col("status")]
 
 
 def transaction_fields(_: DataFrame) -> list[Column]:
-    keys = [_uuid("transaction_id", "id"), _uuid("order_id")]
+    keys = [_id("transaction_id"), _reference("order_id")]
     paid = [F.col("payment_method"), _moment("payment_date"), _number("amount")]
     return [*keys, *paid, F.col("status")]
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GROUP_DIGITS = 3  # at most 16 ** 3 groups, whatever the size of the table
+GROUP_DIGITS = 4  # at most 16 ** 4 groups, whatever the size of the table
 
 
 def with_ordinal(rows: DataFrame, keys: Sequence[str], name: str = "ordinal") -> DataFrame:

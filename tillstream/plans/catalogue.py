@@ -43,6 +43,7 @@ from tillstream.sources.generate import (
 )
 from tillstream.sources.keyed import Store
 from tillstream.sources.topics import (
+    Delivery,
     folder_writer,
     publish,
     read_folder,
@@ -84,11 +85,20 @@ def naive(frame: DataFrame) -> DataFrame:
     return frame.withColumns(local) if local else frame
 
 
-def open_store(spark: SparkSession, label: str) -> Store:
-    """A store of its own for one run of a query."""
+def _count(spark: SparkSession, folder: str, table: str) -> int:
+    return load(spark, folder, table).count()
+
+
+def open_store(spark: SparkSession, label: str, rows: int) -> Store:
+    """A store of its own for one run of a query, laid out for so many rows."""
     folder = fresh_folder(spark, label)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return Store(spark, folder.rsplit("/", 1)[1].replace("-", "_"), folder, buckets).ensure()
+    database = folder.rsplit("/", 1)[1].replace("-", "_")
+    return Store(spark, database, folder, buckets_for(rows)).ensure()
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets of about a million rows; a power of two, to divide evenly."""
+    return min(65_536, max(8, 1 << (rows // 1_000_000).bit_length()))
 
 
 # --- parsing and transforms -------------------------------------------------
@@ -209,7 +219,7 @@ def filter_then_merge_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def keyed_tables_contents(spark: SparkSession, folder: str) -> DataFrame:
     """Declare the tables twice, load each entity twice, and read it back."""
-    store = open_store(spark, "declared").ensure()
+    store = open_store(spark, "declared", _count(spark, folder, "orders")).ensure()
     parts = []
     for name, entity in ENTITIES.items():
         for offset in (0, 1):
@@ -267,24 +277,33 @@ def stream_restart_no_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return stream_filter_append(spark, folder, runs=2)
 
 
-def _published(spark: SparkSession, folder: str) -> str:
-    """The four entities as topics, with two kinds of noise: a tombstone per
-    customer, and a topic that belongs to no entity."""
+def _publish_entities(spark: SparkSession, folder: str) -> str:
+    """The four entities as topics."""
     place = fresh_folder(spark, "topics")
-    out = folder_writer(place)
     for name, entity in ENTITIES.items():
-        publish(to_messages(VIEWS[name](spark, folder), entity.topic), out)
-    nothing = F.lit(None).cast("string")
-    customers = VIEWS["customers"](spark, folder)
-    publish(to_messages(customers, CUSTOMERS.topic, value=nothing), out)
-    events = load(spark, folder, "events")
-    publish(to_messages(events, "ecommerce-events", value=F.col("props")), out)
+        _sent(publish(VIEWS[name](spark, folder), entity.topic, folder_writer(place)))
     return place
 
 
+def _published(spark: SparkSession, folder: str) -> str:
+    """The topics with two kinds of noise: a tombstone per customer, and a topic
+    that belongs to no entity."""
+    place = _publish_entities(spark, folder)
+    write, nothing = folder_writer(place), F.lit(None).cast("string")
+    customers, events = load(spark, folder, "customer"), load(spark, folder, "events")
+    _sent(publish(customers, CUSTOMERS.topic, write, value=nothing))
+    _sent(publish(events, "ecommerce-events", write, value=F.col("props")))
+    return place
+
+
+def _sent(delivery: Delivery) -> None:
+    if delivery.error:
+        raise RuntimeError(delivery.error)
+
+
 def four_streams(spark: SparkSession, folder: str) -> DataFrame:
     """One stream per topic into transformed tables."""
-    place, store = _published(spark, folder), open_store(spark, "streams")
+    place, store = _published(spark, folder), open_store(spark, "streams", _count(spark, folder, "orders"))
     sources = {n: stream_folder(spark, place, e.topic) for n, e in ENTITIES.items()}
     wait_all(start_all(sources, store, f"{store.folder}/checkpoints", trigger=ALL_AVAILABLE))
     taxed = {"products": F.col("price_with_tax")}
@@ -303,7 +322,7 @@ def four_streams(spark: SparkSession, folder: str) -> DataFrame:
 
 def route_by_topic(spark: SparkSession, folder: str) -> DataFrame:
     """One stream over all topics into raw tables and dead letters."""
-    place, store = _published(spark, folder), open_store(spark, "routed")
+    place, store = _published(spark, folder), open_store(spark, "routed", _count(spark, folder, "orders"))
     messages = stream_folder(spark, place)
     wait_all([start_raw(messages, store, f"{store.folder}/checkpoints", trigger=ALL_AVAILABLE)])
     stored = [
@@ -326,7 +345,7 @@ def route_by_topic(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_replay_unchanged(spark: SparkSession, folder: str) -> DataFrame:
     """Everything is delivered twice, under two checkpoints: no row changes."""
-    place, store = _published(spark, folder), open_store(spark, "replayed")
+    place, store = _published(spark, folder), open_store(spark, "replayed", _count(spark, folder, "orders"))
     for run in ("first", "second"):
         messages = stream_folder(spark, place)
         wait_all([start_raw(messages, store, f"{store.folder}/{run}", trigger=ALL_AVAILABLE)])
@@ -335,7 +354,7 @@ def stream_replay_unchanged(spark: SparkSession, folder: str) -> DataFrame:
 
 def batch_reports(spark: SparkSession, folder: str) -> DataFrame:
     """How many messages each topic's stream read and rejected."""
-    place, store = _published(spark, folder), open_store(spark, "reported")
+    place, store = _published(spark, folder), open_store(spark, "reported", _count(spark, folder, "orders"))
     reports: list[BatchReport] = []
     sources = {n: stream_folder(spark, place, e.topic) for n, e in ENTITIES.items()}
     wait_all(
@@ -356,10 +375,7 @@ def batch_reports(spark: SparkSession, folder: str) -> DataFrame:
 
 def publish_topic(spark: SparkSession, folder: str) -> DataFrame:
     """Publish the entities, then read the topics back as text."""
-    place = fresh_folder(spark, "published")
-    out = folder_writer(place)
-    for name, entity in ENTITIES.items():
-        publish(to_messages(VIEWS[name](spark, folder), entity.topic), out)
+    place = _publish_entities(spark, folder)
     text = message_text(F.col("value"))
     keys = F.array_join(F.json_object_keys(text), ",")
     return (
@@ -381,7 +397,7 @@ def documents(
 def sync_index_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Sync all rows, then only what the transforms keep: documents of rows that
     are gone stay as they were, the others are replaced."""
-    store = open_store(spark, "indices")
+    store = open_store(spark, "indices", _count(spark, folder, "orders"))
     everything = {n: partial(view, spark, folder) for n, view in VIEWS.items()}
     remaining = {
         **everything,
@@ -409,10 +425,6 @@ def _ids(spark: SparkSession, folder: str, table: str, key: str) -> DataFrame:
     return load(spark, folder, table).select(F.col(key).alias("id"))
 
 
-def _count(spark: SparkSession, folder: str, table: str) -> int:
-    return load(spark, folder, table).count()
-
-
 def generated_products(spark: SparkSession, folder: str) -> DataFrame:
     return generate_products(_ids(spark, folder, "part", "p_partkey"))
 

@@ -189,8 +189,7 @@ from facts
 """
 
 _NUMBERED = (
-    "(row_number() over (order by substr(md5(cast({key} as varchar)), 1, 3), "
-    "md5(cast({key} as varchar)), {key}) - 1)"
+    "(row_number() over (order by md5(cast({key} as varchar)), {key}) - 1)"
 )
 
 
@@ -272,11 +271,12 @@ EXPECTED: dict[str, str] = {
     "customers_numbered": f"select c_custkey, c_name, {_NUMBERED.format(key='c_custkey')} "
     "as ordinal from customer",
     "reference_pick": f"""select o_orderkey, c_custkey as customer_key, p_partkey as part_key
-      from orders
-      join {_numbered("customer", "c_custkey")} c on c.n =
-        {_wide(_digest("customer", "o_orderkey"))} % (select count(*) from customer)
-      join {_numbered("part", "p_partkey")} p on p.n =
-        {_wide(_digest("part", "o_orderkey"))} % (select count(*) from part)""",
+      from (select o_orderkey,
+          {_wide(_digest("customer", "o_orderkey"))} % (select count(*) from customer) as cn,
+          {_wide(_digest("part", "o_orderkey"))} % (select count(*) from part) as pn
+        from orders) o
+      join {_numbered("customer", "c_custkey")} c on c.n = o.cn
+      join {_numbered("part", "p_partkey")} p on p.n = o.pn""",
 }
 for _name, _view in VIEW_NAMES.items():
     EXPECTED[f"json_round_trip_{_name}"] = VIEWS_SQL + f"select * from {_view}"

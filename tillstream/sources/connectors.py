@@ -17,8 +17,14 @@ ELASTICSEARCH = "org.elasticsearch.spark.sql"
 
 
 def kafka_read_options(
-    servers: str, topics: Iterable[str], starting: str = "earliest", per_batch: int | None = None
+    servers: str,
+    topics: Iterable[str],
+    starting: str = "earliest",
+    per_batch: int | None = None,
+    tasks: int | None = None,
 ) -> dict[str, str]:
+    """``per_batch`` bounds the messages of one batch, not those of the stream.
+    ``tasks`` above the number of topic partitions splits large partitions."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
@@ -26,6 +32,8 @@ def kafka_read_options(
     }
     if per_batch:
         options["maxOffsetsPerTrigger"] = str(per_batch)
+    if tasks:
+        options["minPartitions"] = str(tasks)
     return options
 
 

@@ -56,10 +56,6 @@ class KeyedTable:
         """The table as a reader sees it: one row per key."""
         return latest_per_key(self.versions(spark), self.keys, self.order)
 
-    def copy_current_to(self, spark: SparkSession, other: KeyedTable) -> None:
-        """Write one version per key into a new table, leaving this one alone."""
-        other.append(self.current(spark))
-
 
 @dataclass(frozen=True)
 class Store:
@@ -117,6 +113,23 @@ class Store:
     def index(self, entity: Entity) -> KeyedTable:
         return self._keyed(entity.index, ["id"], ["last_synced"])
 
+    def copy_to(self, other: Store) -> Store:
+        """Fold old versions away: the current rows, written into another store.
+
+        This store is only read, so a copy that breaks off can be started over.
+        Point the streams, with their checkpoints, at the copy when it is done.
+        """
+        other.ensure()
+        for entity in ENTITIES.values():
+            for here, there in (
+                (self.table(entity), other.table(entity)),
+                (self.raw(entity), other.raw(entity)),
+                (self.letters(entity.name), other.letters(entity.name)),
+            ):
+                there.append(here.current(self.spark))
+        other.letters("raw").append(self.letters("raw").current(self.spark))
+        return other
+
     def read(self, entity: Entity) -> DataFrame:
         """Current transformed records, without the message positions."""
         return self.table(entity).current(self.spark).drop(*POSITION)

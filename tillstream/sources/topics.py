@@ -6,13 +6,17 @@ the streams are tested on the folders.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.functions.wire import json_message
 
+log = logging.getLogger(__name__)
+
 MESSAGE_DDL = (
     "key binary, value binary, partition int, offset bigint, "
     "timestamp timestamp, timestampType int, topic string"
@@ -26,7 +30,11 @@ def to_messages(
     timestamp: Column | None = None,
     value: Column | None = None,
 ) -> DataFrame:
-    """Rows as unkeyed messages of ``topic``; the value is the row in JSON."""
+    """Rows as unkeyed messages of ``topic``; the value is the row in JSON.
+
+    Offsets must tell the messages of a topic apart. The default numbers the rows
+    of one call; give ``offset`` when a topic is written in several calls.
+    """
     text = json_message(rows) if value is None else value
     return rows.select(
         F.lit(None).cast("binary").alias("key"),
@@ -39,18 +47,45 @@ def to_messages(
     )
 
 
+@dataclass(frozen=True)
+class Delivery:
+    """What a publishing job sent; ``error`` is None when it went through."""
+
+    topic: str
+    messages: int
+    error: str | None = None
+
+
+def write_log(delivery: Delivery) -> None:
+    log.info("%s: %d messages sent, error: %s", *vars(delivery).values())
+
+
 def publish(
-    messages: DataFrame,
+    rows: DataFrame,
+    topic: str,
     write: Callable[[DataFrame], None],
-    delivered: Callable[[dict], None] | None = None,
-) -> int:
-    """Write messages and report how many went out, counted during the write."""
-    seen = Observation()
-    write(messages.observe(seen, F.count(F.lit(1)).alias("messages")))
-    sent = seen.get["messages"]
-    if delivered:
-        delivered({"messages": sent})
-    return sent
+    *,
+    delivered: Callable[[Delivery], None] = write_log,
+    attempts: int = 2,
+    **columns: Column,
+) -> Delivery:
+    """Send rows to a topic and report the outcome, counted during the write.
+
+    A failed write is done again, so a message may arrive twice. A lasting
+    failure is reported and not raised: other topics are still published.
+    """
+    for attempt in range(attempts):
+        sent = Observation()
+        messages = to_messages(rows, topic, **columns)
+        try:
+            write(messages.observe(sent, F.count(F.lit(1)).alias("messages")))
+            delivery = Delivery(topic, sent.get["messages"])
+            break
+        except Exception as failure:  # noqa: BLE001 - one topic must not stop the others
+            log.warning("attempt %d to publish %s failed: %s", attempt + 1, topic, failure)
+            delivery = Delivery(topic, 0, str(failure))
+    delivered(delivery)
+    return delivery
 
 
 def folder_writer(folder: str) -> Callable[[DataFrame], None]:

@@ -61,9 +61,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         .select(
             derived_uuid("order", F.col("o_orderkey")).alias("order_id"),
             derived_uuid("customer", F.col("o_custkey")).alias("customer_id"),
-            F.when(F.col("part").isNotNull(), derived_uuid("product", F.col("part"))).alias(
-                "product_id"
-            ),
+            derived_uuid("product", F.col("part")).alias("product_id"),
             F.col("o_orderdate").alias("order_date"),
             (F.col("least").cast("int") % 5 + 1).alias("quantity"),
             F.when(status == "P", "Pending")

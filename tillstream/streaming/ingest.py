@@ -17,7 +17,7 @@ import time
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -120,20 +120,17 @@ def _start(
     report: Report,
 ) -> StreamingQuery:
     def on_batch(batch: DataFrame, number: int) -> None:
-        # Messages are fetched and parsed once per batch, for all writes below.
-        counts = Observation()
-        seen = batch.observe(
-            counts,
-            F.count(F.lit(1)).alias("read"),
-            F.count(REASON).alias("rejected"),
-        ).persist()
+        # Messages are fetched and parsed once per batch, by the count, and kept
+        # for all writes below.
+        seen = batch.persist()
         try:
-            for land in landers:
-                land(seen)
-            found = counts.get
-            if found["rejected"]:
+            read, bad = seen.agg(F.count(F.lit(1)), F.count(REASON)).first()
+            if bad < read:
+                for land in landers:
+                    land(seen)
+            if bad:
                 write_rejected(rejected(seen).select(*LETTER_COLUMNS))
-            report(BatchReport(name, number, found["read"], found["rejected"]))
+            report(BatchReport(name, number, read, bad))
         finally:
             seen.unpersist()
 
