@@ -1,0 +1,122 @@
+"""Documents and the sync of tables into indices."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from helpers import key, plan_of
+from pyspark.sql import functions as F
+
+from tillstream.entities import CUSTOMERS, ORDERS, PRODUCTS
+from tillstream.operators.documents import MAPPERS, to_documents
+from tillstream.plans.sync import sync_all, sync_table
+
+ORDER = "order_id string, customer_id string, product_id string, order_date timestamp, quantity int, status string"
+CUSTOMER = "customer_id string, name string, email string, signup_date timestamp, location string, loyalty_status string"
+
+
+def orders(spark, *rows):
+    return spark.createDataFrame(rows, ORDER)
+
+
+def customers(spark, *numbers):
+    rows = [(key(n), f"name {n}", "e", datetime(2024, 1, 2), "Porto", "Gold") for n in numbers]
+    return spark.createDataFrame(rows, CUSTOMER)
+
+
+def test_order_document(spark):
+    table = orders(
+        spark,
+        (key(1), key(2), None, datetime(2024, 1, 2, 3, 4, 5, 6), 2, "Pending"),
+        (key(3), None, None, None, None, None),
+    )
+    got = {r.id: r.asDict() for r in to_documents(table, MAPPERS["orders"], "now").collect()}
+    assert got[key(1)] == {
+        "id": key(1),
+        "customer_id": key(2),
+        "product_id": None,
+        "order_date": "2024-01-02T03:04:05.000006",
+        "quantity": 2,
+        "status": "Pending",
+        "last_synced": "now",
+    }
+    assert got[key(3)]["order_date"] is None
+
+
+def test_null_reference_as_text(spark):
+    table = orders(spark, (key(1), None, key(2), None, 1, None))
+    row = to_documents(table, MAPPERS["orders"], "now", ("customer_id", "product_id")).first()
+    assert (row.customer_id, row.product_id, row.status) == ("None", key(2), None)
+
+
+def test_price_has_all_its_digits(spark):
+    table = spark.sql(
+        "select 'a' as product_id, 't' as title, cast(19.99 as float) as price, 'c' as category, "
+        "'d' as description, 1 as stock"
+    )
+    assert to_documents(table, MAPPERS["products"], "now").first().price == 19.989999771118164
+
+
+def test_default_stamp_is_iso_text(spark):
+    stamps = to_documents(customers(spark, 1, 2), MAPPERS["customers"]).select("last_synced")
+    found = {r[0] for r in stamps.collect()}
+    assert len(found) == 1 and datetime.fromisoformat(found.pop())
+
+
+def test_second_sync_replaces_and_never_deletes(spark, store):
+    sync_all(store, {"customers": lambda: customers(spark, 1, 2)}, synced="2024-01-01T00:00:00")
+    reports = sync_all(
+        store, {"customers": lambda: customers(spark, 2, 3)}, synced="2024-01-02T00:00:00"
+    )
+    assert [(r.documents, r.error) for r in reports] == [(2, None)]
+    got = {r.id: r.last_synced[:10] for r in store.index(CUSTOMERS).current(spark).collect()}
+    assert got == {key(1): "2024-01-01", key(2): "2024-01-02", key(3): "2024-01-02"}
+
+
+def test_one_broken_table_does_not_stop_the_others(spark, store):
+    def broken():
+        raise RuntimeError("no such table")
+
+    tables = {"products": broken, "customers": lambda: customers(spark, 1)}
+    first, second = sync_all(store, tables, synced="s")
+    assert "no such table" in first.error and first.index == PRODUCTS.index
+    assert second.error is None and store.index(CUSTOMERS).current(spark).count() == 1
+
+
+def test_failed_write_is_done_again(spark):
+    calls, written = [], []
+
+    def flaky(documents):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("timeout")
+        written.extend(documents.collect())
+
+    report = sync_table(
+        lambda: customers(spark, 1, 2), "i", MAPPERS["customers"], flaky, synced="s"
+    )
+    assert (report.documents, report.error, len(written)) == (2, None, 2)
+
+
+def test_rows_without_key_are_counted_not_written(spark):
+    table = orders(spark, (key(1), None, None, None, 1, None), (None, None, None, None, 1, None))
+    written = []
+    report = sync_table(
+        lambda: table, "i", MAPPERS["orders"], lambda d: written.extend(d.collect()), synced="s"
+    )
+    assert (report.documents, report.without_id, len(written)) == (1, 1, 1)
+
+
+def test_documents_of_a_stored_table_need_no_shuffle(spark, store):
+    documents = to_documents(store.read_raw(ORDERS), MAPPERS["orders"], "s")
+    folded = documents.groupBy("id").agg(F.max("last_synced"))
+    store.raw(ORDERS).append(
+        orders(spark, (key(1), key(2), key(3), None, 1, "Pending")).withColumns(
+            {
+                "timestamp": F.timestamp_seconds(F.lit(0)),
+                "partition": F.lit(0),
+                "offset": F.lit(0).cast("bigint"),
+            }
+        )
+    )
+    assert "Exchange" not in plan_of(folded)

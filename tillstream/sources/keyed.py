@@ -50,6 +50,9 @@ class KeyedTable:
         folded.select(*spark.table(self.name).columns).write.insertInto(self.name)
 
     def versions(self, spark: SparkSession) -> DataFrame:
+        """All stored versions, also those that other sessions (each stream has
+        its own) appended since this session listed the files last."""
+        spark.catalog.refreshTable(self.name)
         return spark.table(self.name)
 
     def current(self, spark: SparkSession) -> DataFrame:
