@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from datetime import datetime
 
 from tillstream.sources.topics import MESSAGE_DDL
 
@@ -43,16 +44,13 @@ def order(n: int, **changes) -> dict:
 
 def messages(spark, topic: str, values: list, start: int = 0):
     """One message per value: a dict is sent as JSON, text as it is, None as a tombstone."""
+    moment = datetime(2023, 11, 14, 22, 13, 20)
     rows = []
-    for n, value in enumerate(values):
+    for number, value in enumerate(values, start):
         text = json.dumps(value) if isinstance(value, dict) else value
         data = None if text is None else bytearray(text.encode())
-        rows.append((None, data, 0, start + n, None, 0, topic))
-    frame = spark.createDataFrame(rows, MESSAGE_DDL)
-    return frame.withColumn("timestamp", frame.timestamp.cast("timestamp")).fillna(0).selectExpr(
-        "key", "value", "partition", "offset",
-        "timestamp_seconds(1700000000) as timestamp", "timestampType", "topic",
-    )
+        rows.append((None, data, 0, number, moment, 0, topic))
+    return spark.createDataFrame(rows, MESSAGE_DDL)
 
 
 def land_file(frame, folder) -> None:

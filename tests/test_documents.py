@@ -11,8 +11,8 @@ from tillstream.entities import CUSTOMERS, ORDERS, PRODUCTS
 from tillstream.operators.documents import MAPPERS, to_documents
 from tillstream.plans.sync import sync_all, sync_table
 
-ORDER = "order_id string, customer_id string, product_id string, order_date timestamp, quantity int, status string"
-CUSTOMER = "customer_id string, name string, email string, signup_date timestamp, location string, loyalty_status string"
+ORDER = ORDERS.message
+CUSTOMER = CUSTOMERS.message
 
 
 def orders(spark, *rows):

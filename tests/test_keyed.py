@@ -60,7 +60,7 @@ def test_reading_needs_no_shuffle(spark, store):
     assert "Exchange" not in plan_of(store.read_raw(PRODUCTS))
 
 
-@pytest.mark.parametrize("buckets", [3, 4, 8])
+@pytest.mark.parametrize("buckets", [1, 3, 4, 8])
 def test_files_per_append_are_bounded(spark, tmp_path, buckets):
     store = Store(spark, f"files_{buckets}", str(tmp_path / "s"), buckets).ensure()
     store.raw(PRODUCTS).append(versions(spark, *[(n, "t", n) for n in range(500)]))
@@ -87,10 +87,12 @@ def test_transformed_table_has_the_derived_column(store, spark):
     assert "price_with_tax" not in spark.table(store.raw(PRODUCTS).name).columns
 
 
-def test_copy_keeps_only_current_rows(spark, store, tmp_path):
+@pytest.mark.parametrize("buckets", [2, 3])
+def test_copy_keeps_only_current_rows(spark, store, tmp_path, buckets):
     for n in range(3):
         store.raw(PRODUCTS).append(versions(spark, (1, f"v{n}", n)))
-    copy = store.copy_to(Store(spark, f"{store.database}_copy", str(tmp_path / "copy"), 2))
+    copy = store.copy_to(Store(spark, f"{store.database}_copy", str(tmp_path / "copy"), buckets))
+    assert len(copy.raw(PRODUCTS).versions(spark).inputFiles()) <= 4
     assert titles(copy) == titles(store) == {key(1): "v2"}
     assert copy.raw(PRODUCTS).versions(spark).count() == 1
     assert store.raw(PRODUCTS).versions(spark).count() == 3

@@ -11,6 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tillstream.operators import sample
 from tillstream.operators.latest import (
     filter_then_merge,
     latest_per_key,
@@ -18,7 +19,6 @@ from tillstream.operators.latest import (
     upsert,
 )
 from tillstream.operators.reference import pick_reference, with_ordinal
-from tillstream.operators import sample
 from tillstream.operators.sample import exact_sample
 from tillstream.operators.transforms import sellable_products, standing_orders, step_for
 
@@ -135,7 +135,8 @@ def test_ordinals_are_dense(spark):
 def test_every_row_gets_one_existing_reference(spark):
     targets = spark.range(1_000, 1_037).withColumnRenamed("id", "t")
     rows = spark.range(2_000)
-    picked = pick_reference(rows, F.xxhash64("id") % 1_000_003 + 1_000_003, targets, ["t"], {"t": "ref"})
+    number = F.xxhash64("id") % 1_000_003 + 1_000_003
+    picked = pick_reference(rows, number, targets, ["t"], {"t": "ref"})
     got = picked.collect()
     assert sorted(r.id for r in got) == list(range(2_000))
     assert {r.ref for r in got} == set(range(1_000, 1_037))

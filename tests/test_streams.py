@@ -16,6 +16,7 @@ from tillstream.streaming.ingest import (
     ALL_AVAILABLE,
     start_all,
     start_raw,
+    start_routed,
     start_topic,
     stop_all,
     wait_all,
@@ -98,7 +99,8 @@ def test_cancelled_order_keeps_its_last_standing_version(spark, store, topics, t
     land_file(messages(spark, ORDERS.topic, sent), topics)
     run_topic(spark, store, topics, tmp_path, ORDERS)
     assert [(r.order_id, r.status) for r in store.read(ORDERS).collect()] == [(key(1), "Pending")]
-    wait_all([start_raw(stream_folder(spark, str(topics)), store, str(tmp_path / "cp"), trigger=ALL_AVAILABLE)])
+    everything = stream_folder(spark, str(topics))
+    wait_all([start_raw(everything, store, str(tmp_path / "cp"), trigger=ALL_AVAILABLE)])
     assert standing_orders(store.read_raw(ORDERS)).count() == 0
 
 
@@ -130,10 +132,15 @@ def test_four_streams_side_by_side(spark, store, topics, tmp_path):
 def test_routed_stream_in_several_batches(spark, store, topics, tmp_path):
     for start in range(3):
         land_file(messages(spark, PRODUCTS.topic, [product(1, title=f"v{start}")], start), topics)
-        land_file(messages(spark, ORDERS.topic, [order(start), order(9, product_id=None)], 2 * start), topics)
+        pair = [order(start), order(9, product_id=None)]
+        land_file(messages(spark, ORDERS.topic, pair, 2 * start), topics)
     reports = []
     stream = stream_folder(spark, str(topics), files_per_batch=1)
-    wait_all([start_raw(stream, store, str(tmp_path / "cp"), trigger=ALL_AVAILABLE, report=reports.append)])
+    checkpoints = str(tmp_path / "cp")
+    query = start_raw(
+        stream, store, checkpoints, trigger=ALL_AVAILABLE, report=reports.append
+    )
+    wait_all([query])
     assert len(reports) == 6 and sum(r.read for r in reports) == 9
     assert [r.title for r in store.read_raw(PRODUCTS).collect()] == ["v2"]
     assert store.read_raw(ORDERS).count() == 3
@@ -188,3 +195,38 @@ def test_append_stream_writes_each_row_once(spark, tmp_path):
         return sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect())
 
     assert run() == run() == [0, 2, 4, 6, 8]
+
+
+def test_batch_that_fails_after_its_first_table(spark, store, topics, tmp_path):
+    """Products are written twice, orders once; the tables do not show it."""
+    land_file(messages(spark, PRODUCTS.topic, [product(1), product(2)]), topics)
+    land_file(messages(spark, ORDERS.topic, [order(1), "{bad"]), topics)
+
+    def broken(_):
+        raise RuntimeError("lost node")
+
+    def run(orders_writer):
+        writers = {
+            "products": store.raw(PRODUCTS).append_folded,
+            "orders": orders_writer or store.raw(ORDERS).append_folded,
+        }
+        wait_all(
+            [
+                start_routed(
+                    stream_folder(spark, str(topics)),
+                    writers,
+                    store.letters("raw").append,
+                    str(tmp_path / "cp"),
+                    name=f"{store.database}_raw",
+                    trigger=ALL_AVAILABLE,
+                )
+            ]
+        )
+
+    with pytest.raises(StreamingQueryException, match="lost node"):
+        run(broken)
+    run(None)
+    assert store.raw(PRODUCTS).versions(spark).count() == 4
+    assert store.read_raw(PRODUCTS).count() == 2
+    assert store.read_raw(ORDERS).count() == 1
+    assert store.letters("raw").current(spark).count() == 1

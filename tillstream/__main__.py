@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import os
 import sys
 from collections.abc import Callable
 from datetime import datetime
@@ -16,7 +17,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.entities import ENTITIES, KEYSPACE, Entity
+from tillstream.entities import ENTITIES, KEYSPACE, POSITION, Entity
 from tillstream.operators.documents import FOREIGN_KEYS, MAPPERS
 from tillstream.plans.sync import sync_all, sync_table
 from tillstream.sources import connectors, topics
@@ -24,7 +25,6 @@ from tillstream.sources.generate import SEED, Sizes, generate_all
 from tillstream.sources.keyed import Store
 from tillstream.streaming.ingest import (
     ALL_AVAILABLE,
-    start_raw,
     start_routed,
     start_topic,
     stop_all,
@@ -35,6 +35,9 @@ from tillstream.workspace import shared_root
 
 Writer = Callable[[DataFrame], None]
 
+MESSAGES_PER_BATCH = 20_000_000
+FILES_PER_BATCH = 1_000
+
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tillstream", description=__doc__)
@@ -54,6 +57,8 @@ def parser() -> argparse.ArgumentParser:
     for job in (ingest, transform):
         job.add_argument("--checkpoints", metavar="FOLDER")
         job.add_argument("--once", action="store_true", help="stop after what is there now")
+        job.add_argument("--per-batch", type=int, help="messages, or files of a topics folder")
+        job.add_argument("--tasks", type=int, help="at least so many reading tasks per batch")
     for job in (ingest, transform, sync):
         job.add_argument("--store", metavar="FOLDER", required=True)
         job.add_argument("--buckets", type=int, required=True, help="fixed for a store's life")
@@ -66,7 +71,8 @@ def parser() -> argparse.ArgumentParser:
 
 def run_generate(spark: SparkSession, args: argparse.Namespace) -> bool:
     sizes = Sizes(args.products, args.customers, args.orders, args.transactions)
-    made = generate_all(spark, args.as_of or datetime.now().replace(microsecond=0), sizes, args.seed)
+    as_of = args.as_of or datetime.now().replace(microsecond=0)
+    made = generate_all(spark, as_of, sizes, args.seed)
     write = (
         connectors.kafka_writer(args.kafka) if args.kafka else topics.folder_writer(args.topics)
     )
@@ -75,13 +81,18 @@ def run_generate(spark: SparkSession, args: argparse.Namespace) -> bool:
 
 
 def _messages(spark: SparkSession, args: argparse.Namespace, *names: str) -> DataFrame:
+    """A long backlog is read in several batches, since a batch is kept while its
+    tables are written."""
     if args.kafka:
-        return connectors.kafka_stream(spark, args.kafka, *names)
-    return topics.stream_folder(spark, args.topics, *names)
+        size = args.per_batch or MESSAGES_PER_BATCH
+        return connectors.kafka_stream(spark, args.kafka, *names, per_batch=size, tasks=args.tasks)
+    size = args.per_batch or FILES_PER_BATCH
+    return topics.stream_folder(spark, args.topics, *names, files_per_batch=size)
 
 
 def _store(spark: SparkSession, args: argparse.Namespace) -> Store:
-    return Store(spark, KEYSPACE, args.store.rstrip("/"), args.buckets).ensure()
+    folder = args.store if "://" in args.store else os.path.abspath(args.store)
+    return Store(spark, KEYSPACE, folder.rstrip("/"), args.buckets).ensure()
 
 
 def _target(args: argparse.Namespace, entity: Entity, columns: list[str], own: Writer) -> Writer:
@@ -91,26 +102,32 @@ def _target(args: argparse.Namespace, entity: Entity, columns: list[str], own: W
 
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> bool:
-    store, messages = _store(spark, args), _messages(spark, args, *[e.topic for e in ENTITIES.values()])
-    if args.cassandra:
-        writers = {
-            n: _target(args, e, e.columns, store.raw(e).append) for n, e in ENTITIES.items()
-        }
-        start = partial(start_routed, messages, writers, store.letters("raw").append)
-    else:
-        start = partial(start_raw, messages, store)
-    return _run([start(_checkpoints(spark, args), trigger=_trigger(args))])
+    store = _store(spark, args)
+    messages = _messages(spark, args, *[e.topic for e in ENTITIES.values()])
+    writers = {
+        name: _target(args, entity, entity.columns, store.raw(entity).append_folded)
+        for name, entity in ENTITIES.items()
+    }
+    query = start_routed(
+        messages,
+        writers,
+        store.letters("raw").append,
+        _checkpoints(spark, args),
+        trigger=_trigger(args),
+    )
+    return _run([query])
 
 
 def run_transform(spark: SparkSession, args: argparse.Namespace) -> bool:
     store, queries = _store(spark, args), []
     for name, entity in ENTITIES.items():
-        columns = spark.table(store.table(entity).name).drop("timestamp", "partition", "offset").columns
+        table = store.table(entity)
+        columns = table.versions(spark).drop(*POSITION).columns
         queries.append(
             start_topic(
                 _messages(spark, args, entity.topic),
                 entity,
-                _target(args, entity, columns, store.table(entity).append),
+                _target(args, entity, columns, table.append_folded),
                 store.letters(name).append,
                 _checkpoints(spark, args),
                 trigger=_trigger(args),

@@ -89,11 +89,11 @@ def _count(spark: SparkSession, folder: str, table: str) -> int:
     return load(spark, folder, table).count()
 
 
-def open_store(spark: SparkSession, label: str, rows: int) -> Store:
-    """A store of its own for one run of a query, laid out for so many rows."""
-    folder = fresh_folder(spark, label)
-    database = folder.rsplit("/", 1)[1].replace("-", "_")
-    return Store(spark, database, folder, buckets_for(rows)).ensure()
+def open_store(spark: SparkSession, folder: str, label: str) -> Store:
+    """A store of its own for one run of a query, laid out for the largest entity."""
+    place = fresh_folder(spark, label)
+    database = place.rsplit("/", 1)[1].replace("-", "_")
+    return Store(spark, database, place, buckets_for(_count(spark, folder, "orders"))).ensure()
 
 
 def buckets_for(rows: int) -> int:
@@ -219,7 +219,7 @@ def filter_then_merge_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def keyed_tables_contents(spark: SparkSession, folder: str) -> DataFrame:
     """Declare the tables twice, load each entity twice, and read it back."""
-    store = open_store(spark, "declared", _count(spark, folder, "orders")).ensure()
+    store = open_store(spark, folder, "declared").ensure()
     parts = []
     for name, entity in ENTITIES.items():
         for offset in (0, 1):
@@ -303,7 +303,7 @@ def _sent(delivery: Delivery) -> None:
 
 def four_streams(spark: SparkSession, folder: str) -> DataFrame:
     """One stream per topic into transformed tables."""
-    place, store = _published(spark, folder), open_store(spark, "streams", _count(spark, folder, "orders"))
+    place, store = _published(spark, folder), open_store(spark, folder, "streams")
     sources = {n: stream_folder(spark, place, e.topic) for n, e in ENTITIES.items()}
     wait_all(start_all(sources, store, f"{store.folder}/checkpoints", trigger=ALL_AVAILABLE))
     taxed = {"products": F.col("price_with_tax")}
@@ -322,7 +322,7 @@ def four_streams(spark: SparkSession, folder: str) -> DataFrame:
 
 def route_by_topic(spark: SparkSession, folder: str) -> DataFrame:
     """One stream over all topics into raw tables and dead letters."""
-    place, store = _published(spark, folder), open_store(spark, "routed", _count(spark, folder, "orders"))
+    place, store = _published(spark, folder), open_store(spark, folder, "routed")
     messages = stream_folder(spark, place)
     wait_all([start_raw(messages, store, f"{store.folder}/checkpoints", trigger=ALL_AVAILABLE)])
     stored = [
@@ -345,7 +345,7 @@ def route_by_topic(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_replay_unchanged(spark: SparkSession, folder: str) -> DataFrame:
     """Everything is delivered twice, under two checkpoints: no row changes."""
-    place, store = _published(spark, folder), open_store(spark, "replayed", _count(spark, folder, "orders"))
+    place, store = _published(spark, folder), open_store(spark, folder, "replayed")
     for run in ("first", "second"):
         messages = stream_folder(spark, place)
         wait_all([start_raw(messages, store, f"{store.folder}/{run}", trigger=ALL_AVAILABLE)])
@@ -354,7 +354,7 @@ def stream_replay_unchanged(spark: SparkSession, folder: str) -> DataFrame:
 
 def batch_reports(spark: SparkSession, folder: str) -> DataFrame:
     """How many messages each topic's stream read and rejected."""
-    place, store = _published(spark, folder), open_store(spark, "reported", _count(spark, folder, "orders"))
+    place, store = _published(spark, folder), open_store(spark, folder, "reported")
     reports: list[BatchReport] = []
     sources = {n: stream_folder(spark, place, e.topic) for n, e in ENTITIES.items()}
     wait_all(
@@ -397,7 +397,7 @@ def documents(
 def sync_index_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Sync all rows, then only what the transforms keep: documents of rows that
     are gone stay as they were, the others are replaced."""
-    store = open_store(spark, "indices", _count(spark, folder, "orders"))
+    store = open_store(spark, folder, "indices")
     everything = {n: partial(view, spark, folder) for n, view in VIEWS.items()}
     remaining = {
         **everything,

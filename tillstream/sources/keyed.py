@@ -36,18 +36,22 @@ class KeyedTable:
     buckets: int
 
     def append(self, versions: DataFrame) -> None:
-        """Add the latest version of each key in ``versions``, bound by name.
+        """Add the latest version of each key in ``versions``."""
+        self.append_folded(latest_per_key(versions, self.keys, self.order))
 
-        The fold shuffles by key already. When its partitions line up with the
-        buckets each bucket gets one file; otherwise rows are moved once more,
+    def append_folded(self, rows: DataFrame, partitions: int | None = None) -> None:
+        """Add ``rows``, one per key, bound by name.
+
+        Folding has already spread the rows by key over ``partitions`` tasks, by
+        default the session's shuffle partitions. When these line up with the
+        buckets each task fills few buckets; otherwise rows are moved once more,
         which is cheaper than every task writing a sliver of every bucket.
         """
-        spark = versions.sparkSession
-        folded = latest_per_key(versions, self.keys, self.order)
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark = rows.sparkSession
+        partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         if max(partitions, self.buckets) % min(partitions, self.buckets):
-            folded = folded.repartition(self.buckets, *self.keys)
-        folded.select(*spark.table(self.name).columns).write.insertInto(self.name)
+            rows = rows.repartition(self.buckets, *self.keys)
+        rows.select(*spark.table(self.name).columns).write.insertInto(self.name)
 
     def versions(self, spark: SparkSession) -> DataFrame:
         """All stored versions, also those that other sessions (each stream has
@@ -123,14 +127,15 @@ class Store:
         Point the streams, with their checkpoints, at the copy when it is done.
         """
         other.ensure()
+        pairs = [(self.letters("raw"), other.letters("raw"))]
         for entity in ENTITIES.values():
-            for here, there in (
+            pairs += [
                 (self.table(entity), other.table(entity)),
                 (self.raw(entity), other.raw(entity)),
                 (self.letters(entity.name), other.letters(entity.name)),
-            ):
-                there.append(here.current(self.spark))
-        other.letters("raw").append(self.letters("raw").current(self.spark))
+            ]
+        for here, there in pairs:
+            there.append_folded(here.current(self.spark), here.buckets)
         return other
 
     def read(self, entity: Entity) -> DataFrame:

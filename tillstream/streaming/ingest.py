@@ -156,7 +156,7 @@ def start_all(
         start_topic(
             sources[name],
             entity,
-            store.table(entity).append,
+            store.table(entity).append_folded,
             store.letters(name).append,
             checkpoints,
             name=f"{store.database}_{name}",
@@ -176,7 +176,7 @@ def start_raw(
     report: Report = write_log,
 ) -> StreamingQuery:
     """All topics into the raw tables of ``store``."""
-    writers = {name: store.raw(entity).append for name, entity in ENTITIES.items()}
+    writers = {name: store.raw(entity).append_folded for name, entity in ENTITIES.items()}
     return start_routed(
         messages,
         writers,
