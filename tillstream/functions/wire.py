@@ -45,60 +45,70 @@ def decode(messages: DataFrame, entity: Entity, *keep: str) -> DataFrame:
     return parse_fields(messages, message_text(F.col("value")), entity.message, *keep)
 
 
+def with_corrupt(entity: Entity) -> str:
+    """The message schema plus the column that receives unreadable text."""
+    return f"{entity.message}, {CORRUPT} string"
+
+
+def as_sent(name: str) -> str:
+    """Where a UUID column is kept as it came, next to its canonical form."""
+    return f"_{name}"
+
+
 def lenient_reason(entity: Entity) -> Column:
-    """Why a decoded record cannot be stored by key, or null when it can.
+    """Why a record cannot be stored by key, or null when it can.
 
     A field of the wrong type is only null. A reference may be null, but it must
     be a UUID when it is there; the key must be there.
     """
-    key = F.col(entity.key)
-    reason = F.when(key.isNull(), F.lit(f"missing {entity.key}"))
+    reason = F.when(F.col(as_sent(entity.key)).isNull(), F.lit(f"missing {entity.key}"))
     for name in entity.uuids:
-        bad = F.col(name).isNotNull() & canonical_uuid(F.col(name)).isNull()
+        bad = F.col(as_sent(name)).isNotNull() & F.col(name).isNull()
         reason = reason.when(bad, F.lit(f"invalid {name}"))
     return reason
 
 
-def strict_reason(entity: Entity, text: Column, fields: Column | None = None) -> Column:
+def strict_reason(entity: Entity, text: Column, corrupt: Column, at=F.col) -> Column:
     """Why a message breaks the full contract, or null when it keeps it.
 
     The text must be a JSON object with every expected field present (null is a
     value), every field must have its type, and every UUID column must hold one.
-    ``fields`` is the parsed struct; without it the fields are columns.
+    ``at`` finds a field by name; UUIDs are in canonical form, null when invalid.
     """
-    at = (lambda name: F.col(name)) if fields is None else fields.getField
     present = F.json_object_keys(text)
     names = F.array(*[F.lit(name) for name in entity.columns])
     reason = (
         F.when(present.isNull(), F.lit("not a JSON object"))
         .when(F.size(F.array_except(names, present)) > 0, F.lit("missing field"))
-        .when(at(CORRUPT).isNotNull(), F.lit("wrong type"))
+        .when(corrupt.isNotNull(), F.lit("wrong type"))
     )
     for name in entity.uuids:
-        reason = reason.when(canonical_uuid(at(name)).isNull(), F.lit(f"invalid {name}"))
+        reason = reason.when(at(name).isNull(), F.lit(f"invalid {name}"))
     return reason
 
 
-def with_corrupt(entity: Entity) -> str:
-    """The message schema plus the column that receives unreadable text."""
-    return f"{entity.message}, {CORRUPT} string"
-
-
-def canonical_keys(frame: DataFrame, entity: Entity) -> DataFrame:
-    """UUID columns in canonical form, so that one key has one spelling."""
-    return frame.withColumns({name: canonical_uuid(F.col(name)) for name in entity.uuids})
+def canonical_keys(decoded: DataFrame, entity: Entity) -> DataFrame:
+    """UUID columns in canonical form, so that one key has one spelling; null for
+    what is no UUID. The text that was sent is kept aside."""
+    kept = decoded.withColumnsRenamed({name: as_sent(name) for name in entity.uuids})
+    return kept.withColumns({name: canonical_uuid(F.col(as_sent(name))) for name in entity.uuids})
 
 
 def grade_lenient(messages: DataFrame, entity: Entity) -> DataFrame:
     """Messages with their fields and a ``reason``, null for a usable record."""
-    return decode(messages, entity, "*").withColumn(REASON, lenient_reason(entity))
+    decoded = canonical_keys(decode(messages, entity, "*"), entity)
+    graded = decoded.withColumn(REASON, lenient_reason(entity))
+    return graded.drop(*[as_sent(name) for name in entity.uuids])
 
 
 def grade_strict(messages: DataFrame, entity: Entity) -> DataFrame:
     """As :func:`grade_lenient`, with the full contract."""
     text = message_text(F.col("value"))
-    graded = parse_fields(messages, text, with_corrupt(entity), "*")
-    return graded.withColumn(REASON, strict_reason(entity, text)).drop(CORRUPT)
+    parsed = parse_fields(messages, text, with_corrupt(entity), "*")
+    graded = canonical_keys(parsed, entity).withColumn(
+        REASON, strict_reason(entity, text, F.col(CORRUPT))
+    )
+    return graded.drop(CORRUPT, *[as_sent(name) for name in entity.uuids])
 
 
 def accepted(graded: DataFrame) -> DataFrame:

@@ -25,7 +25,6 @@ from tillstream.entities import ENTITIES, POSITION, Entity
 from tillstream.functions.wire import (
     REASON,
     accepted,
-    canonical_keys,
     grade_lenient,
     rejected,
 )
@@ -79,7 +78,7 @@ def start_topic(
     graded = grade_lenient(live_messages(messages).select(*ENVELOPE), entity)
 
     def land(batch: DataFrame) -> None:
-        kept = canonical_keys(accepted(batch), entity).drop("topic", "value", REASON)
+        kept = accepted(batch).drop("topic", "value", REASON)
         write(latest_per_key(step(kept), [entity.key], POSITION))
 
     return _start(graded, name, [land], write_rejected, checkpoints, trigger, report)
