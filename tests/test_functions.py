@@ -65,6 +65,18 @@ def test_iso_text_is_isoformat(spark):
         assert seconds == moment.strftime("%Y-%m-%dT%H:%M:%S")
 
 
+def test_wall_clock_times_are_printed_as_they_are(spark):
+    """Half past two does not exist in Berlin on that day; the text has it anyway."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    rows = spark.createDataFrame([(datetime(2024, 3, 31, 2, 30, 0, 120_000),)], "t timestamp_ntz")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        got = rows.select(iso_text(F.col("t")), iso_seconds(F.col("t"))).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert tuple(got) == ("2024-03-31T02:30:00.120000", "2024-03-31T02:30:00")
+
+
 def test_moment_of_cuts_the_fraction(spark):
     texts = ["2024-01-02T03:04:05.999999", "2024-01-02T03:04:05", "2024-01-02", "soon", None]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")

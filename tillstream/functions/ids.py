@@ -5,16 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CANONICAL = r"\A[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\z"
-DIGITS = r"\A[0-9a-f]{32}\z"
-
-
-def _hyphenated(hex32: Column) -> Column:
-    cuts = [F.substring(hex32, start, size) for start, size in ((9, 4), (13, 4), (17, 4), (21, 12))]
-    parts = [F.substring(hex32, 1, 8)]
-    for cut in cuts:
-        parts += [F.lit("-"), cut]
-    return F.concat(*parts)
+GROUPS = (8, 4, 4, 4, 12)
+CANONICAL = r"\A" + "-".join(f"[0-9a-f]{{{n}}}" for n in GROUPS) + r"\z"
+DIGITS = r"\A" + "".join(f"([0-9a-f]{{{n}}})" for n in GROUPS) + r"\z"
 
 
 def canonical_uuid(text: Column) -> Column:
@@ -25,9 +18,15 @@ def canonical_uuid(text: Column) -> Column:
     """
     bare = F.replace(F.replace(text, F.lit("urn:"), F.lit("")), F.lit("uuid:"), F.lit(""))
     digits = F.lower(F.replace(F.btrim(bare, F.lit("{}")), F.lit("-"), F.lit("")))
-    return F.when(text.rlike(CANONICAL), text).when(digits.rlike(DIGITS), _hyphenated(digits))
+    tidy = F.regexp_replace(digits, DIGITS, "$1-$2-$3-$4-$5")
+    return F.when(text.rlike(CANONICAL), text).when(tidy.rlike(CANONICAL), tidy)
 
 
 def derived_uuid(namespace: str, ident: Column) -> Column:
     """UUID text computed from an id: the same id always gives the same UUID."""
-    return _hyphenated(F.md5(F.concat(F.lit(f"{namespace}:"), ident.cast("string"))))
+    hex32 = F.md5(F.concat(F.lit(f"{namespace}:"), ident.cast("string")))
+    parts, start = [], 1
+    for size in GROUPS:
+        parts += [F.substring(hex32, start, size), F.lit("-")]
+        start += size
+    return F.concat(*parts[:-1])

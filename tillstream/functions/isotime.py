@@ -5,21 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
-
 
 def iso_text(moment: Column) -> Column:
-    """Six fractional digits when there are any microseconds, none otherwise."""
-    return F.replace(F.date_format(moment, f"{SECONDS}.SSSSSS"), F.lit(".000000"), F.lit(""))
+    """Six fractional digits when there are any microseconds, none otherwise.
+
+    Built on the cast to text, which prints wall-clock timestamps as they are;
+    pattern formatting would take them through the session's time zone.
+    """
+    text = F.replace(moment.cast("string"), F.lit(" "), F.lit("T"))
+    return F.when(F.length(text) > 19, F.rpad(text, 26, "0")).otherwise(text)
 
 
 def iso_seconds(moment: Column) -> Column:
     """Whole seconds, the fraction cut off."""
-    return F.date_format(moment, SECONDS)
+    return F.substring(F.replace(moment.cast("string"), F.lit(" "), F.lit("T")), 1, 19)
 
 
-def iso_date(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+def iso_date(moment: Column) -> Column:
+    return moment.cast("date").cast("string")
 
 
 def moment_of(text: Column) -> Column:

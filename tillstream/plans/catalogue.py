@@ -169,9 +169,8 @@ def uuid_canonical(spark: SparkSession, folder: str) -> DataFrame:
         .when(key % 6 == 4, F.concat(plain, F.lit("0")))
         .otherwise(F.concat(F.lit("g"), F.substring(plain, 2, 35)))
     )
-    return load(spark, folder, "orders").select(
-        "o_orderkey", canonical_uuid(spelled).alias("order_id")
-    )
+    orders = load(spark, folder, "orders").select("o_orderkey", spelled.alias("spelled"))
+    return orders.select("o_orderkey", canonical_uuid(F.col("spelled")).alias("order_id"))
 
 
 def iso_datetimes(spark: SparkSession, folder: str) -> DataFrame:
