@@ -197,9 +197,15 @@ def main(arguments: list[str] | None = None) -> int:
     args = parser().parse_args(arguments)
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName(f"tillstream-{args.job}").getOrCreate()
-    spark.streams.addListener(ProgressLog())
-    return 0 if JOBS[args.job](spark, args) else 1
+    progress = ProgressLog()
+    spark.streams.addListener(progress)
+    try:
+        return 0 if JOBS[args.job](spark, args) else 1
+    finally:
+        spark.streams.removeListener(progress)
 
 
 if __name__ == "__main__":
-    sys.exit(main())
+    outcome = main()
+    SparkSession.builder.getOrCreate().stop()
+    sys.exit(outcome)

@@ -216,7 +216,7 @@ def filter_then_merge_events(spark: SparkSession, folder: str) -> DataFrame:
     return filter_then_merge(events, _no_errors, ["user_id"], ["event_id"])
 
 
-def keyed_tables_contents(spark: SparkSession, folder: str) -> DataFrame:
+def ensure_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Declare the tables twice, load each entity twice, and read it back."""
     store = open_store(spark, folder, "declared").ensure()
     parts = []
@@ -500,7 +500,7 @@ def _catalogue() -> dict[str, Query]:
         upsert_two_loads,
         merge_then_filter_events,
         filter_then_merge_events,
-        keyed_tables_contents,
+        ensure_tables,
         stream_filter_append,
         stream_restart_no_duplicates,
         four_streams,

@@ -224,7 +224,7 @@ EXPECTED: dict[str, str] = {
     "merge_then_filter_events": f"select * from (select {EVENT} from events {LATEST}) "
     "where event_type <> 'error'",
     "filter_then_merge_events": f"select {EVENT} from events where event_type <> 'error' {LATEST}",
-    "keyed_tables_contents": _union(
+    "ensure_tables": _union(
         lambda n, v: f"select '{n}' as table_name, {KEYS[n]} as id, {PAYLOADS[n]} as payload "
         f"from {v}"
     ),
