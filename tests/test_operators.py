@@ -21,6 +21,7 @@ from tillstream.operators.latest import (
 from tillstream.operators.reference import pick_reference, with_ordinal
 from tillstream.operators.sample import exact_sample
 from tillstream.operators.transforms import sellable_products, standing_orders, step_for
+from tillstream.sources.views import dealt_out
 
 VERSIONS = "k int, n int, v string"
 
@@ -142,3 +143,10 @@ def test_every_row_gets_one_existing_reference(spark):
     assert {r.ref for r in got} == set(range(1_000, 1_037))
     with pytest.raises(ValueError, match="no row"):
         pick_reference(rows, F.col("id"), targets.limit(0), ["t"], {"t": "ref"})
+
+
+def test_few_splits_are_dealt_out_and_many_are_left(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert dealt_out(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
+    many = spark.range(0, 100, 1, cores)
+    assert dealt_out(many) is many

@@ -50,7 +50,7 @@ from tillstream.sources.topics import (
     stream_folder,
     to_messages,
 )
-from tillstream.sources.views import VIEWS, load
+from tillstream.sources.views import VIEWS, dealt_out, load
 from tillstream.streaming.append import start_append
 from tillstream.streaming.ingest import (
     ALL_AVAILABLE,
@@ -421,7 +421,7 @@ def sync_index_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _ids(spark: SparkSession, folder: str, table: str, key: str) -> DataFrame:
-    return load(spark, folder, table).select(F.col(key).alias("id"))
+    return dealt_out(load(spark, folder, table).select(F.col(key).alias("id")))
 
 
 def generated_products(spark: SparkSession, folder: str) -> DataFrame:
@@ -471,7 +471,7 @@ def customers_numbered(spark: SparkSession, folder: str) -> DataFrame:
 
 def reference_pick(spark: SparkSession, folder: str) -> DataFrame:
     """For every order a customer and a part, chosen anew."""
-    orders = load(spark, folder, "orders").select("o_orderkey")
+    orders = dealt_out(load(spark, folder, "orders").select("o_orderkey"))
 
     def number(tag: str) -> Column:
         return wide_draw(digest(tag, 42, F.col("o_orderkey")))
