@@ -5,11 +5,13 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillstream.entities import ENTITIES, Entity
+from tillstream.jobs import side_by_side
 from tillstream.operators.documents import FOREIGN_KEYS, MAPPERS, Mapper, to_documents
 from tillstream.sources.keyed import Store
 
@@ -67,19 +69,21 @@ def sync_all(
     synced: str | None = None,
     none_text: bool = False,
 ) -> list[SyncReport]:
-    """One job per entity into the indices of ``store``; later jobs run whatever
-    happens to earlier ones."""
-    return [
-        sync_table(
-            read,
+    """One job per entity into the indices of ``store``, all at the same time; a
+    job that fails leaves the others alone."""
+
+    def job(name: str) -> Callable[[], SyncReport]:
+        return partial(
+            sync_table,
+            tables[name],
             ENTITIES[name].index,
             MAPPERS[name],
             _index_writer(store, ENTITIES[name]),
             synced=synced,
             none_text=FOREIGN_KEYS.get(name, ()) if none_text else (),
         )
-        for name, read in tables.items()
-    ]
+
+    return side_by_side(store.spark, [job(name) for name in tables])
 
 
 def _index_writer(store: Store, entity: Entity) -> Writer:

@@ -16,6 +16,7 @@ import logging
 import time
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from tillstream.functions.wire import (
     grade_lenient,
     rejected,
 )
+from tillstream.jobs import side_by_side
 from tillstream.operators.latest import latest_per_key
 from tillstream.operators.routing import grade_by_topic, live_messages, records_of
 from tillstream.operators.transforms import Step, step_for
@@ -125,8 +127,7 @@ def _start(
         try:
             read, bad = seen.agg(F.count(F.lit(1)), F.count(REASON)).first()
             if bad < read:
-                for land in landers:
-                    land(seen)
+                side_by_side(batch.sparkSession, [partial(land, seen) for land in landers])
             if bad:
                 write_rejected(rejected(seen).select(*LETTER_COLUMNS))
             report(BatchReport(name, number, read, bad))
