@@ -2,26 +2,32 @@
 
 from __future__ import annotations
 
-import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import kept_safe, or_empty, running_totals, ship, small_side
+from tillstream.llm.transducer import (
+    NUMBER,
+    SPACE,
+    classes,
+    machine_of,
+    read_words,
+    split_contractions,
+    token_ids,
+)
 
 WIDTH = 4096
 END_ID = 2
-CACHE_WORDS = 400_000
-CACHE_CHARS = 64
-
-# Control codes that Python's split takes for white space and the library does not.
-_PLAIN = re.compile("[\x1c-\x1f]").search
-WHITE = r"[ \t\n\r\x0b\x0c]+"
+SPAN_BYTES = 2 << 20
 
 IDS = "key {key}, part int, before long, doc_tokens long, ids binary"
 PIECES = (
@@ -31,50 +37,76 @@ PIECES = (
 
 
 class WordIds:
-    """Token ids of texts, word by word, equal to the library's for the whole text.
+    """Token ids of texts, equal to the library's, by the compiled vocabulary.
 
-    Holds for tokenizers that drop white space and never join across it. Words are
-    looked up in a bounded cache; new ones go to the library in one batch per call.
+    For tokenizers that compose characters, put them in lower case, drop white space
+    and mark ends of words. A text that holds a special string goes to the library.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        done = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return {
-            w: np.array(d.ids, dtype="<u4").tobytes() for w, d in zip(words, done, strict=True)
-        }
+        self.machine = machine_of(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        known, out = self.known, []
-        for text in texts:
-            words = text.split() if _PLAIN(text) is None else re.split(WHITE, text)
-            new = set(words).difference(known)
-            extra: dict[str, bytes] = {}
-            if new:
-                learnt = self._learn(list(new))
-                for word, ids in learnt.items():
-                    (known if len(word) <= CACHE_CHARS else extra)[word] = ids
-            if extra:
-                out.append(b"".join([known.get(w) or extra.get(w, b"") for w in words]))
-            else:
-                out.append(b"".join(map(known.__getitem__, words)))
+        own = [None if any(s in t for s in self.special) else t for t in texts]
+        parts = [_words("" if t is None else t) for t in own]
+        data = np.concatenate([p[0] for p in parts])
+        first = np.concatenate([p[1] for p in parts])
+        emitted, states = read_words(self.machine, data, first)
+        ids = token_ids(self.machine, data, first, states, emitted).astype("<u4")
+        sums = np.concatenate([[0], np.cumsum(emitted, dtype=np.int64)])
+        edge = sums[np.concatenate([[0], np.cumsum([len(p[0]) for p in parts])])]
+        out = [ids[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        for i, text in enumerate(own):
+            if text is None:
+                whole = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
+                out[i] = np.array(whole, dtype="<u4").tobytes()
         return out
 
 
+def _words(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of a text without white space, and whether a word begins at each: letter
+    runs, single numbers, runs of other characters, contractions."""
+    if not text.isascii() and not unicodedata.is_normalized("NFC", text):
+        text = unicodedata.normalize("NFC", text)
+    # Each character by itself: a final sigma is no special case.
+    text = text.replace("\u03a3", "\u03c3").lower()
+    raw = text.encode("utf-8")
+    data = np.frombuffer(raw, dtype=np.uint8)
+    if not len(data):
+        return data.astype(np.int16), np.zeros(0, dtype=bool)
+    plain = len(raw) == len(text)
+    points = (
+        data.astype(np.uint32)
+        if plain
+        else np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    )
+    kind = classes()[points]
+    start = np.ones(len(points), dtype=bool)
+    start[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == NUMBER)
+    split_contractions(points, start)
+    inside = kind != SPACE
+    if not plain:
+        leads = (data & 0xC0) != 0x80
+        flags = np.zeros(len(data), dtype=bool)
+        flags[leads] = start
+        start, inside = flags, inside[np.cumsum(leads) - 1]
+    final = np.append(start[1:], True)
+    return (data.astype(np.int16) + 256 * final)[inside], start[inside]
+
+
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, before = WordIds(path), TaskContext.get().partitionId(), 0
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+            sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // SPAN_BYTES)) + 1
+            for at, to in pairwise([0, *cuts.tolist(), batch.num_rows]):
+                some = batch.slice(at, to - at)
                 ids = [x + end for x in words.encode(some.column("text").to_pylist())]
                 counts = [len(x) // 4 for x in ids]
                 starts = np.concatenate([[0], np.cumsum(counts)]).astype("int64") + before

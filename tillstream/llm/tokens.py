@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,153 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import or_empty, ship
+from tillstream.llm.transducer import (
+    SPACE,
+    Transducer,
+    classes,
+    machine_of,
+    read_words,
+    split_contractions,
+)
 
-CHUNK = 256
-SPAN_BYTES = 4 << 20
-MAX_STATES = 400_000
-
-LETTER, NUMBER, SPACE, OTHER = range(4)
-
-
-@cache
-def byte_letters() -> dict[str, int]:
-    """The public byte-level alphabet: printable bytes stand for themselves, the
-    others for the characters from U+0100 on, in order."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
-@cache
-def classes() -> np.ndarray:
-    """Letter, number, white space or other, for every code point."""
-    import regex
-
-    out = np.full(0x110000, OTHER, dtype=np.uint8)
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    for pattern, kind in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER), (r"\s", SPACE)):
-        for run in regex.finditer(pattern + "+", every):
-            out[ord(run[0][0]) : ord(run[0][-1]) + 1] = kind
-    out[0x1C:0x20] = OTHER  # separators that only Python takes for white space
-    return out
-
-
-class Transducer:
-    """A deterministic transducer over bytes, compiled from the merges as it is used.
-
-    The encoding of a prefix ends in exactly one token: the longest vocabulary token
-    t ending there that the merges keep apart from the last token before it. So a
-    state need only hold, for each suffix that some longer token starts with, the
-    token that ends where the suffix starts and how many tokens lie between there
-    and here. Reading a byte leads to one state and changes the number of tokens
-    emitted so far by an amount that depends on state and byte alone: that number is
-    the transition's annotation. State 0 is the start of a word.
-    """
-
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
-        letters = byte_letters()
-        self.token = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items()
-                      if all(c in letters for c in t)}
-        self.halves: dict[int, tuple[int, int]] = {}
-        self.merged: dict[tuple[int, int], int] = {}
-        vocab = model["vocab"]
-        for left, right in model["merges"]:
-            pair, whole = (vocab[left], vocab[right]), vocab[left + right]
-            if whole not in self.halves:
-                self.halves[whole] = pair
-            self.merged[pair] = whole
-        self.starts = {t[:n] for t in self.token for n in range(1, len(t))}
-        self.apart: dict[tuple[int, int], bool] = {}
-        self.compile_anew()
-
-    def compile_anew(self) -> None:
-        self.column = np.full(256, -1, dtype=np.int64)
-        self.used = 0
-        self.next = np.full((1024, 32), -1, dtype=np.int32)
-        self.emits = np.zeros((1024, 32), dtype=np.int8)
-        start = ((b"", -1, 0),)
-        self.states, self.numbers = [start], {start: 0}
-
-    def stay_apart(self, left: int, right: int) -> bool:
-        """Whether the merges leave these two tokens side by side as they are.
-
-        Undo the later of the two last merges, again and again: if at some point the
-        inner ends would have merged before a merge already undone, they would not
-        have stayed apart.
-        """
-        pair = (left, right)
-        known = self.apart.get(pair)
-        if known is not None:
-            return known
-        halves, merged, limit, result = self.halves, self.merged, 1 << 60, True
-        while True:
-            whole = merged.get((left, right))
-            if whole is not None and whole < limit:
-                result = False
-                break
-            a, b = halves.get(left), halves.get(right)
-            # A byte has no halves; a merged token's number grows with its rank.
-            if a is not None and (left > right or b is None):
-                limit, left = left, a[1]
-            elif b is not None:
-                limit, right = right + 1, b[0]
-            else:
-                break
-        if len(self.apart) > 2_000_000:
-            self.apart.clear()
-        self.apart[pair] = result
-        return result
-
-    def _step(self, state: tuple, byte: bytes) -> tuple[tuple, int]:
-        found = None
-        for suffix, last, back in state:  # longest suffix first
-            token = self.token.get(suffix + byte)
-            if token is not None and (last < 0 or self.stay_apart(last, token)):
-                found = token, 1 - back
-                break
-        if found is None:
-            raise ValueError(f"no token for byte {byte!r}")
-        token, added = found
-        longer = [
-            (suffix + byte, last, back + added)
-            for suffix, last, back in state
-            if suffix + byte in self.starts
-        ]
-        return (*longer, (b"", token, 0)), added
-
-    def add(self, state: int, byte: int) -> None:
-        """Compiles one transition."""
-        if self.column[byte] < 0:
-            self.column[byte] = self.used
-            self.used += 1
-            if self.used > self.next.shape[1]:
-                more = ((0, 0), (0, 32))
-                self.next = np.pad(self.next, more, constant_values=-1)
-                self.emits = np.pad(self.emits, more)
-        target, added = self._step(self.states[state], bytes([byte]))
-        number = self.numbers.get(target)
-        if number is None:
-            number = self.numbers[target] = len(self.states)
-            self.states.append(target)
-            if number >= self.next.shape[0]:
-                more = ((0, self.next.shape[0]), (0, 0))
-                self.next = np.pad(self.next, more, constant_values=-1)
-                self.emits = np.pad(self.emits, more)
-        self.next[state, self.column[byte]] = number
-        self.emits[state, self.column[byte]] = added
-
-    def advance(self, states: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Next states and emitted counts for many (state, byte) pairs at once."""
-        while True:
-            column = self.column[data]
-            after = np.where(column >= 0, self.next[states, column], -1)
-            missing = after < 0
-            if not missing.any():
-                return after, self.emits[states, column]
-            for pair in np.unique(states[missing].astype(np.int64) * 256 + data[missing]):
-                self.add(int(pair) >> 8, int(pair) & 255)
+SPAN_BYTES = 2 << 20
 
 
 def word_starts(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -186,7 +48,7 @@ def word_starts(text: str) -> tuple[np.ndarray, np.ndarray]:
     start |= last
     joins = last & (points == 32)
     start[1:] &= ~joins[:-1]
-    _contractions(points, kind, start, joins)
+    split_contractions(points, start)
     if n == len(data):
         return data, start
     flags = np.zeros(len(data), dtype=bool)
@@ -194,100 +56,27 @@ def word_starts(text: str) -> tuple[np.ndarray, np.ndarray]:
     return data, flags
 
 
-def _contractions(points, kind, start, joins) -> None:
-    """'s 't 'm 'd 're 've 'll as words, wherever matching begins at the apostrophe."""
-    n = len(points)
-    for at in np.flatnonzero(points == 39).tolist():
-        if not start[at]:
-            continue
-        tail = "".join(map(chr, points[at + 1 : at + 3].tolist()))
-        size = 1 if tail[:1] in tuple("stmd") else 2 if tail in ("re", "ve", "ll") else 0
-        if not size:
-            continue
-        end = at + 1 + size
-        start[at + 1 : end] = False
-        if end < n:
-            # The rest of a letter run is a word; a space before text stays its start.
-            start[end] = True
-
-
 def count_tokens(texts: list[str], machine: Transducer) -> np.ndarray:
-    """Tokens of each text.
-
-    The bytes of all texts are cut into chunks that are read in step. A chunk's state
-    map is constant from its first word start on, so every chunk runs from there by
-    itself; the few bytes before it are read from the exit state of the chunk before.
-    Where a chunk has no word start, exit states are handed on chunk by chunk until
-    none is left waiting, which composes the maps in order.
-    """
+    """Tokens of each text."""
     parts = [word_starts(t) for t in texts]
-    sizes = np.array([len(p[0]) for p in parts], dtype=np.int64)
-    total = int(sizes.sum())
-    if not total:
-        return np.zeros(len(texts), dtype=np.int64)
+    if not parts:
+        return np.zeros(0, dtype=np.int64)
     data = np.concatenate([p[0] for p in parts])
-    first = np.concatenate([p[1] for p in parts])
-    emitted = np.zeros(total, dtype=np.int8)
-    begins = np.arange(0, total, CHUNK)
-    ends = np.minimum(begins + CHUNK, total)
-    exits = np.full(len(begins), -1, dtype=np.int64)
-    marks = np.flatnonzero(first)
-    # From the first word start of each chunk to its end.
-    own = np.searchsorted(marks, begins)
-    head = np.where(own < len(marks), marks[np.minimum(own, len(marks) - 1)], total)
-    head = np.minimum(head, ends)
-    free = np.flatnonzero(head < ends)
-    exits[free] = _read(machine, data, first, emitted, head[free], ends[free])
-    # The bytes before it, from the exit of the chunk before.
-    waiting = np.flatnonzero(head > begins)
-    while len(waiting):
-        ready = waiting[exits[waiting - 1] >= 0]
-        done = _read(
-            machine, data, first, emitted, begins[ready], head[ready], exits[ready - 1]
-        )
-        whole = head[ready] == ends[ready]
-        exits[ready[whole]] = done[whole]
-        waiting = np.setdiff1d(waiting, ready, assume_unique=True)
+    emitted, _ = read_words(machine, data, np.concatenate([p[1] for p in parts]))
     sums = np.concatenate([[0], np.cumsum(emitted, dtype=np.int64)])
-    edge = np.concatenate([[0], np.cumsum(sizes)])
+    edge = np.concatenate([[0], np.cumsum([len(p[0]) for p in parts])])
     return sums[edge[1:]] - sums[edge[:-1]]
 
 
-def _read(machine, data, first, emitted, begin, end, states=None) -> np.ndarray:
-    """Runs the machine over data[begin:end] of each lane; returns the exit states."""
-    order = np.argsort(begin - end, kind="stable")  # longest first: lanes end at the back
-    begin, length = begin[order], (end - begin)[order]
-    now = np.zeros(len(begin), dtype=np.int64) if states is None else states[order].copy()
-    alive = len(begin)
-    for step in range(int(length[0]) if alive else 0):
-        while alive and length[alive - 1] <= step:
-            alive -= 1
-        at = begin[:alive] + step
-        here = np.where(first[at], 0, now[:alive])
-        after, added = machine.advance(here, data[at])
-        now[:alive] = after
-        emitted[at] = added
-    out = np.empty_like(now)
-    out[order] = now
-    return out
-
-
-@cache
-def _machine(path: str) -> Transducer:
-    return Transducer(path)
-
-
 def _counted(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = _machine(path)
+        machine = machine_of(path)
         for batch in batches:
             lists = batch.column("pieces")
             texts = lists.flatten()
             cuts = np.flatnonzero(np.diff(np.cumsum(_sizes(texts)) // SPAN_BYTES)) + 1
             counts, at = [np.zeros(1, dtype=np.int64)], 0
             for cut in [*cuts.tolist(), len(texts)]:
-                if len(machine.states) > MAX_STATES:
-                    machine.compile_anew()
                 counts.append(count_tokens(texts.slice(at, cut - at).to_pylist(), machine))
                 at = cut
             upto = np.cumsum(np.concatenate(counts))
