@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,8 +17,7 @@ from tillstream.llm.components import components
 SHINGLE = 3
 RADIUS = 3
 HASH_SEED = 42
-SHARD_ROWS = 1024  # residents of a shard, while there are at most MAX_SHARDS of them
-MAX_SHARDS = 4096
+MAX_SHARDS = 16_384
 SAMPLE_PER_SHARD = 32
 BLOCK_ROWS = 65_536  # a shard with more rows is worked on block by block
 SMALL = 1024
@@ -197,7 +197,10 @@ def near_edges(points: DataFrame, n_points: int, radius: int = RADIUS) -> DataFr
     """Edges (src, dst) that connect the distinct fingerprints ``points`` (fp) exactly
     as all pairs within ``radius`` bits do; at most one per row of a shard.
 
-    The tree's upper part is fitted to a sample of at most ``SAMPLE_PER_SHARD`` points
+    There is a shard for every four times the root of the number of points: each
+    doubling of the shards makes points visit half as many again, so more and smaller
+    shards would cost more moved rows than they save in comparisons, which are pruned
+    further inside a shard anyway. The tree's upper part is fitted to a sample of at most ``SAMPLE_PER_SHARD`` points
     for each of at most ``MAX_SHARDS`` shards; every point is routed through it. The
     pairs of a shard are compared in one task, block by block where it has more than
     ``BLOCK_ROWS`` rows, and only a spanning forest of them leaves it.
@@ -205,7 +208,7 @@ def near_edges(points: DataFrame, n_points: int, radius: int = RADIUS) -> DataFr
     spark = points.sparkSession
     if n_points < 2:
         return spark.createDataFrame([], "src long, dst long")
-    n_shards = max(1, min(MAX_SHARDS, n_points // SHARD_ROWS))
+    n_shards = max(1, min(MAX_SHARDS, math.isqrt(n_points) // 4))
     wanted = n_shards * SAMPLE_PER_SHARD
     dice = F.pmod(F.xxhash64(F.lit(1), "fp"), F.lit(1 << 30)) / float(1 << 30)
     sample = points.filter(dice < min(1.0, wanted / n_points)).select("fp").toPandas()
