@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -18,6 +19,8 @@ TRAIN_DOCS = 20_000  # labelled documents the classifier is fitted on, at most
 MAX_FEATURES = 4096
 MIN_TOXIC = 5
 MIN_PRECISION = 0.8
+CLEAR = 0.99
+TOGETHER = 0.85
 MAX_WORD = 40
 CACHE_WORDS = 400_000
 
@@ -31,7 +34,7 @@ DROPPED = "*.-_~^'`,:;/\\=#%&\"​‌‍­"
 
 SYMBOLS = 64
 BOUNDARY, BREAK = 0, SYMBOLS - 1
-COST_SUBSTITUTE, COST_DROP, COST_DROP_SIGN, COST_REPEAT, COST_ODD = 0.7, 0.5, 4.5, 0.6, 6.0
+COST_SUBSTITUTE, COST_DROP, COST_DROP_SIGN, COST_REPEAT, COST_ODD = 0.7, 0.5, 7.0, 0.6, 6.0
 
 _WORDY = re.compile(r"[^\W\d_](?:.*[^\W\d_])?", re.DOTALL).search
 _CORE = "".join(re.escape(c) for c in STANDS_FOR)
@@ -145,6 +148,8 @@ def _lattice(word: str) -> Iterator[list[tuple[str, float]]]:
 
 def plain_form(word: str, language: Language) -> str:
     """A lower-case word as scored: without signs around it, restored if disguised."""
+    if not word.isascii():
+        word = unicodedata.normalize("NFKC", word)
     if word.isalpha() and not _RUN.search(word):
         return word
     core = _EDGES.sub("", word)
@@ -233,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     if any of its labels says so). Of more than ``TRAIN_DOCS`` labelled documents a
     seeded hash picks about that many. Features that occur in at least ``MIN_TOXIC``
     toxic texts, mostly toxic ones, are candidates (``MAX_FEATURES`` at most, the most
-    frequent); those that explain toxic texts not explained yet are kept. Without any
+    frequent); see ``chosen_features`` for those that are kept. Without any
     toxic label nothing is ever judged toxic.
     """
     ship(docs.sparkSession)
@@ -275,21 +280,53 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         .limit(MAX_FEATURES)
     )
     table = {r["f"]: (r["n"], r["total"]) for r in both.collect()}
-    names = F.array(*[F.lit(f) for f in ()]) if not table else F.lit(sorted(table))
-    held = toxic.select(F.array_intersect("features", names).alias("f")) if table else None
-    texts = [frozenset(r["f"]) for r in held.collect()] if held is not None else []
-    chosen, left = {}, [t for t in texts if t]
+    if not table:
+        return Model(language, {}, (n_toxic + 0.5) / (n_all + 1.0))
+    held = toxic.select(F.array_intersect("features", F.lit(sorted(table))).alias("f"))
+    texts = [frozenset(r["f"]) for r in held.collect()]  # of the bounded sample
+    chosen = chosen_features(table, texts)
+    missed = sum(1 for t in texts if not t & chosen.keys())
+    rest = max(1, n_all - n_toxic + missed)
+    return Model(language, chosen, (missed + 0.5) / (rest + 1.0))
+
+
+def chosen_features(table: dict[str, tuple[int, int]], texts: list[frozenset]) -> dict[str, float]:
+    """Features that make a text toxic, each with its chance to.
+
+    ``table`` has the toxic and all texts of each candidate, ``texts`` the candidates
+    in each toxic text. All clear ones with support count, unless most of their texts
+    share another candidate that begins differently, as words of copied texts do; then, one by one, the one
+    that explains most texts left, less three times the clean texts it is found in.
+    Of a beginning and a longer one, or the word itself, that occur in as many toxic
+    texts the longer stays.
+    """
+    support = max(MIN_TOXIC, len(texts) // 100)
+    longer = Counter()
+    for name, (n, _) in table.items():
+        stem = name.removesuffix("~")
+        for size in {4, 5, 6}:
+            if size < len(stem) or (size == len(stem) and stem == name):
+                longer[stem[:size] + "~"] = max(longer[stem[:size] + "~"], n)
+    fair = {f: v for f, v in table.items() if not (f.endswith("~") and longer[f] >= v[0])}
+    clear = {f for f, (n, total) in fair.items() if n >= support and n >= CLEAR * total}
+    with_it: dict[str, Counter] = {f: Counter() for f in clear}
+    for text in texts:
+        for name in text & clear:
+            with_it[name].update(text & fair.keys())
+    for name, others in with_it.items():
+        mine = others[name]
+        if any(k >= TOGETHER * mine and f[:4] != name[:4] for f, k in others.items()):
+            clear.discard(name)
+    left = [t & fair.keys() for t in texts if not t & clear]
     while left:
         hits = Counter(f for t in left for f in t)
-        name, gain = min(hits.items(), key=lambda x: (-x[1], len(x[0]), x[0]))
-        if gain < MIN_TOXIC - 2:
+        worth = {f: k - 3 * (fair[f][1] - fair[f][0]) for f, k in hits.items()}
+        name = max(worth, key=lambda f: (worth[f], len(f), f), default=None)
+        if name is None or worth[name] < MIN_TOXIC - 2:
             break
-        n, total = table[name]
-        chosen[name] = (n + 0.5) / (total + 1.0)
+        clear.add(name)
         left = [t for t in left if name not in t]
-    missed = sum(1 for t in texts if not t & chosen.keys())
-    rest = max(1, n_all - n_toxic + missed)
-    return Model(language, chosen, (missed + 0.5) / (rest + 1.0))
+    return {f: (fair[f][0] + 0.5) / (fair[f][1] + 1.0) for f in clear}
 
 
 def toxicity(
