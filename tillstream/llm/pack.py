@@ -27,7 +27,8 @@ from tillstream.llm.transducer import (
 
 WIDTH = 4096
 END_ID = 2
-SPAN_BYTES = 2 << 20
+SPAN_BYTES = 1 << 20
+MAX_STATES = 150_000
 
 IDS = "key {key}, part int, before long, doc_tokens long, ids binary"
 PIECES = (
@@ -47,7 +48,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.machine = machine_of(path)
+        self.machine = machine_of(path, MAX_STATES)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def encode(self, texts: list[str]) -> list[bytes]:

@@ -21,8 +21,9 @@ MIN_TOXIC = 5
 MIN_PRECISION = 0.8
 CLEAR = 0.99
 TOGETHER = 0.85
+MAX_BASE = 0.49  # a text without any feature is never judged toxic
 MAX_WORD = 40
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 
 # What a written character may stand for.
 STANDS_FOR = {
@@ -204,7 +205,7 @@ class Model:
         """Chance that at least one cause makes the text toxic: the base rate of
         texts without any feature, or one of the features found."""
         found = {f for w in words for f in features(w) if f in self.chance}
-        clean = 1.0 - self.base
+        clean = 1.0 - min(self.base, MAX_BASE)
         for name in found:
             clean *= 1.0 - self.chance[name]
         return float(min(1.0, max(0.0, 1.0 - clean)))
@@ -263,7 +264,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     toxic = seen.filter("toxic > 0")
     n_toxic, n_all = toxic.count(), seen.count()
     if not n_toxic:
-        return Model(language, {}, 0.5 / (n_all + 1))
+        return Model(language, {}, 0.5 / (n_all + 2.0))
     frequent = (
         toxic.select(F.explode("features").alias("f"))
         .groupBy("f")

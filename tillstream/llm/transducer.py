@@ -8,7 +8,7 @@ from functools import cache
 import numpy as np
 
 CHUNK = 256
-MAX_STATES = 400_000
+MAX_STATES = 400_000  # a machine with more is compiled anew; about 600 bytes each
 END_OF_WORD = "</w>"
 FIRST = 1 << 10  # added to the column of a symbol that begins a word
 
@@ -55,7 +55,8 @@ class Transducer:
     the transition's annotation. State 0 is the start of a word.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, max_states: int = MAX_STATES):
+        self.max_states = max_states
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
         letters, vocab = byte_letters(), model["vocab"]
@@ -205,7 +206,7 @@ def read_words(
     a chunk has no word start, exit states are handed on chunk by chunk until none is
     left waiting, which composes the maps in order.
     """
-    if len(machine.states) > MAX_STATES:
+    if len(machine.states) > machine.max_states:
         machine.compile_anew()
     total = len(data)
     moves = np.zeros(total, dtype=np.int32)
@@ -273,5 +274,5 @@ def token_ids(
 
 
 @cache
-def machine_of(path: str) -> Transducer:
-    return Transducer(path)
+def machine_of(path: str, max_states: int = MAX_STATES) -> Transducer:
+    return Transducer(path, max_states)
