@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillstream.llm.common import kept_safe, or_empty, ship
 from tillstream.llm.components import components
+from tillstream.llm.transducer import settle
 
 SHINGLE = 3
 RADIUS = 3
@@ -53,6 +54,7 @@ def fingerprints(docs: DataFrame, shingle: int, text: Column, *carry: Column) ->
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
         for batch in batches:
             found = [fingerprint(t.as_py(), shingle) for t in batch.column("_text")]
             columns = [batch.column(f.name) for f in kept]

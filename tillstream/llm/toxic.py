@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import kept_safe, or_empty, ship
+from tillstream.llm.transducer import settle
 
 TRAIN_DOCS = 20_000  # labelled documents the classifier is fitted on, at most
 MAX_FEATURES = 4096
@@ -24,6 +25,7 @@ TOGETHER = 0.85
 MAX_BASE = 0.49  # a text without any feature is never judged toxic
 MAX_WORD = 40
 CACHE_WORDS = 100_000
+SPAN_CHARS = 1 << 20
 
 # What a written character may stand for.
 STANDS_FOR = {
@@ -69,13 +71,25 @@ def trigram_counts(docs: DataFrame, text: Column) -> DataFrame:
     table = symbols_of()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
         total = np.zeros(SYMBOLS**3, dtype=np.int64)
+
+        def add(texts: list[str]) -> None:
+            s = _symbols(" " + " \0 ".join(texts).lower() + " ", table)
+            clean = (s[:-2] != BREAK) & (s[1:-1] != BREAK) & (s[2:] != BREAK)
+            code = (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
+            np.add(total, np.bincount(code[clean], minlength=SYMBOLS**3), out=total)
+
         for batch in batches:
+            some, held = [], 0
             for value in batch.column(0):
-                s = _symbols(" " + value.as_py().lower() + " ", table)
-                clean = (s[:-2] != BREAK) & (s[1:-1] != BREAK) & (s[2:] != BREAK)
-                code = (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
-                total += np.bincount(code[clean], minlength=SYMBOLS**3)
+                some.append(value.as_py())
+                held += len(some[-1])
+                if held > SPAN_CHARS:
+                    add(some)
+                    some, held = [], 0
+            if some:
+                add(some)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["trigram", "n"]
@@ -346,6 +360,7 @@ def toxicity(
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
         known, cache = ready.value, {}
         for batch in batches:
             scores = [

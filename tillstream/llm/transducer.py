@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import json
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 
 CHUNK = 256
 MAX_STATES = 400_000  # a machine with more is compiled anew; about 600 bytes each
@@ -276,3 +278,13 @@ def token_ids(
 @cache
 def machine_of(path: str, max_states: int = MAX_STATES) -> Transducer:
     return Transducer(path, max_states)
+
+
+def settle() -> None:
+    """Gives back what earlier tasks of other operators left in a Python worker:
+    workers live on between stages, and two of them share an executor's memory."""
+    machine_of.cache_clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
