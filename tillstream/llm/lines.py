@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -12,13 +13,19 @@ from pyspark.sql import functions as F
 
 from tillstream.llm.common import kept_safe, or_empty, ship, small_side
 from tillstream.llm.components import components
+from tillstream.llm.simhash import Groups
+from tillstream.llm.transducer import settle
 
 SHINGLE = 8  # characters
 SIMILARITY = 0.8
 BANDS, BAND_ROWS = 6, 3
 MIN_CHARS = 24  # shorter lines are no boilerplate to speak of; they always stay
 BLOCK = 256
+CALL_ROWS = 2000
+COLUMNS = 4096
+FEW = 12
 SPAN_CHARS = 1 << 21
+STEP_CHARS = 1 << 15  # keeps a step's arrays in the processor's cache
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -49,6 +56,13 @@ def _shingle_hashes(points: np.ndarray) -> np.ndarray:
 
 
 def band_hashes(lines: list[str]) -> np.ndarray:
+    """(lines, BANDS) band hashes, some lines at a time."""
+    sizes = np.cumsum([len(x) for x in lines])
+    cuts = (np.flatnonzero(np.diff(sizes // STEP_CHARS)) + 1).tolist()
+    return np.concatenate([_bands(lines[a:b]) for a, b in pairwise([0, *cuts, len(lines)])])
+
+
+def _bands(lines: list[str]) -> np.ndarray:
     """(lines, BANDS) hashes of MinHash bands. One hash per shingle: its upper part
     picks one of BANDS * BAND_ROWS bins, each bin keeps its least value; an empty bin
     takes its right neighbour's."""
@@ -62,7 +76,9 @@ def band_hashes(lines: list[str]) -> np.ndarray:
     hashes, owner = hashes[inside], owner[inside]
     spot = ((hashes >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
     least = np.full(len(lines) * bins, EMPTY)
-    np.minimum.at(least, owner * bins + spot.astype(np.int64), _mixed(hashes))
+    # Halves swapped: the order inside a bin does not follow from the bin.
+    value = (hashes << np.uint64(32)) | (hashes >> np.uint64(32))
+    np.minimum.at(least, owner * bins + spot.astype(np.int64), value)
     least = least.reshape(len(lines), bins)
     for _ in range(bins):
         hollow = least == EMPTY
@@ -82,10 +98,37 @@ def shingles(line: str) -> np.ndarray:
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    """Of two sorted sets."""
+    both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
     return both / (len(a) + len(b) - both)
 
 
+def alike(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of a bounded number of sets that are similar enough."""
+    sizes = np.array([len(x) for x in sets])
+    if len(sets) <= FEW:
+        pairs = [
+            (i, j)
+            for i in range(len(sets))
+            for j in range(i + 1, len(sets))
+            if jaccard(sets[i], sets[j]) >= similarity
+        ]
+        found = np.array(pairs, dtype=np.int64).reshape(-1, 2)
+        return found[:, 0], found[:, 1]
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, column = np.unique(np.concatenate(sets), return_inverse=True)
+    both = np.zeros((len(sets), len(sets)))
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for at in range(0, int(column[-1]) + 1, COLUMNS):
+        lo, hi = np.searchsorted(column, [at, at + COLUMNS])
+        held = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        held[owner[lo:hi], column[lo:hi] - at] = 1.0
+        both += held @ held.T
+    near = both / (sizes[:, None] + sizes[None, :] - both) >= similarity
+    return np.nonzero(np.triu(near, 1))
+
+
 def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, mark, pos, line, bands) for every line long enough; line is its hash."""
     ship(docs.sparkSession)
@@ -111,6 +154,7 @@ def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
                 ["key", "mark", "pos", "line", "bands"],
             )
 
+        settle()
         for batch in batches:
             rows, spots, lines, held = [], [], [], 0
             for row, value in enumerate(batch.column("text")):
@@ -223,22 +267,21 @@ def line_components(
     )
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["band", "low", "high"])
+        spot = frame[["band", "low", "high"]].to_numpy(np.int64)
+        edge = (np.flatnonzero((spot[1:] != spot[:-1]).any(axis=1)) + 1).tolist()
+        ids, groups = frame["line"].to_numpy(np.int64), Groups(len(frame))
         sets = [shingles(w) for w in frame["words"]]
-        ids, group = frame["line"].to_numpy(np.int64), list(range(len(frame)))
-        src, dst = [], []
-        for i in range(len(ids)):
-            for j in range(i):
-                small, large = sorted((len(sets[i]), len(sets[j])))
-                if group[i] == group[j] or small < similarity * large:
-                    continue
-                if jaccard(sets[i], sets[j]) >= similarity:
-                    old, new = group[i], group[j]
-                    group = [new if g == old else g for g in group]
-                    src.append(ids[i])
-                    dst.append(ids[j])
-        return pd.DataFrame({"src": np.array(src, "int64"), "dst": np.array(dst, "int64")})
-
-    others = dealt.groupBy("band", "low", "high").applyInPandas(compare, "src long, dst long")
+        for a, b in pairwise([0, *edge, len(ids)]):
+            one, two = alike(sets[a:b], similarity)
+            groups.join(one + a, two + a)
+        moved = groups.label != np.arange(len(ids))
+        return pd.DataFrame({"src": ids[moved], "dst": ids[groups.label[moved]]})
+
+    # Many small buckets share a call.
+    calls = sizes.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0
+    part = F.pmod(F.xxhash64("band", "low", "high"), F.lit(1 + int(calls) // CALL_ROWS))
+    others = dealt.groupBy(part.alias("part")).applyInPandas(compare, "src long, dst long")
     linked = kept_safe(components(edges.union(others)))
     return signed.drop("bands"), linked
 
