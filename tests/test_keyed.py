@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from helpers import key, plan_of
 from pyspark.sql import functions as F
 
 from tillstream import workspace
 from tillstream.entities import PRODUCTS
-from tillstream.sources.keyed import Store
+from tillstream.sources.keyed import LETTER_DDL, Store
 
 ROW = (
     "product_id string, title string, price float, category string, description string, "
@@ -103,3 +105,15 @@ def test_shared_root_is_the_named_folder(spark):
     root = workspace.shared_root(spark)
     assert root == named.rstrip("/") if named else root
     assert workspace.fresh_folder(spark, "x") != workspace.fresh_folder(spark, "x")
+
+
+def test_another_bucket_count_is_refused(spark, store):
+    with pytest.raises(ValueError):
+        Store(spark, store.database + "x", store.folder, buckets=8).ensure()
+
+
+def test_letters_of_a_topic_made_anew_are_all_kept(spark, store):
+    rows = [("t", 0, 0, datetime(2024, 1, d), v, "bad") for d, v in ((1, b"a"), (2, b"b"), (2, b"c"))]
+    for row in rows:
+        store.letters("raw").append(spark.createDataFrame([row], LETTER_DDL))
+    assert store.letters("raw").current(spark).count() == 3

@@ -21,7 +21,6 @@ from tillstream.operators.latest import (
 from tillstream.operators.reference import pick_reference, with_ordinal
 from tillstream.operators.sample import exact_sample
 from tillstream.operators.transforms import sellable_products, standing_orders, step_for
-from tillstream.sources.views import dealt_out
 
 VERSIONS = "k int, n int, v string"
 
@@ -145,8 +144,9 @@ def test_every_row_gets_one_existing_reference(spark):
         pick_reference(rows, F.col("id"), targets.limit(0), ["t"], {"t": "ref"})
 
 
-def test_few_splits_are_dealt_out_and_many_are_left(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert dealt_out(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, 1, cores)
-    assert dealt_out(many) is many
+def test_references_for_signed_and_missing_numbers(spark):
+    targets = spark.range(7).select(F.col("id").alias("t"))
+    rows = spark.createDataFrame([(i, i - 500) for i in range(1000)] + [(1000, None)], "id int, n int")
+    picked = pick_reference(rows, F.col("n"), targets, ["t"], {"t": "ref"}).collect()
+    assert sorted(r.id for r in picked) == list(range(1001))
+    assert [r.id for r in picked if r.ref is None] == [1000]

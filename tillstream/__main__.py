@@ -8,6 +8,7 @@ Indices are an Elasticsearch cluster (``--elasticsearch host``) or in the store.
 from __future__ import annotations
 
 import argparse
+import hashlib
 import logging
 import os
 import sys
@@ -31,7 +32,6 @@ from tillstream.streaming.ingest import (
     wait_all,
 )
 from tillstream.streaming.progress import ProgressLog
-from tillstream.workspace import shared_root
 
 Writer = Callable[[DataFrame], None]
 
@@ -112,7 +112,7 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> bool:
         messages,
         writers,
         store.letters("raw").append,
-        _checkpoints(spark, args),
+        _checkpoints(args),
         trigger=_trigger(args),
     )
     return _run([query])
@@ -129,15 +129,18 @@ def run_transform(spark: SparkSession, args: argparse.Namespace) -> bool:
                 entity,
                 _target(args, entity, columns, table.append_folded),
                 store.letters(name).append,
-                _checkpoints(spark, args),
+                _checkpoints(args),
                 trigger=_trigger(args),
             )
         )
     return _run(queries)
 
 
-def _checkpoints(spark: SparkSession, args: argparse.Namespace) -> str:
-    return args.checkpoints or f"{shared_root(spark)}/{KEYSPACE}"
+def _checkpoints(args: argparse.Namespace) -> str:
+    """By default with the store, apart for each job and source, so that a new store
+    or other topics are read from the beginning."""
+    source = hashlib.md5((args.kafka or args.topics).encode()).hexdigest()[:12]
+    return args.checkpoints or f"{args.store}/_checkpoints/{args.job}/{source}"
 
 
 def _trigger(args: argparse.Namespace) -> dict | None:
@@ -197,6 +200,7 @@ def main(arguments: list[str] | None = None) -> int:
     args = parser().parse_args(arguments)
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName(f"tillstream-{args.job}").getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     progress = ProgressLog()
     spark.streams.addListener(progress)
     try:

@@ -25,8 +25,4 @@ def canonical_uuid(text: Column) -> Column:
 def derived_uuid(namespace: str, ident: Column) -> Column:
     """UUID text computed from an id: the same id always gives the same UUID."""
     hex32 = F.md5(F.concat(F.lit(f"{namespace}:"), ident.cast("string")))
-    parts, start = [], 1
-    for size in GROUPS:
-        parts += [F.substring(hex32, start, size), F.lit("-")]
-        start += size
-    return F.concat(*parts[:-1])
+    return F.regexp_replace(hex32, DIGITS, "$1-$2-$3-$4-$5")

@@ -44,7 +44,8 @@ def pick_reference(
 ) -> DataFrame:
     """Join each row to the target at position ``number`` modulo their count.
 
-    ``columns`` maps target columns to their names in the result. The positions
+    ``columns`` maps target columns to their names in the result. Numbers may have
+    either sign; a row without a number stays, without a reference. The positions
     are spread evenly, so the join has no hot key; whether the targets are small
     enough to be sent to every task is left to Spark's own size check.
     """
@@ -56,5 +57,7 @@ def pick_reference(
         "_ordinal", *[F.col(old).alias(new) for old, new in columns.items()]
     )
     return (
-        rows.withColumn("_ordinal", number % total).join(picked, "_ordinal").drop("_ordinal")
+        rows.withColumn("_ordinal", F.pmod(number, F.lit(total)))
+        .join(picked, "_ordinal", "left")
+        .drop("_ordinal")
     )

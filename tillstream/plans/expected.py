@@ -101,7 +101,7 @@ MESSAGE_FIELDS = {
 }
 
 LATEST = "qualify row_number() over (partition by user_id order by event_id desc) = 1"
-EVENT = "event_id, ts, user_id, event_type, value"
+EVENT = "event_id, ts, user_id, event_type, value, props"
 
 
 def _union(select_one, names=VIEW_NAMES) -> str:

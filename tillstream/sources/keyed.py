@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.entities import ENTITIES, POSITION, Entity
@@ -24,6 +25,9 @@ LETTER_COLUMNS = ("topic", "partition", "offset", "timestamp", "value", "reason"
 LETTER_DDL = (
     "topic string, partition int, offset bigint, timestamp timestamp, value binary, reason string"
 )
+# A topic that is made anew counts its offsets from zero again: time and content
+# tell its messages from those that had the same place before.
+LETTER_KEY = ("topic", "partition", "offset", "timestamp", "value")
 
 
 @dataclass(frozen=True)
@@ -80,6 +84,7 @@ class Store:
     def ensure(self) -> Store:
         """Create what is missing: the database, and per entity a raw table, a
         table of transformed records, an index of documents and dead letters."""
+        self._check_layout()
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.folder}'")
         for entity in ENTITIES.values():
             self._create(entity.name, f"{entity.table_ddl}, {POSITION_DDL}", entity.key)
@@ -88,9 +93,22 @@ class Store:
         self.ensure_letters("raw")
         return self
 
+    def _check_layout(self) -> None:
+        """The bucket count is kept with the files; another one is refused, as its
+        tables would be new and empty."""
+        place = f"{self.folder}/_layout"
+        try:
+            known = int(self.spark.read.text(place).first()[0])
+        except AnalysisException:
+            fresh = self.spark.createDataFrame([(str(self.buckets),)], "value string")
+            fresh.coalesce(1).write.mode("overwrite").text(place)
+            return
+        if known != self.buckets:
+            raise ValueError(f"{self.folder} has {known} buckets, not {self.buckets}")
+
     def ensure_letters(self, stream: str) -> None:
         """One table of rejected messages per stream: a table has one writer."""
-        self._create(f"dead_letters_{stream}", LETTER_DDL, "topic", "partition", "offset")
+        self._create(f"dead_letters_{stream}", LETTER_DDL, *LETTER_KEY)
 
     def ensure_index(self, index: str, ddl: str) -> None:
         """A table of documents; call once per job, before the write."""
@@ -114,7 +132,7 @@ class Store:
 
     def letters(self, stream: str) -> KeyedTable:
         return self._keyed(
-            f"dead_letters_{stream}", ["topic", "partition", "offset"], ["timestamp"]
+            f"dead_letters_{stream}", LETTER_KEY, ["timestamp"]
         )
 
     def index(self, entity: Entity) -> KeyedTable:
