@@ -30,3 +30,23 @@ def test_jobs_one_after_another(spark, tmp_path):
 def test_a_place_for_topics_is_required():
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["generate"])
+
+
+def test_two_stores_read_the_same_topics_from_the_beginning(spark, tmp_path):
+    topics = f"--topics={tmp_path}/topics"
+    assert cli.main(["generate", topics, "--as-of=2024-06-30T12:00:00"]) == 0
+    for place in ("a", "b"):
+        store = [f"--store={tmp_path}/{place}", "--buckets=4"]
+        for _ in range(2):  # the second run goes on behind the first
+            assert cli.main(["ingest", topics, *store, "--once"]) == 0
+        found = Store(spark, KEYSPACE, f"{tmp_path}/{place}", 4)
+        assert found.raw(ENTITIES["orders"]).versions(spark).count() == 100
+        assert found.read_raw(ENTITIES["customers"]).count() == 20
+        with pytest.raises(ValueError, match="buckets"):
+            cli.main(["sync", f"--store={tmp_path}/{place}", "--buckets=8"])
+        spark.sql(f"DROP DATABASE {KEYSPACE} CASCADE")
+
+
+def test_statements_are_printed(capsys):
+    assert cli.main(["ddl"]) == 0
+    assert capsys.readouterr().out.count("CREATE TABLE") == 8

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from helpers import key, plan_of
 from pyspark.sql import functions as F
@@ -120,3 +120,18 @@ def test_documents_of_a_stored_table_need_no_shuffle(spark, store):
         )
     )
     assert "Exchange" not in plan_of(folded)
+
+
+def test_the_stamp_does_not_depend_on_the_zone(spark):
+    zone, stamps = spark.conf.get("spark.sql.session.timeZone"), []
+    rows = spark.range(1).select(F.col("id").cast("string").alias("id"))
+    try:
+        for place in ("Asia/Tokyo", "America/Los_Angeles", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", place)
+            made = to_documents(rows, lambda _: [F.col("id")])
+            stamps.append(made.first().last_synced)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert stamps == sorted(stamps)
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    assert abs(now - datetime.fromisoformat(stamps[0])) < timedelta(minutes=5)

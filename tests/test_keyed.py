@@ -117,3 +117,8 @@ def test_letters_of_a_topic_made_anew_are_all_kept(spark, store):
     for row in rows:
         store.letters("raw").append(spark.createDataFrame([row], LETTER_DDL))
     assert store.letters("raw").current(spark).count() == 3
+
+
+def test_a_database_in_another_folder_is_refused(spark, store, tmp_path):
+    with pytest.raises(ValueError, match="lies in"):
+        Store(spark, store.database, str(tmp_path / "elsewhere"), 4).ensure()

@@ -52,3 +52,20 @@ def test_index_options():
     options = connectors.index_options("h", 9201)
     assert options["es.nodes"] == "h" and options["es.port"] == "9201"
     assert options["es.mapping.id"] == "id" and options["es.write.operation"] == "index"
+
+
+def test_cassandra_statements():
+    statements = connectors.cassandra_ddl("shop", replicas=3)
+    assert "'replication_factor': 3" in statements[0] and len(statements) == 9
+    assert statements[1] == (
+        "CREATE TABLE IF NOT EXISTS shop.products (product_id uuid, title text, price float, "
+        "description text, category text, stock int, price_with_tax double, "
+        "PRIMARY KEY (product_id))"
+    )
+    assert statements[2].startswith("CREATE TABLE IF NOT EXISTS shop.raw_products (")
+    assert "price_with_tax" not in statements[2]
+    assert "customer_id uuid, product_id uuid, order_date timestamp" in statements[5]
+
+
+def test_refused_documents_are_passed_over():
+    assert connectors.index_options("h")["es.write.rest.error.handlers"] == "log"

@@ -177,3 +177,39 @@ def test_routing_by_topic(spark):
         (ORDERS.topic, "invalid customer_id"),
     }
     graded.unpersist()
+
+
+@pytest.mark.parametrize(
+    "spoil, reason",
+    [
+        (lambda text: " " + text + "\n", None),
+        (lambda text: text + " and more", "not one JSON document"),
+        (lambda text: text + "}{", "not one JSON document"),
+        (lambda text: text + text, "not one JSON document"),
+        (lambda text: text + "," + text, "not one JSON document"),
+        (lambda text: text + "] x", "not one JSON document"),
+        (lambda text: text.replace('"', "'"), "not one JSON document"),
+        (lambda text: text.replace("19.99", "1e999"), "number out of range"),
+        (lambda text: text.replace("19.99", "-1e60"), "number out of range"),
+        (lambda text: text.replace("19.99", '"Infinity"'), "number out of range"),
+    ],
+)
+def test_what_is_no_single_document_is_refused_on_both_strict_ways(spark, spoil, reason):
+    sent = messages(spark, PRODUCTS.topic, [spoil(json.dumps(product(1)))])
+    assert reasons(grade_strict(sent, PRODUCTS)) == [reason]
+    assert reasons(grade_by_topic(sent, ENTITIES.values())) == [reason]
+
+
+def test_bytes_that_are_no_text_are_refused(spark):
+    sent = messages(spark, PRODUCTS.topic, [product(1)])
+    broken = F.concat(F.col("value").substr(1, 30), F.unhex(F.lit("FF")), F.col("value").substr(31, 999))
+    sent = sent.withColumn("value", broken)
+    assert reasons(grade_strict(sent, PRODUCTS)) == ["not UTF-8 text"]
+    assert reasons(grade_by_topic(sent, ENTITIES.values())) == ["not UTF-8 text"]
+
+
+def test_strict_grading_parses_each_message_once(spark):
+    sent = messages(spark, PRODUCTS.topic, [product(1)])
+    plan = plan_of(accepted(grade_strict(sent, PRODUCTS)))
+    # The record, and the array that shows where the document ends.
+    assert plan.count("from_json") == 2 and plan.count("ObjectKeys") == 1

@@ -1,4 +1,4 @@
-"""Command line: ``generate``, ``ingest``, ``transform`` and ``sync``.
+"""Command line: ``generate``, ``ingest``, ``transform``, ``sync`` and ``ddl``.
 
 Topics are a Kafka cluster (``--kafka host:port``) or a folder (``--topics``).
 Tables are a Cassandra keyspace (``--cassandra host``) or a folder (``--store``).
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.entities import ENTITIES, KEYSPACE, POSITION, Entity
 from tillstream.operators.documents import FOREIGN_KEYS, MAPPERS
+from tillstream.jobs import side_by_side
 from tillstream.plans.sync import sync_all, sync_table
 from tillstream.sources import connectors, topics
 from tillstream.sources.generate import SEED, Sizes, generate_all
@@ -36,7 +37,6 @@ from tillstream.streaming.progress import ProgressLog
 Writer = Callable[[DataFrame], None]
 
 MESSAGES_PER_BATCH = 20_000_000
-FILES_PER_BATCH = 1_000
 
 
 def parser() -> argparse.ArgumentParser:
@@ -50,6 +50,7 @@ def parser() -> argparse.ArgumentParser:
     ingest = jobs.add_parser("ingest", help="all topics into raw tables")
     transform = jobs.add_parser("transform", help="each topic into its transformed table")
     sync = jobs.add_parser("sync", help="tables into search documents")
+    jobs.add_parser("ddl", help="print the statements for the Cassandra tables")
     for job in (generate, ingest, transform):
         where = job.add_mutually_exclusive_group(required=True)
         where.add_argument("--kafka", metavar="SERVERS")
@@ -86,7 +87,7 @@ def _messages(spark: SparkSession, args: argparse.Namespace, *names: str) -> Dat
     if args.kafka:
         size = args.per_batch or MESSAGES_PER_BATCH
         return connectors.kafka_stream(spark, args.kafka, *names, per_batch=size, tasks=args.tasks)
-    size = args.per_batch or FILES_PER_BATCH
+    size = args.per_batch or topics.FILES_PER_BATCH
     return topics.stream_folder(spark, args.topics, *names, files_per_batch=size)
 
 
@@ -95,17 +96,19 @@ def _store(spark: SparkSession, args: argparse.Namespace) -> Store:
     return Store(spark, KEYSPACE, folder.rstrip("/"), args.buckets).ensure()
 
 
-def _target(args: argparse.Namespace, entity: Entity, columns: list[str], own: Writer) -> Writer:
+def _target(args: argparse.Namespace, table: str, columns: list[str], own: Writer) -> Writer:
     if not args.cassandra:
         return own
-    return connectors.cassandra_writer(KEYSPACE, entity.name, columns, args.cassandra)
+    return connectors.cassandra_writer(KEYSPACE, table, columns, args.cassandra)
 
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> bool:
     store = _store(spark, args)
     messages = _messages(spark, args, *[e.topic for e in ENTITIES.values()])
     writers = {
-        name: _target(args, entity, entity.columns, store.raw(entity).append_folded)
+        name: _target(
+            args, connectors.raw_name(entity), entity.columns, store.raw(entity).append_folded
+        )
         for name, entity in ENTITIES.items()
     }
     query = start_routed(
@@ -127,7 +130,7 @@ def run_transform(spark: SparkSession, args: argparse.Namespace) -> bool:
             start_topic(
                 _messages(spark, args, entity.topic),
                 entity,
-                _target(args, entity, columns, table.append_folded),
+                _target(args, name, columns, table.append_folded),
                 store.letters(name).append,
                 _checkpoints(args),
                 trigger=_trigger(args),
@@ -162,17 +165,17 @@ def run_sync(spark: SparkSession, args: argparse.Namespace) -> bool:
 
     def reader(entity: Entity) -> Callable[[], DataFrame]:
         if args.cassandra:
-            return partial(
-                connectors.cassandra_table, spark, KEYSPACE, entity.name, args.cassandra
-            )
+            table = connectors.raw_name(entity) if args.raw else entity.name
+            return partial(connectors.cassandra_table, spark, KEYSPACE, table, args.cassandra)
         return partial(store.read_raw if args.raw else store.read, entity)
 
     tables = {name: reader(entity) for name, entity in ENTITIES.items()}
     if not args.elasticsearch:
         done = sync_all(store, tables, none_text=args.none_text)
     else:
-        done = [
-            sync_table(
+        jobs = [
+            partial(
+                sync_table,
                 tables[name],
                 entity.index,
                 MAPPERS[name],
@@ -181,6 +184,7 @@ def run_sync(spark: SparkSession, args: argparse.Namespace) -> bool:
             )
             for name, entity in ENTITIES.items()
         ]
+        done = side_by_side(spark, jobs)
     for report in done:
         logging.getLogger("tillstream").info(
             "%s: %d documents, %d without id, error: %s", *vars(report).values()
@@ -198,6 +202,9 @@ JOBS = {
 
 def main(arguments: list[str] | None = None) -> int:
     args = parser().parse_args(arguments)
+    if args.job == "ddl":
+        print(";\n".join(connectors.cassandra_ddl(KEYSPACE)) + ";")
+        return 0
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName(f"tillstream-{args.job}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")

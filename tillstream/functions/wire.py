@@ -12,6 +12,8 @@ from tillstream.functions.isotime import iso_text
 
 CORRUPT = "_corrupt_record"
 REASON = "reason"
+# What the full contract has to know of a message besides its record.
+FIELDS, WHOLE, SOUND = "_fields", "_whole", "_sound"
 
 
 def json_message(frame: DataFrame) -> Column:
@@ -41,7 +43,11 @@ def parse_fields(frame: DataFrame, text: Column, ddl: str, *keep: str) -> DataFr
 
 
 def decode(messages: DataFrame, entity: Entity, *keep: str) -> DataFrame:
-    """Message bytes to the fields of ``entity``; unreadable text gives null fields."""
+    """Message bytes to the fields of ``entity``; unreadable text gives null fields.
+
+    Of several objects in one message the first is read, text after it is passed
+    over, and bytes that are no UTF-8 become U+FFFD; the full contract refuses these.
+    """
     return parse_fields(messages, message_text(F.col("value")), entity.message, *keep)
 
 
@@ -68,20 +74,53 @@ def lenient_reason(entity: Entity) -> Column:
     return reason
 
 
-def strict_reason(entity: Entity, text: Column, corrupt: Column, at=F.col) -> Column:
+def one_document(text: Column) -> Column:
+    """Whether ``text`` is one JSON document and nothing after it.
+
+    The parser stops at the end of the first document, so the text is put into an
+    array in front of its own hash: only one whole document has the hash second.
+    """
+    seal = F.xxhash64(text).cast("string")
+    sealed = F.concat(F.lit("["), text, F.lit(","), seal, F.lit("]"))
+    cells = F.from_json(sealed, "array<string>", {"allowSingleQuotes": "false"})
+    return F.get(cells, 1).eqNullSafe(seal)
+
+
+def with_facts(messages: DataFrame, text: Column, **records: Column) -> DataFrame:
+    """``records`` and what :func:`strict_reason` asks for, each computed once: the
+    columns above a generator are read as often as needed, and never computed anew."""
+    facts = {
+        **records,
+        FIELDS: F.json_object_keys(text),
+        WHOLE: one_document(text),
+        SOUND: F.is_valid_utf8(text),
+    }
+    row = F.struct(*[fact.alias(name) for name, fact in facts.items()])
+    return messages.select("*", F.inline(F.array(row)))
+
+
+def strict_reason(entity: Entity, corrupt: Column, at=F.col) -> Column:
     """Why a message breaks the full contract, or null when it keeps it.
 
-    The text must be a JSON object with every expected field present (null is a
-    value), every field must have its type, and every UUID column must hold one.
-    ``at`` finds a field by name; UUIDs are in canonical form, null when invalid.
+    The text must be valid UTF-8 and one JSON object with every expected field
+    present (null is a value), every field must have its type, numbers must be
+    finite, and every UUID column must hold one. ``at`` finds a field by name; UUIDs
+    are in canonical form, null when invalid. Needs the columns of ``with_facts``.
     """
-    present = F.json_object_keys(text)
+    present = F.col(FIELDS)
     names = F.array(*[F.lit(name) for name in entity.columns])
     reason = (
-        F.when(present.isNull(), F.lit("not a JSON object"))
+        F.when(~F.col(SOUND), F.lit("not UTF-8 text"))
+        .when(present.isNull(), F.lit("not a JSON object"))
+        .when(~F.col(WHOLE), F.lit("not one JSON document"))
         .when(F.size(F.array_except(names, present)) > 0, F.lit("missing field"))
         .when(corrupt.isNotNull(), F.lit("wrong type"))
     )
+    for field in entity.schema:
+        if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+            # Not a number counts as greater than infinity.
+            endless = F.abs(at(field.name)) >= F.lit(float("inf"))
+            reason = reason.when(endless, F.lit("number out of range"))
     for name in entity.uuids:
         reason = reason.when(at(name).isNull(), F.lit(f"invalid {name}"))
     return reason
@@ -104,11 +143,13 @@ def grade_lenient(messages: DataFrame, entity: Entity) -> DataFrame:
 def grade_strict(messages: DataFrame, entity: Entity) -> DataFrame:
     """As :func:`grade_lenient`, with the full contract."""
     text = message_text(F.col("value"))
-    parsed = parse_fields(messages, text, with_corrupt(entity), "*")
+    record = F.from_json(text, with_corrupt(entity), {"columnNameOfCorruptRecord": CORRUPT})
+    judged = with_facts(messages, text, _record=record)
+    parsed = judged.select("*", "_record.*").drop("_record")
     graded = canonical_keys(parsed, entity).withColumn(
-        REASON, strict_reason(entity, text, F.col(CORRUPT))
+        REASON, strict_reason(entity, F.col(CORRUPT))
     )
-    return graded.drop(CORRUPT, *[as_sent(name) for name in entity.uuids])
+    return graded.drop(CORRUPT, FIELDS, WHOLE, SOUND, *[as_sent(n) for n in entity.uuids])
 
 
 def accepted(graded: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.functions.isotime import iso_text
+from tillstream.functions.isotime import iso_text, moment_at
 
 # A mapper turns a table into the list of its document fields; "id" is required.
 Mapper = Callable[[DataFrame], list[Column]]
@@ -67,9 +67,11 @@ def to_documents(
 ) -> DataFrame:
     """Documents of ``table``, stamped with ``last_synced``.
 
-    ``synced`` fixes the stamp; without it the time of the query is used.
+    ``synced`` fixes the stamp; without it the time of the query is used, in UTC
+    whatever the session's zone, so that stamps order documents by their time.
     ``none_text`` names references whose null is written as the text ``None``.
     """
-    stamp = F.lit(synced) if synced is not None else iso_text(F.current_timestamp())
+    seconds = F.unix_micros(F.current_timestamp()).cast("decimal(20,0)") / F.lit(1_000_000)
+    stamp = F.lit(synced) if synced is not None else iso_text(moment_at(seconds))
     documents = table.select(*mapper(table), stamp.alias("last_synced"))
     return documents.fillna("None", subset=list(none_text)) if none_text else documents

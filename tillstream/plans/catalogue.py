@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstream.entities import CUSTOMERS, ENTITIES, ORDERS, PRODUCTS, TRANSACTIONS, Entity
+from tillstream.entities import CUSTOMERS, ENTITIES, PRODUCTS, TRANSACTIONS, Entity
 from tillstream.functions.draws import digest, wide_draw
 from tillstream.functions.ids import canonical_uuid, derived_uuid
 from tillstream.functions.isotime import iso_date, iso_seconds, iso_text, moment_of
@@ -66,13 +66,29 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = datetime(2024, 6, 30, 12, 0, 0)
 FIRST_SYNC, SECOND_SYNC = "2024-01-01T00:00:00", "2024-01-02T00:00:00.000001"
 
-# One value per entity that shows whether the payload arrived with its key.
-PAYLOAD = {
-    "products": "title",
-    "customers": "email",
-    "orders": "concat_ws('/', status, quantity)",
-    "transactions": "concat_ws('/', payment_method, status)",
-}
+
+def payload(rows: DataFrame, entity: Entity) -> Column:
+    """All columns but the key in one text: money in cents, null as ``~``."""
+    kinds = dict(rows.dtypes)
+
+    def cell(name: str) -> Column:
+        column = F.col(name)
+        if kinds[name] in ("float", "double"):
+            column = F.round(column.cast("double") * 100).cast("bigint")
+        elif kinds[name].startswith("timestamp"):
+            column = iso_text(column)
+        return F.coalesce(column.cast("string"), F.lit("~"))
+
+    return F.concat_ws("|", *[cell(name) for name in entity.columns if name != entity.key])
+
+
+def _stored(rows: DataFrame, entity: Entity, table: str) -> DataFrame:
+    """Rows of a table as (table_name, id, payload)."""
+    return rows.select(
+        F.lit(table).alias("table_name"),
+        F.col(entity.key).alias("id"),
+        payload(rows, entity).alias("payload"),
+    )
 
 
 def naive(frame: DataFrame) -> DataFrame:
@@ -98,7 +114,7 @@ def open_store(spark: SparkSession, folder: str, label: str) -> Store:
 
 def buckets_for(rows: int) -> int:
     """Buckets of about a million rows; a power of two, to divide evenly."""
-    return min(65_536, max(8, 1 << (rows // 1_000_000).bit_length()))
+    return max(8, 1 << (rows // 1_000_000).bit_length())
 
 
 # --- parsing and transforms -------------------------------------------------
@@ -128,23 +144,27 @@ def event_props_parse(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _spoiled_events(spark: SparkSession, folder: str) -> DataFrame:
-    """All events as messages; three in ten have a broken value."""
+    """All events as messages; half of them are no proper JSON object."""
     events = load(spark, folder, "events")
-    kind = F.col("event_id") % 10
+    kind, props = F.col("event_id") % 20, F.col("props")
     value = (
-        F.when(kind == 0, "{bad")
-        .when(kind == 1, '{"k":"x"}')
-        .when(kind == 2, "[1]")
-        .otherwise(F.col("props"))
+        F.when(kind.isin(0, 10), "{bad")
+        .when(kind.isin(1, 11), '{"k":"x"}')
+        .when(kind.isin(2, 12), "[1]")
+        .when(kind == 3, F.concat(props, F.lit(" and more")))
+        .when(kind == 4, F.concat(props, props))
+        .when(kind == 5, F.replace(props, F.lit('"'), F.lit("'")))
+        .when(kind == 6, F.concat(props, F.lit("]")))
+        .otherwise(props)
     )
-    return events.select("event_id", value.cast("binary").alias("value"))
+    no_text = F.concat(props.cast("binary"), F.unhex(F.lit("FF")))
+    value = F.when(kind == 7, no_text).otherwise(value.cast("binary"))
+    return events.select("event_id", value.alias("value"))
 
 
 def dead_letter_split(spark: SparkSession, folder: str) -> DataFrame:
     graded = grade_strict(_spoiled_events(spark, folder), Entity("events", "k int"))
-    return rejected(graded).select(
-        "event_id", message_text(F.col("value")).alias("value"), REASON
-    )
+    return rejected(graded).select("event_id", F.hex("value").alias("value"), REASON)
 
 
 def accepted_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -230,14 +250,7 @@ def ensure_tables(spark: SparkSession, folder: str) -> DataFrame:
                 }
             )
             store.raw(entity).append(rows)
-        current = store.read_raw(entity)
-        parts.append(
-            current.select(
-                F.lit(name).alias("table_name"),
-                F.col(entity.key).alias("id"),
-                F.expr(PAYLOAD[name]).alias("payload"),
-            )
-        )
+        parts.append(_stored(store.read_raw(entity), entity, name))
     return _stacked(parts)
 
 
@@ -285,16 +298,25 @@ def _publish_entities(spark: SparkSession, folder: str) -> str:
 
 
 def _published(spark: SparkSession, folder: str) -> str:
-    """The topics with two kinds of noise: a tombstone per customer, and a topic
-    that belongs to no entity."""
+    """The topics with three kinds of noise: a tombstone per customer, a topic that
+    belongs to no entity, and in every topic a broken message per supplier."""
     place = _publish_entities(spark, folder)
     write, nothing = folder_writer(place), F.lit(None).cast("string")
     customers, events = load(spark, folder, "customer"), load(spark, folder, "events")
     _sent(publish(customers, CUSTOMERS.topic, write, value=nothing))
     _sent(publish(events, "ecommerce-events", write, value=F.col("props")))
+    _publish_broken(spark, folder, place, 1)
     return place
 
 
+def _publish_broken(spark: SparkSession, folder: str, place: str, run: int) -> None:
+    """A JSON object that breaks off, per supplier, into every topic."""
+    text = F.concat(F.lit(f'{{"run":{run},"supplier":'), F.col("s_suppkey").cast("string"))
+    suppliers = load(spark, folder, "supplier")
+    for entity in ENTITIES.values():
+        _sent(publish(suppliers, entity.topic, folder_writer(place), value=text))
+
+
 def _sent(delivery: Delivery) -> None:
     if delivery.error:
         raise RuntimeError(delivery.error)
@@ -306,17 +328,19 @@ def four_streams(spark: SparkSession, folder: str) -> DataFrame:
     sources = {n: stream_folder(spark, place, e.topic) for n, e in ENTITIES.items()}
     wait_all(start_all(sources, store, f"{store.folder}/checkpoints", trigger=ALL_AVAILABLE))
     taxed = {"products": F.col("price_with_tax")}
-    return _stacked(
-        [
-            store.read(e).select(
+    parts = []
+    for n, e in ENTITIES.items():
+        rows = store.read(e)
+        tax = taxed.get(n, F.lit(None).cast("double"))
+        parts.append(
+            rows.select(
                 F.lit(n).alias("table_name"),
                 F.col(e.key).alias("id"),
-                F.expr(PAYLOAD[n]).alias("payload"),
-                taxed.get(n, F.lit(None).cast("double")).alias("price_with_tax"),
+                payload(rows, e).alias("payload"),
+                tax.alias("price_with_tax"),
             )
-            for n, e in ENTITIES.items()
-        ]
-    )
+        )
+    return _stacked(parts)
 
 
 def route_by_topic(spark: SparkSession, folder: str) -> DataFrame:
@@ -324,14 +348,7 @@ def route_by_topic(spark: SparkSession, folder: str) -> DataFrame:
     place, store = _published(spark, folder), open_store(spark, folder, "routed")
     messages = stream_folder(spark, place)
     wait_all([start_raw(messages, store, f"{store.folder}/checkpoints", trigger=ALL_AVAILABLE)])
-    stored = [
-        store.read_raw(e).select(
-            F.lit(f"raw_{n}").alias("table_name"),
-            F.col(e.key).alias("id"),
-            F.expr(PAYLOAD[n]).alias("payload"),
-        )
-        for n, e in ENTITIES.items()
-    ]
+    stored = [_stored(store.read_raw(e), e, f"raw_{n}") for n, e in ENTITIES.items()]
     letters = store.letters("raw").current(spark)
     text = message_text(F.col("value"))
     dead = letters.select(
@@ -351,6 +368,28 @@ def stream_replay_unchanged(spark: SparkSession, folder: str) -> DataFrame:
     return naive(store.read_raw(TRANSACTIONS))
 
 
+def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
+    """Broken messages, published twice with other content, on both ways in."""
+    place, store = fresh_folder(spark, "topics"), open_store(spark, folder, "letters")
+    for run in (1, 2):
+        _publish_broken(spark, folder, place, run)
+    sources = {n: stream_folder(spark, place, e.topic) for n, e in ENTITIES.items()}
+    checkpoints = f"{store.folder}/checkpoints"
+    ways = start_all(sources, store, checkpoints, trigger=ALL_AVAILABLE)
+    ways.append(
+        start_raw(stream_folder(spark, place), store, checkpoints, trigger=ALL_AVAILABLE)
+    )
+    wait_all(ways)
+    return _stacked(
+        [
+            store.letters(way).current(spark).select(
+                F.lit(way).alias("way"), "topic", message_text(F.col("value")).alias("value"), REASON
+            )
+            for way in (*ENTITIES, "raw")
+        ]
+    )
+
+
 def batch_reports(spark: SparkSession, folder: str) -> DataFrame:
     """How many messages each topic's stream read and rejected."""
     place, store = _published(spark, folder), open_store(spark, folder, "reported")
@@ -375,13 +414,13 @@ def batch_reports(spark: SparkSession, folder: str) -> DataFrame:
 def publish_topic(spark: SparkSession, folder: str) -> DataFrame:
     """Publish the entities, then read the topics back as text."""
     place = _publish_entities(spark, folder)
-    text = message_text(F.col("value"))
-    keys = F.array_join(F.json_object_keys(text), ",")
-    return (
-        read_folder(spark, place)
-        .groupBy("topic", keys.alias("fields"))
-        .agg(F.count("value").alias("messages"))
-    )
+    keys = F.array_join(F.json_object_keys(message_text(F.col("value"))), ",")
+    sent, parts = read_folder(spark, place).withColumn("fields", keys), []
+    for entity in ENTITIES.values():
+        rows = decode(sent.filter(F.col("topic") == entity.topic), entity, "topic", "fields")
+        key = F.col(entity.key).alias("id")
+        parts.append(rows.select("topic", "fields", key, payload(rows, entity).alias("payload")))
+    return _stacked(parts)
 
 
 # --- documents --------------------------------------------------------------
@@ -407,14 +446,11 @@ def sync_index_upsert(spark: SparkSession, folder: str) -> DataFrame:
         failed = [r for r in sync_all(store, tables, synced=stamp) if r.error]
         if failed:
             raise RuntimeError(str(failed))
-    return _stacked(
-        [
-            store.index(e).current(spark).select(
-                F.lit(e.index).alias("index_name"), "id", F.expr(PAYLOAD[n]).alias("payload"), "last_synced"
-            )
-            for n, e in ENTITIES.items()
-        ]
-    )
+    parts = []
+    for e in ENTITIES.values():
+        rows, name = store.index(e).current(spark), F.lit(e.index).alias("index_name")
+        parts.append(rows.select(name, "id", payload(rows, e).alias("payload"), "last_synced"))
+    return _stacked(parts)
 
 
 # --- generators and sampling ------------------------------------------------
@@ -432,11 +468,21 @@ def generated_customers(spark: SparkSession, folder: str) -> DataFrame:
     return generate_customers(_ids(spark, folder, "customer", "c_custkey"), AS_OF)
 
 
+def _numbered_keys(spark: SparkSession, folder: str, table: str, key: str) -> int:
+    """How many rows a table has, whose keys must be 0, 1, 2, ..."""
+    low, high, n = (
+        load(spark, folder, table).agg(F.min(key), F.max(key), F.count_distinct(key)).first()
+    )
+    if n and (low, high) != (0, n - 1):
+        raise ValueError(f"{table} is not numbered from 0 to {n - 1}")
+    return n
+
+
 def generated_orders(spark: SparkSession, folder: str) -> DataFrame:
     return generate_orders(
         _ids(spark, folder, "orders", "o_orderkey"),
-        _count(spark, folder, "customer"),
-        _count(spark, folder, "part"),
+        _numbered_keys(spark, folder, "customer", "c_custkey"),
+        _numbered_keys(spark, folder, "part", "p_partkey"),
         AS_OF,
     )
 
@@ -506,6 +552,7 @@ def _catalogue() -> dict[str, Query]:
         four_streams,
         route_by_topic,
         stream_replay_unchanged,
+        stream_dead_letters,
         batch_reports,
         publish_topic,
         sync_index_upsert,
@@ -522,9 +569,8 @@ def _catalogue() -> dict[str, Query]:
     for name, entity in ENTITIES.items():
         found[f"json_round_trip_{name}"] = partial(json_round_trip, entity)
         found[f"documents_{name}"] = partial(documents, name)
-    found["documents_orders_none_text"] = partial(
-        documents, ORDERS.name, none_text=FOREIGN_KEYS[ORDERS.name]
-    )
+    for name, keys in FOREIGN_KEYS.items():
+        found[f"documents_{name}_none_text"] = partial(documents, name, none_text=keys)
     return found
 
 

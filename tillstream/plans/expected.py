@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from tillstream.entities import (
-    CATEGORIES,
-    LOYALTY_LEVELS,
-    ORDER_STATUSES,
-    PAYMENT_METHODS,
-    PAYMENT_STATUSES,
-)
 from tillstream.plans.catalogue import FIRST_SYNC, SECOND_SYNC
 from tillstream.sources import generate as g
 
+# Fixed values of the data contract, stated anew: a wrong one in the code shows.
+CATEGORIES = ("Electronics", "Fashion", "Home", "Books", "Sports")
+LOYALTY_LEVELS = ("Bronze", "Silver", "Gold")
+ORDER_STATUSES = ("Pending", "Shipped", "Cancelled")
+PAYMENT_METHODS = ("Credit Card", "PayPal", "Bank Transfer")
+PAYMENT_STATUSES = ("Completed", "Failed")
+
 
 def _hyphens(hex32: str) -> str:
     cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
@@ -60,7 +60,7 @@ transactions as (
     cast(cast(o_orderdate as date) + cast(o_orderkey % 30 as int) as timestamp) as payment_date,
     cast(o_totalprice as float) as amount,
     case when o_orderkey % 5 = 0 then 'Failed' else 'Completed' end as status
-  from orders where o_orderkey % 2 = 0)
+  from orders)
 """
 
 VIEW_NAMES = {
@@ -75,11 +75,23 @@ KEYS = {
     "orders": "order_id",
     "transactions": "transaction_id",
 }
+
+
+def _cells(*columns: str) -> str:
+    return " || '|' || ".join(f"coalesce(cast({c} as varchar), '~')" for c in columns)
+
+
+def _cents(column: str) -> str:
+    return f"cast(round(cast({column} as double) * 100) as bigint)"
+
+
 PAYLOADS = {
-    "products": "title",
-    "customers": "email",
-    "orders": "concat_ws('/', status, quantity)",
-    "transactions": "payment_method || '/' || status",
+    "products": _cells("title", _cents("price"), "description", "category", "stock"),
+    "customers": _cells("name", "email", _iso("signup_date"), "location", "loyalty_status"),
+    "orders": _cells("customer_id", "product_id", _iso("order_date"), "quantity", "status"),
+    "transactions": _cells(
+        "order_id", "payment_method", _iso("payment_date"), _cents("amount"), "status"
+    ),
 }
 TAX = "price * cast(1.2 as double)"
 
@@ -197,8 +209,15 @@ def _numbered(table: str, key: str) -> str:
     return f"(select {key}, {_NUMBERED.format(key=key)} as n from {table})"
 
 
-_SPOILED = """(select event_id, case event_id % 10 when 0 then '{bad' when 1 then '{"k":"x"}'
-  when 2 then '[1]' else props end as value from events)"""
+_SPOILED = """(select event_id, event_id % 20 as kind, hex(encode(case
+    when event_id % 10 = 0 then '{bad' when event_id % 10 = 1 then '{"k":"x"}'
+    when event_id % 10 = 2 then '[1]' when event_id % 20 = 3 then props || ' and more'
+    when event_id % 20 = 4 then props || props
+    when event_id % 20 = 5 then replace(props, '"', chr(39))
+    when event_id % 20 = 6 then props || ']' else props end))
+    || case when event_id % 20 = 7 then 'FF' else '' end as value from events)"""
+_BROKEN_KINDS = "(0, 1, 2, 3, 4, 5, 6, 7, 10, 11, 12)"
+_BROKEN_RUNS = "supplier cross join (values (1), (2)) as runs(run)"
 
 EXPECTED: dict[str, str] = {
     "products_in_stock_taxed": VIEWS_SQL
@@ -208,10 +227,11 @@ EXPECTED: dict[str, str] = {
     "orders_not_cancelled": VIEWS_SQL + "select * from shop_orders where status <> 'Cancelled'",
     "event_props_parse": "select event_id, cast(json_extract_string(props, '$.k') as int) as k "
     "from events",
-    "dead_letter_split": f"""select event_id, value, case event_id % 10 when 1 then 'wrong type'
-      else 'not a JSON object' end as reason from {_SPOILED} where event_id % 10 in (0, 1, 2)""",
+    "dead_letter_split": f"""select event_id, value, case when kind in (1, 11) then 'wrong type'
+      when kind = 7 then 'not UTF-8 text' when kind in (3, 4, 5, 6) then 'not one JSON document'
+      else 'not a JSON object' end as reason from {_SPOILED} where kind in {_BROKEN_KINDS}""",
     "accepted_messages": "select event_id, cast(json_extract_string(props, '$.k') as int) as k "
-    "from events where event_id % 10 not in (0, 1, 2)",
+    f"from events where event_id % 20 not in {_BROKEN_KINDS}",
     "permissive_parse": "select event_id, case when event_id % 10 not in (0, 1, 2) then "
     "cast(json_extract_string(props, '$.k') as int) end as k from events",
     "uuid_canonical": f"""select o_orderkey, case when o_orderkey % 6 < 4
@@ -241,15 +261,25 @@ EXPECTED: dict[str, str] = {
         f"from {v}" + (" where product_id is not null" if n == "orders" else "")
     )
     + " union all select 'dead ecommerce-orders', order_id, 'invalid product_id' "
-    "from shop_orders where product_id is null",
+    "from shop_orders where product_id is null"
+    + "".join(
+        f" union all select 'dead ecommerce-{n}', null, 'not a JSON object' from supplier"
+        for n in VIEW_NAMES
+    ),
     "stream_replay_unchanged": VIEWS_SQL + "select * from transactions",
+    "stream_dead_letters": " union all ".join(
+        f"""select '{way}' as way, 'ecommerce-{n}' as topic, '{{"run":' || run || ',"supplier":'
+        || s_suppkey as value, '{reason}' as reason from {_BROKEN_RUNS}"""
+        for n, key in KEYS.items()
+        for way, reason in ((n, f"missing {key}"), ("raw", "not a JSON object"))
+    ),
     "batch_reports": _union(
-        lambda n, v: f"select '{n}' as topic, count(*) as messages, cast(0 as bigint) as rejected "
-        f"from {v}"
+        lambda n, v: f"select '{n}' as topic, count(*) + (select count(*) from supplier) "
+        f"as messages, (select count(*) from supplier) as rejected from {v}"
     ),
     "publish_topic": _union(
         lambda n, v: f"select 'ecommerce-{n}' as topic, '{MESSAGE_FIELDS[n]}' as fields, "
-        f"count(*) as messages from {v}"
+        f"{KEYS[n]} as id, {PAYLOADS[n]} as payload from {v}"
     ),
     "sync_index_upsert": _union(
         lambda n, v: f"select 'ecommerce_{n}' as index_name, {KEYS[n]} as id, "
@@ -283,6 +313,11 @@ for _name, _view in VIEW_NAMES.items():
     EXPECTED[f"documents_{_name}"] = (
         VIEWS_SQL + f"select {DOCUMENTS[_name]}, '{FIRST_SYNC}' as last_synced from {_view}"
     )
+EXPECTED["documents_transactions_none_text"] = (
+    VIEWS_SQL
+    + f"""select * replace (coalesce(order_id, 'None') as order_id)
+    from (select {DOCUMENTS["transactions"]}, '{FIRST_SYNC}' as last_synced from transactions)"""
+)
 EXPECTED["documents_orders_none_text"] = (
     VIEWS_SQL
     + f"""select * replace (coalesce(customer_id, 'None') as customer_id,

@@ -10,6 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from tillstream.entities import ENTITIES, Entity
 
 KAFKA = "kafka"
 CASSANDRA = "org.apache.spark.sql.cassandra"
@@ -61,6 +64,28 @@ def cassandra_table(spark: SparkSession, keyspace: str, table: str, host: str) -
     return spark.read.format(CASSANDRA).options(**cassandra_options(keyspace, table, host)).load()
 
 
+def cassandra_ddl(keyspace: str, replicas: int = 1) -> list[str]:
+    """Statements for the keyspace and, per entity, its transformed and its raw table."""
+    statements = [
+        f"CREATE KEYSPACE IF NOT EXISTS {keyspace} WITH replication = "
+        f"{{'class': 'SimpleStrategy', 'replication_factor': {replicas}}}"
+    ]
+    for entity in ENTITIES.values():
+        for table, ddl in ((entity.name, entity.table_ddl), (raw_name(entity), entity.message)):
+            columns = []
+            for field in T.StructType.fromDDL(ddl):
+                kind = field.dataType.simpleString().replace("string", "text")
+                columns.append(f"{field.name} {'uuid' if field.name in entity.uuids else kind}")
+            body = ", ".join([*columns, f"PRIMARY KEY ({entity.key})"])
+            statements.append(f"CREATE TABLE IF NOT EXISTS {keyspace}.{table} ({body})")
+    return statements
+
+
+def raw_name(entity: Entity) -> str:
+    """Raw rows have a table of their own, so they never replace transformed ones."""
+    return f"raw_{entity.name}"
+
+
 def cassandra_writer(
     keyspace: str, table: str, columns: Iterable[str], host: str | None = None
 ) -> Callable[[DataFrame], None]:
@@ -74,7 +99,11 @@ def cassandra_writer(
 
 
 def index_options(nodes: str, port: int = 9200) -> dict[str, str]:
+    """A document that the index refuses is logged and passed over; the others of its
+    table are written."""
     return {
+        "es.write.rest.error.handlers": "log",
+        "es.write.rest.error.handler.log.logger.name": "tillstream.index",
         "es.nodes": nodes,
         "es.port": str(port),
         "es.mapping.id": "id",

@@ -30,6 +30,11 @@ LETTER_DDL = (
 LETTER_KEY = ("topic", "partition", "offset", "timestamp", "value")
 
 
+def _plain(folder: str) -> str:
+    """A folder without the scheme of local files, of which Spark writes several forms."""
+    return "/" + folder.removeprefix("file:").strip("/")
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """A bucketed table and the columns that say which version is the latest."""
@@ -86,6 +91,9 @@ class Store:
         table of transformed records, an index of documents and dead letters."""
         self._check_layout()
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.folder}'")
+        held = self.spark.catalog.getDatabase(self.database).locationUri
+        if _plain(held) != _plain(self.folder):
+            raise ValueError(f"{self.database} lies in {held}, not in {self.folder}")
         for entity in ENTITIES.values():
             self._create(entity.name, f"{entity.table_ddl}, {POSITION_DDL}", entity.key)
             self._create(f"raw_{entity.name}", f"{entity.message}, {POSITION_DDL}", entity.key)

@@ -21,6 +21,7 @@ MESSAGE_DDL = (
     "key binary, value binary, partition int, offset bigint, "
     "timestamp timestamp, timestampType int, topic string"
 )
+FILES_PER_BATCH = 1_000
 
 
 def to_messages(
@@ -97,11 +98,12 @@ def read_folder(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_folder(
-    spark: SparkSession, folder: str, *topics: str, files_per_batch: int | None = None
+    spark: SparkSession, folder: str, *topics: str, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """Messages of the given topics from the earliest on; all topics when none is given."""
-    reader = spark.readStream.schema(MESSAGE_DDL)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    """Messages of the given topics from the earliest on; all topics when none is given.
+
+    A batch is kept while its tables are written, so a long backlog is read in
+    several: ``files_per_batch`` bounds one batch, not the stream."""
+    reader = spark.readStream.schema(MESSAGE_DDL).option("maxFilesPerTrigger", files_per_batch)
     messages = reader.parquet(folder)
     return messages.filter(F.col("topic").isin(*topics)) if topics else messages

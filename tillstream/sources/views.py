@@ -80,7 +80,6 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     paid = F.date_add(F.col("o_orderdate").cast("date"), (key % 30).cast("int"))
     return (
         load(spark, folder, "orders")
-        .filter(key % 2 == 0)
         .select(
             derived_uuid("txn", key).alias("transaction_id"),
             derived_uuid("order", key).alias("order_id"),
