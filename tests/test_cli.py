@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
+from helpers import order
+from pyspark.sql import functions as F
 
 from tillstream import __main__ as cli
-from tillstream.entities import ENTITIES, KEYSPACE
+from tillstream.entities import ENTITIES, KEYSPACE, ORDERS
 from tillstream.sources.keyed import Store
 
 
@@ -50,3 +54,26 @@ def test_two_stores_read_the_same_topics_from_the_beginning(spark, tmp_path):
 def test_statements_are_printed(capsys):
     assert cli.main(["ddl"]) == 0
     assert capsys.readouterr().out.count("CREATE TABLE") == 8
+
+
+def test_sync_after_the_merge_or_before_it(spark, tmp_path):
+    """An order that was stored, and cancelled later: its filtered table keeps the older
+    version, the merge comes to the newer one and drops it."""
+    store = Store(spark, KEYSPACE, f"{tmp_path}/store", 4).ensure()
+    raw, kept = store.raw(ORDERS), store.table(ORDERS)
+    position = {"timestamp": F.lit("2024-01-01").cast("timestamp"), "partition": F.lit(0)}
+    for offset, status in ((0, "Pending"), (1, "Cancelled")):
+        one = {**order(1), "order_date": datetime(2024, 1, 2), "status": status}
+        row = spark.createDataFrame([one], ORDERS.message)
+        row = row.withColumns({**position, "offset": F.lit(offset).cast("bigint")})
+        raw.append(row)
+        kept.append(row.filter("status <> 'Cancelled'"))
+    tables = [f"--store={tmp_path}/store", "--buckets=4"]
+    assert cli.main(["sync", "--merge-first", *tables]) == 0
+    assert store.index(ORDERS).current(spark).count() == 0
+    assert cli.main(["sync", *tables]) == 0
+    assert [r.status for r in store.index(ORDERS).current(spark).collect()] == ["Pending"]
+    copy = store.copy_to(Store(spark, f"{KEYSPACE}_copy", f"{tmp_path}/copy", 4))
+    assert copy.index(ORDERS).current(spark).count() == 1
+    for name in (KEYSPACE, copy.database):
+        spark.sql(f"DROP DATABASE {name} CASCADE")

@@ -14,6 +14,7 @@ from tillstream.sources.topics import stream_folder
 from tillstream.streaming.append import start_append
 from tillstream.streaming.ingest import (
     ALL_AVAILABLE,
+    finish_all,
     start_all,
     start_raw,
     start_routed,
@@ -230,3 +231,22 @@ def test_batch_that_fails_after_its_first_table(spark, store, topics, tmp_path):
     assert store.read_raw(PRODUCTS).count() == 2
     assert store.read_raw(ORDERS).count() == 1
     assert store.letters("raw").current(spark).count() == 1
+
+
+class Ended:
+    def __init__(self, fails: bool, active: bool):
+        self.fails, self.isActive, self.stopped = fails, active, False
+
+    def awaitTermination(self):
+        if self.fails:
+            raise RuntimeError("lost")
+
+    def stop(self):
+        self.stopped = True
+
+
+def test_a_failing_stream_stops_the_others():
+    fine, broken, running = Ended(False, False), Ended(True, False), Ended(False, True)
+    with pytest.raises(RuntimeError, match="lost"):
+        finish_all([fine, running, broken])
+    assert running.stopped

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.entities import ENTITIES, KEYSPACE, POSITION, Entity
 from tillstream.operators.documents import FOREIGN_KEYS, MAPPERS
+from tillstream.operators.transforms import step_for
 from tillstream.jobs import side_by_side
 from tillstream.plans.sync import sync_all, sync_table
 from tillstream.sources import connectors, topics
@@ -27,10 +28,9 @@ from tillstream.sources.generate import SEED, Sizes, generate_all
 from tillstream.sources.keyed import Store
 from tillstream.streaming.ingest import (
     ALL_AVAILABLE,
+    finish_all,
     start_routed,
     start_topic,
-    stop_all,
-    wait_all,
 )
 from tillstream.streaming.progress import ProgressLog
 
@@ -66,6 +66,12 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--cassandra", metavar="HOST")
     sync.add_argument("--elasticsearch", metavar="HOST")
     sync.add_argument("--raw", action="store_true", help="read the raw tables")
+    sync.add_argument(
+        "--merge-first",
+        action="store_true",
+        help="read the raw tables, then transform: a record whose latest version is "
+        "filtered out is not synced with an older one",
+    )
     sync.add_argument("--none-text", action="store_true", help="write null references as None")
     return top
 
@@ -152,24 +158,26 @@ def _trigger(args: argparse.Namespace) -> dict | None:
 
 def _run(queries: list) -> bool:
     try:
-        wait_all(queries)
+        finish_all(queries)
     except KeyboardInterrupt:
         pass
-    finally:
-        stop_all(queries)
     return True
 
 
 def run_sync(spark: SparkSession, args: argparse.Namespace) -> bool:
     store = _store(spark, args)
 
-    def reader(entity: Entity) -> Callable[[], DataFrame]:
+    raw = args.raw or args.merge_first
+
+    def read(entity: Entity) -> DataFrame:
         if args.cassandra:
-            table = connectors.raw_name(entity) if args.raw else entity.name
-            return partial(connectors.cassandra_table, spark, KEYSPACE, table, args.cassandra)
-        return partial(store.read_raw if args.raw else store.read, entity)
+            table = connectors.raw_name(entity) if raw else entity.name
+            rows = connectors.cassandra_table(spark, KEYSPACE, table, args.cassandra)
+        else:
+            rows = (store.read_raw if raw else store.read)(entity)
+        return step_for(entity.name)(rows) if args.merge_first else rows
 
-    tables = {name: reader(entity) for name, entity in ENTITIES.items()}
+    tables = {name: partial(read, entity) for name, entity in ENTITIES.items()}
     if not args.elasticsearch:
         done = sync_all(store, tables, none_text=args.none_text)
     else:

@@ -38,7 +38,7 @@ from tillstream.sources.generate import (
     generate_customers,
     generate_orders,
     generate_products,
-    generate_transactions,
+    generate_transactions_of,
     payments_for,
 )
 from tillstream.sources.keyed import Store
@@ -55,9 +55,9 @@ from tillstream.streaming.append import start_append
 from tillstream.streaming.ingest import (
     ALL_AVAILABLE,
     BatchReport,
+    finish_all,
     start_all,
     start_raw,
-    wait_all,
 )
 from tillstream.workspace import fresh_folder
 
@@ -326,7 +326,7 @@ def four_streams(spark: SparkSession, folder: str) -> DataFrame:
     """One stream per topic into transformed tables."""
     place, store = _published(spark, folder), open_store(spark, folder, "streams")
     sources = {n: stream_folder(spark, place, e.topic) for n, e in ENTITIES.items()}
-    wait_all(start_all(sources, store, f"{store.folder}/checkpoints", trigger=ALL_AVAILABLE))
+    finish_all(start_all(sources, store, f"{store.folder}/checkpoints", trigger=ALL_AVAILABLE))
     taxed = {"products": F.col("price_with_tax")}
     parts = []
     for n, e in ENTITIES.items():
@@ -347,7 +347,7 @@ def route_by_topic(spark: SparkSession, folder: str) -> DataFrame:
     """One stream over all topics into raw tables and dead letters."""
     place, store = _published(spark, folder), open_store(spark, folder, "routed")
     messages = stream_folder(spark, place)
-    wait_all([start_raw(messages, store, f"{store.folder}/checkpoints", trigger=ALL_AVAILABLE)])
+    finish_all([start_raw(messages, store, f"{store.folder}/checkpoints", trigger=ALL_AVAILABLE)])
     stored = [_stored(store.read_raw(e), e, f"raw_{n}") for n, e in ENTITIES.items()]
     letters = store.letters("raw").current(spark)
     text = message_text(F.col("value"))
@@ -364,7 +364,7 @@ def stream_replay_unchanged(spark: SparkSession, folder: str) -> DataFrame:
     place, store = _published(spark, folder), open_store(spark, folder, "replayed")
     for run in ("first", "second"):
         messages = stream_folder(spark, place)
-        wait_all([start_raw(messages, store, f"{store.folder}/{run}", trigger=ALL_AVAILABLE)])
+        finish_all([start_raw(messages, store, f"{store.folder}/{run}", trigger=ALL_AVAILABLE)])
     return naive(store.read_raw(TRANSACTIONS))
 
 
@@ -379,7 +379,7 @@ def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     ways.append(
         start_raw(stream_folder(spark, place), store, checkpoints, trigger=ALL_AVAILABLE)
     )
-    wait_all(ways)
+    finish_all(ways)
     return _stacked(
         [
             store.letters(way).current(spark).select(
@@ -395,7 +395,7 @@ def batch_reports(spark: SparkSession, folder: str) -> DataFrame:
     place, store = _published(spark, folder), open_store(spark, folder, "reported")
     reports: list[BatchReport] = []
     sources = {n: stream_folder(spark, place, e.topic) for n, e in ENTITIES.items()}
-    wait_all(
+    finish_all(
         start_all(
             sources,
             store,
@@ -488,8 +488,13 @@ def generated_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def generated_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    orders = generated_orders(spark, folder)
-    return generate_transactions(orders, _count(spark, folder, "orders") // 2, AS_OF)
+    return generate_transactions_of(
+        _ids(spark, folder, "orders", "o_orderkey"),
+        _count(spark, folder, "orders") // 2,
+        _numbered_keys(spark, folder, "customer", "c_custkey"),
+        _numbered_keys(spark, folder, "part", "p_partkey"),
+        AS_OF,
+    )
 
 
 def payments_rejected(spark: SparkSession, folder: str) -> DataFrame:

@@ -175,7 +175,7 @@ from (select *, {_one(_draw("t", 0), g.FIRST_NAMES)} as a,
               {_digest("customer-text", "c_custkey")} as t from customer))
 """
 GENERATED_ORDERS = f"""
-select {_uid("order-42", "id")} as order_id, {_uid("customer-42", "c")} as customer_id,
+select {{key}}{_uid("order-42", "id")} as order_id, {_uid("customer-42", "c")} as customer_id,
   {_uid("product-42", "p")} as product_id,
   {AS_OF_SQL} - to_seconds({_draw("f", 0)} % 31536001) as order_date,
   cast({_draw("f", 1)} % 5 + 1 as int) as quantity,
@@ -186,9 +186,9 @@ from (select o_orderkey as id, {_digest("order", "o_orderkey")} as f,
       from orders)
 """
 GENERATED_TRANSACTIONS = f"""
-with o as ({GENERATED_ORDERS}),
+with o as ({GENERATED_ORDERS.format(key="id, ")}),
 sampled as (select * from o
-  qualify row_number() over (order by md5('42:' || order_id), order_id)
+  qualify row_number() over (order by md5('42:' || id), id)
     <= (select count(*) // 2 from orders)),
 facts as (select *, {_digest("transaction", "order_id")} as f from sampled)
 select {_uid("transaction-42", "order_id")} as transaction_id, order_id,
@@ -289,7 +289,7 @@ EXPECTED: dict[str, str] = {
     ),
     "generated_products": GENERATED_PRODUCTS,
     "generated_customers": GENERATED_CUSTOMERS,
-    "generated_orders": GENERATED_ORDERS,
+    "generated_orders": GENERATED_ORDERS.format(key=""),
     "generated_transactions": GENERATED_TRANSACTIONS,
     "payments_rejected": f"""select {_uid("order", "o_orderkey")} as order_id,
       case when o_orderkey % 11 = 0 then 'unreadable order_date'

@@ -186,18 +186,33 @@ def generate_transactions(
     return accepted(payments_for(sampled, as_of, seed)).drop(REASON)
 
 
+def generate_transactions_of(
+    ids: DataFrame,
+    size: int,
+    customers: DataFrame | int,
+    products: DataFrame | int,
+    as_of: datetime,
+    seed: int = SEED,
+) -> DataFrame:
+    """Transactions for ``size`` of the orders that :func:`generate_orders` makes of
+    ``ids``. The ids are sampled, so only the chosen orders are made."""
+    chosen = exact_sample(ids, size, ["id"], seed)
+    orders = generate_orders(chosen, customers, products, as_of, seed)
+    return accepted(payments_for(orders, as_of, seed)).drop(REASON)
+
+
 def generate_all(
     spark: SparkSession, as_of: datetime, sizes: Sizes = Sizes(), seed: int = SEED
 ) -> dict[str, DataFrame]:
     """Four related tables."""
-    orders = generate_orders(
-        spark.range(sizes.orders), sizes.customers, sizes.products, as_of, seed
-    )
+    ids, refers_to = spark.range(sizes.orders), (sizes.customers, sizes.products)
     return {
         "products": generate_products(spark.range(sizes.products), seed),
         "customers": generate_customers(spark.range(sizes.customers), as_of, seed),
-        "orders": orders,
-        "transactions": generate_transactions(orders, sizes.transactions, as_of, seed),
+        "orders": generate_orders(ids, *refers_to, as_of, seed),
+        "transactions": generate_transactions_of(
+            ids, sizes.transactions, *refers_to, as_of, seed
+        ),
     }
 
 

@@ -155,6 +155,11 @@ class Store:
         other.ensure()
         pairs = [(self.letters("raw"), other.letters("raw"))]
         for entity in ENTITIES.values():
+            index = self.index(entity)
+            if self.spark.catalog.tableExists(index.name):
+                kinds = index.versions(self.spark).dtypes
+                other.ensure_index(entity.index, ", ".join(f"{n} {kind}" for n, kind in kinds))
+                pairs.append((index, other.index(entity)))
             pairs += [
                 (self.table(entity), other.table(entity)),
                 (self.raw(entity), other.raw(entity)),

@@ -199,6 +199,15 @@ def wait_all(queries: Iterable[StreamingQuery], pause: float = 0.2) -> None:
         time.sleep(pause if running else 0)
 
 
+def finish_all(queries: Iterable[StreamingQuery]) -> None:
+    """Wait for all; when one fails, stop the others before it is raised."""
+    queries = list(queries)
+    try:
+        wait_all(queries)
+    finally:
+        stop_all(queries)
+
+
 def stop_all(queries: Iterable[StreamingQuery]) -> None:
     for query in queries:
         query.stop()
