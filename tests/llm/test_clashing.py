@@ -1,0 +1,88 @@
+"""Extra columns whose names the operators use themselves, in any case."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tillstream.llm.catalogue import mixed, tokenizer
+from tillstream.llm.exact import exact_groups
+from tillstream.llm.lines import duplicate_lines
+from tillstream.llm.neighbours import near_vectors
+from tillstream.llm.pack import pack
+from tillstream.llm.shards import shuffled_shards
+from tillstream.llm.simhash import simhash_groups
+from tillstream.llm.tokens import token_counts
+from tillstream.llm.toxic import Language, Model, fit, toxicity
+from tillstream.llm.urls import judge_urls, labelled_urls
+
+NAMES = """_bucket _order _row _rows _pos before Shard SLOT _key _text _tokens _place _slot _full
+_rest Tokens EPOCH _domain _lang _source _clean _length _prefix _again _more keep_id group_size Kept
+mark fp fingerprint component_id _id _sum _gone _mark _lines line pos part key doc_tokens ids Score
+PREDICTED _scored Host PATH Rule verdict block_chance n_tokens n_bytes over_limit count""".split()
+TEXTS = ["river stone amber cloud meadow " * 8, "river stone amber cloud meadow " * 8, None, "", "one two"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    data = [(i, t, "en", "src0") for i, t in enumerate(TEXTS)]
+    base = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    return base.select("*", *[F.lit(f"mine {n}").alias(n) for n in NAMES])
+
+
+@pytest.fixture(scope="module")
+def model():
+    return Model(Language.fitted(np.array([], dtype=int), np.array([])), {}, 0.1)
+
+
+def apart(frame):
+    lower = [c.lower() for c in frame.columns]
+    assert len(set(lower)) == len(lower)
+    return frame.collect()
+
+
+def untouched(rows, columns):
+    return all(r[c] == f"mine {c}" for r in rows for c in columns if c in NAMES)
+
+
+def test_operators_that_pass_columns_on(spark, docs, model):
+    for frame in (
+        shuffled_shards(docs, 2),
+        mixed(docs),
+        toxicity(docs, model),
+        judge_urls(docs.withColumn("url", F.col("text")), labelled_urls(spark)),
+    ):
+        given = [c for c in docs.columns if c in frame.columns]
+        rows = apart(frame)
+        assert rows and untouched(rows, [c for c in given if c not in ("verdict", "block_chance")])
+
+
+def test_operators_with_columns_of_their_own(spark, docs):
+    carried = apart(exact_groups(docs, carry=["_row", "_key", "mark", "lang"]))
+    assert len(carried) == len(TEXTS) and {r.mark for r in carried} == {"mine mark"}
+    assert len(apart(simhash_groups(docs))) == len(TEXTS)
+    assert len(apart(pack(docs, tokenizer("word_bpe_49k.json")))) == len(TEXTS)
+    assert len(apart(token_counts(docs, tokenizer("byte_bpe_50k.json"), 5))) == len(TEXTS)
+    assert len(apart(duplicate_lines(docs))) == 2
+    vectors = docs.select("*", F.col("doc_id").alias("vec_id"), F.array(F.lit(1.0)).alias("embedding"),
+                          F.lit(1).alias("label"), F.lit(1).alias("N_LINKS"), F.lit(1).alias("src"))
+    assert {r.n_links for r in apart(near_vectors(vectors))} == {len(TEXTS) - 1}
+    fitted = fit(docs, docs.select("doc_id", "_key", F.lit(0).alias("toxic")))
+    assert not fitted.chance
+
+
+def test_stages_return_the_columns_as_they_were(spark, docs, tmp_path):
+    import corpus_pipeline as pipeline
+
+    spark.createDataFrame([(0, 0)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and untouched(rows, docs.columns), name
+
+
+def test_every_stage_takes_an_empty_table(spark, docs, tmp_path):
+    import corpus_pipeline as pipeline
+
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for name, stage in pipeline.STAGES:
+        assert stage(spark, docs.limit(0), str(tmp_path)).collect() == [], name

@@ -49,10 +49,9 @@ def source_tree() -> list[tuple[str, Column]]:
     return [("domain", domain()), ("lang", F.col("lang")), ("source", F.col("source"))]
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    return mix_sources(
-        docs, source_tree(), [DOMAINS, LANGUAGES, SOURCES], MIX_SHARE, MIX_EPOCHS
-    )
+def mixed(docs: DataFrame, added: tuple[str, str] = ("tokens", "epoch")) -> DataFrame:
+    weights = [DOMAINS, LANGUAGES, SOURCES]
+    return mix_sources(docs, source_tree(), weights, MIX_SHARE, MIX_EPOCHS, added=added)
 
 
 def training_labels(spark: SparkSession, folder: str) -> DataFrame:

@@ -49,10 +49,18 @@ def ascii_lower(text: Column) -> Column:
 
 
 def without(rows: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Rows without the columns that an operator is about to add."""
+    """Rows without the columns that an operator is about to add, in whatever case."""
     return rows.drop(*names)
 
 
+def unused(rows: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``rows`` is called so in whatever case."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def kept_safe(rows: DataFrame) -> DataFrame:
     """Rows written once to the folder in ``spark.checkpoint.dir``; lineage ends there.
 

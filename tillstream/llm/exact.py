@@ -24,7 +24,8 @@ def exact_groups(
 
     Texts are equal when their normalised forms are identical. Of a group the row
     with the smallest key stays; a null key counts as largest; of rows that share
-    the smallest key exactly one stays. Null and empty texts form one group.
+    the smallest key exactly one stays. Null and empty texts form one group; of an
+    empty table nothing comes back. Names in ``carry`` may be any but those returned.
 
     First pass: rows per (length, prefix hash), summed inside the map tasks; lengths
     held by one row fall out, then prefixes. Second pass: only rows of a surviving
@@ -43,12 +44,13 @@ def exact_groups(
         .filter("count > 1")
         .select("_length", "_prefix", F.lit(True).alias("_again"))
     )
-    narrow = [F.col(c) for c in carry]
-    rows = docs.select(F.col(key).alias("_key"), *narrow, clean.alias("_clean"), length, prefix)
+    # In a struct, where no name clashes with those of this operator.
+    carried = F.struct(*carry) if carry else F.lit(None)
+    rows = docs.select(F.col(key).alias("_key"), carried.alias("_more"), clean.alias("_clean"), length, prefix)
     hashed = kept_safe(
         rows.join(small_side(pairs, pairs.count()), ["_length", "_prefix"], "left").select(
             "_key",
-            *carry,
+            "_more",
             F.monotonically_increasing_id().alias("_row"),
             F.when(F.col("_again"), F.sha2(F.col("_clean"), 256)).alias("_full"),
         )
@@ -58,16 +60,17 @@ def exact_groups(
     groups = kept_safe(
         shared.groupBy("_full").agg(F.min(order).alias("_keep"), F.count("*").alias("group_size"))
     )
+    more = ["_more.*"] if carry else []
     decided = shared.join(groups, "_full").select(
         F.col("_key").alias(key),
-        *carry,
+        *more,
         F.col("_keep._key").alias("keep_id"),
         "group_size",
         (F.col("_row") == F.col("_keep._row")).alias("kept"),
     )
     single = alone.select(
         F.col("_key").alias(key),
-        *carry,
+        *more,
         F.col("_key").alias("keep_id"),
         F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"),

@@ -297,7 +297,8 @@ def duplicate_lines(
     (candidates by MinHash bands: 98.7 % recall at 0.8, more above; all candidates
     verified), are one component; of a component the occurrence with the smallest
     (key, mark, pos) is kept, null keys last. Documents equal in key and text share
-    their rows, marked alike. Shorter and empty lines are not listed: they stay.
+    their rows, marked alike. Shorter and empty lines, and so null and empty texts, are
+    not listed: they stay. An empty table gives an empty result.
     line_id is a 64-bit hash, by which equal lines are told.
     """
     lines, linked = line_components(docs, key, text, similarity)
@@ -329,7 +330,8 @@ def without_duplicate_lines(
     """``docs`` with all columns, their text without the lines that are not kept.
 
     Every row stays, also one whose lines all go (its text is then empty). A text
-    without dropped lines, or null, is unchanged.
+    without dropped lines, or null, is unchanged, and so is every other column, whatever
+    its name. An empty table gives an empty one.
     """
     marked = duplicate_lines(docs, key, text, similarity)
     gone = kept_safe(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import WORD, kept_safe, or_empty
+from tillstream.llm.common import WORD, kept_safe, or_empty, without
 
 SEED = 42
 HASH_DIGITS = 15
@@ -117,9 +117,13 @@ def mix_sources(
     seed: int = SEED,
     key: str = "doc_id",
     text: str = "text",
+    added: tuple[str, str] = ("tokens", "epoch"),
 ) -> DataFrame:
     """Rows of ``docs`` chosen for the mix, with all columns, tokens (words) and epoch.
 
+    Those two are named by ``added``; columns of these names, in whatever case, are
+    replaced. Null texts have no tokens; an empty table gives an empty mix.
+
     ``tree`` names the levels, each with its expression (null counts as "unknown").
     The budget is ``share`` (a fraction) of all tokens. A leaf's capacity is its
     tokens times ``max_epochs``. A leaf with a budget of several times its tokens
@@ -134,9 +138,7 @@ def mix_sources(
     key and text share a place; which of them falls inside is of no consequence.
     """
     names = [n for n, _ in tree]
-    added = ("tokens", "epoch")
-    given = [c for c in docs.columns if c not in added]
-    row = F.struct(*given).alias("_row")
+    row = F.struct(*without(docs, added).columns).alias("_row")
     placed = docs.select(
         row,
         *[F.coalesce(c.cast("string"), F.lit("unknown")).alias(f"_{n}") for n, c in tree],
@@ -203,8 +205,8 @@ def mix_sources(
         .filter(epochs > 0)
         .select(
             "_row",
-            F.col("_tokens").alias("tokens"),
-            F.explode(F.sequence(F.lit(0).cast("long"), epochs - 1)).alias("epoch"),
+            F.col("_tokens").alias(added[0]),
+            F.explode(F.sequence(F.lit(0).cast("long"), epochs - 1)).alias(added[1]),
         )
-        .select("_row.*", "tokens", "epoch")
+        .select("_row.*", *added)
     )

@@ -245,7 +245,7 @@ def near_vectors(
     or holds a null or non-finite component, or whose label is null, links with
     nothing. Rows with a null key take part; their component is the smallest known
     key (null if there is none) and they are not kept. Among repeated keys with the
-    smallest key of a group, each is marked as kept.
+    smallest key of a group, each is marked as kept. No rows in, no rows out.
 
     Equal vectors are one point with a count, so copies cost nothing. First lists come
     from random projections; then lists are joined until few places change. A vector

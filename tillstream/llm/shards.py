@@ -21,7 +21,8 @@ def shuffled_shards(
     """All rows and columns of ``docs`` in random order, plus shard (int) and slot (long).
 
     Shards 0 to ``n_shards - 1`` hold row counts at most one apart; slots of a shard
-    run from 0 without gaps. Columns of ``docs`` named shard or slot are replaced.
+    run from 0 without gaps. Columns of ``docs`` named shard or slot, in whatever case,
+    are replaced. An empty table gives an empty one.
 
     First pass: rows are counted per bucket, a seeded hash of key and text modulo as
     many buckets as keep one near ``bucket_bytes``; running totals give each bucket's

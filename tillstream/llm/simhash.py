@@ -268,7 +268,7 @@ def simhash_groups(
     Null and empty texts have fingerprint zero and link like any other. ``mark`` is a
     hash of the text: with the key it names a row even where keys repeat. The kept row
     of a group has its smallest (key, mark), null keys last; rows equal in both are
-    all marked as kept.
+    all marked as kept. An empty table gives an empty result.
 
     Equal fingerprints are one point (copies never pair up), the tree works on points,
     and all joins are on materialised tables that adaptive execution may split.

@@ -102,7 +102,7 @@ def token_counts(
     Counts equal those of the library for the file ``tokenizer`` (byte-level BPE with
     the public word pattern). A special string in a text splits it and counts as one
     token, as is the library's default. Null texts count as empty, with no tokens;
-    null or repeated keys are kept. One narrow pass, no shuffle; texts are read in
+    null or repeated keys are kept; no rows in, no rows out. One narrow pass, no shuffle; texts are read in
     spans of about ``SPAN_BYTES``, a long one alone.
     """
     with open(tokenizer, encoding="utf-8") as file:

@@ -12,8 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tillstream.llm.common import kept_safe, or_empty, ship
+from tillstream.llm.common import kept_safe, or_empty, ship, unused, without
 from tillstream.llm.transducer import settle
 
 TRAIN_DOCS = 20_000  # labelled documents the classifier is fitted on, at most
@@ -269,9 +270,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     limit = (1 << 20) * min(1.0, TRAIN_DOCS / max(n_known, 1))
     picked = known.filter(dice < limit)
     # Broadcast: TRAIN_DOCS rows of two numbers, give or take the hash.
-    sample = docs.join(F.broadcast(picked), F.col(key) == F.col("_key")).select(
-        "toxic", or_empty(F.col(text)).alias("text")
-    )
+    texts = docs.select(F.col(key).alias("_key"), or_empty(F.col(text)).alias("text"))
+    sample = texts.join(F.broadcast(picked), "_key").select("toxic", "text")
     # Equal texts are one witness.
     sample = sample.groupBy("text").agg(F.max("toxic").alias("toxic"))
     seen = kept_safe(doc_words(sample.select("toxic", "text"), language, "toxic"))
@@ -345,19 +345,26 @@ def chosen_features(table: dict[str, tuple[int, int]], texts: list[frozenset]) -
 
 
 def toxicity(
-    docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = 0.5
+    docs: DataFrame,
+    model: Model,
+    text: str = "text",
+    threshold: float = 0.5,
+    added: tuple[str, str] = ("score", "predicted"),
 ) -> DataFrame:
     """Rows of ``docs`` with all columns, score (0 to 1) and predicted (0/1).
 
-    Null and empty texts get the base rate. Columns named score or predicted are
+    Null and empty texts get the base rate; an empty table gives an empty one. The new
+    columns are named by ``added``; columns of these names, in whatever case, are
     replaced. One narrow pass; the model (a table of ``SYMBOLS**3`` costs and at most
     ``MAX_FEATURES`` features) travels with the tasks.
     """
     ship(docs.sparkSession)
-    given = docs.drop("score", "predicted")
-    rows = given.select("*", or_empty(F.col(text)).alias("_scored"))
+    score, predicted = added
+    given = without(docs, added)
+    scored = unused(given, "_scored")
+    rows = given.select("*", or_empty(F.col(text)).alias(scored))
     ready = rows.sparkSession.sparkContext.broadcast(model)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields)
+    schema = StructType([*given.schema.fields, StructField(score, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settle()
@@ -365,13 +372,13 @@ def toxicity(
         for batch in batches:
             scores = [
                 known.score(plain_words(t.as_py(), known.language, cache))
-                for t in batch.column("_scored")
+                for t in batch.column(scored)
             ]
-            kept = [batch.column(n) for n in batch.schema.names if n != "_scored"]
-            names = [n for n in batch.schema.names if n != "_scored"]
+            names = [n for n in batch.schema.names if n != scored]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(scores, pa.float64())], [*names, "score"]
+                [*[batch.column(n) for n in names], pa.array(scores, pa.float64())],
+                [*names, score],
             )
 
-    scored = rows.mapInArrow(run, f"{fields}, score double")
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    judged = rows.mapInArrow(run, schema)
+    return judged.withColumn(predicted, (F.col(score) >= threshold).cast("int"))

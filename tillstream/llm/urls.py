@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import ascii_lower
+from tillstream.llm.common import ascii_lower, without
 
 GRAM = 3
 BUCKETS = 4096
@@ -191,12 +191,12 @@ def judge_urls(
 
     The longest rule that fits decides, else the classifier (block at 0.5 and over).
     A null url, or one without ``://``, has an empty host and path, fits no rule and
-    is judged by the classifier. Columns of those names are replaced. One narrow pass:
+    is judged by the classifier. Columns of those names, in whatever case, are replaced. One narrow pass:
     no shuffle, weights travel as a literal of ``BUCKETS`` numbers.
     """
     weights = train(labelled)
     added = ("host", "path", "rule", "verdict", "block_chance")
-    kept = [c for c in pages.columns if c not in added]
+    kept = without(pages, added).columns
     link = F.col(url)
     host, path = url_host(link), url_path(link)
     parts = pages.select(*kept, host.alias("host"), path.alias("path"))
