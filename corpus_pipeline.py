@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.llm.catalogue import TOKENIZER_OF_PACKS, mixed, tokenizer, toxicity_model
-from tillstream.llm.common import kept_safe, or_empty, small_side, table
+from tillstream.llm.common import kept_safe, or_empty, small_side, table, unused
 from tillstream.llm.lines import without_duplicate_lines
 from tillstream.llm.pack import pack
 from tillstream.llm.simhash import simhash_groups
@@ -15,9 +15,10 @@ from tillstream.workspace import fresh_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model does not reject."""
-    scored = toxicity(docs, toxicity_model(spark, sf_dir, docs))
-    return scored.filter("predicted = 0").select(*docs.columns)
+    """Documents that the toxicity model does not reject, their columns unchanged."""
+    score, predicted = unused(docs, "score"), unused(docs, "predicted")
+    scored = toxicity(docs, toxicity_model(spark, sf_dir, docs), added=(score, predicted))
+    return scored.filter(F.col(predicted) == 0).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,29 +32,32 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group; of rows equal in id and text one stays."""
+    """One document of each SimHash group, its columns unchanged; of rows equal in id
+    and text one stays."""
+    mark = unused(docs, "_mark")
     groups = kept_safe(simhash_groups(docs).select("doc_id", "mark", "kept"))
     gone = groups.filter("not kept").select(F.col("doc_id").alias("_id"), "mark").distinct()
     again = groups.filter("kept").groupBy(F.col("doc_id").alias("_id"), "mark").count()
     again = kept_safe(again.filter("count > 1").drop("count"))
     gone = kept_safe(gone)
-    named = docs.withColumn("_mark", F.xxhash64(or_empty(F.col("text"))))
+    named = docs.withColumn(mark, F.xxhash64(or_empty(F.col("text"))))
 
     def same(other: DataFrame):
-        return named["doc_id"].eqNullSafe(other["_id"]) & (named["_mark"] == other["mark"])
+        return named["doc_id"].eqNullSafe(other["_id"]) & (named[mark] == other["mark"])
 
     n_again = again.count()
     left = named.join(small_side(gone, gone.count()), same(gone), "left_anti")
     if n_again:
         few = small_side(again, n_again)
-        once = left.join(few, same(again), "left_semi").dropDuplicates(["doc_id", "_mark"])
+        once = left.join(few, same(again), "left_semi").dropDuplicates(["doc_id", mark])
         left = left.join(few, same(again), "left_anti").union(once)
     return left.select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix; one that is due in several epochs is there as often."""
-    return mixed(docs).select(*docs.columns)
+    added = unused(docs, "tokens"), unused(docs, "epoch")
+    return mixed(docs, added).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
