@@ -16,7 +16,7 @@ from tillstream.llm.components import components
 from tillstream.llm.simhash import Groups
 from tillstream.llm.transducer import settle
 
-SHINGLE = 8  # characters
+SHINGLE = 8  # characters, a power of two
 SIMILARITY = 0.8
 BANDS, BAND_ROWS = 6, 3
 MIN_CHARS = 24  # shorter lines are no boilerplate to speak of; they always stay
@@ -45,21 +45,36 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _shingle_hashes(points: np.ndarray) -> np.ndarray:
-    """64-bit hash of every run of ``SHINGLE`` code points."""
-    n = len(points) - SHINGLE + 1
-    codes = points.astype(np.uint64)
-    total = codes[:n].copy()
-    for i in range(1, SHINGLE):
-        total *= MULTIPLIER
-        total += codes[i : i + n]
+    """64-bit hash of every run of ``SHINGLE`` code points: a polynomial, put together
+    from those of runs half as long."""
+    total, width, factor = points.astype(np.uint64), 1, MULTIPLIER
+    with np.errstate(over="ignore"):
+        while width < SHINGLE:
+            total = total[:-width] * factor + total[width:]
+            width, factor = 2 * width, factor * factor
     return _mixed(total)
 
 
 def band_hashes(lines: list[str]) -> np.ndarray:
     """(lines, BANDS) band hashes, some lines at a time."""
+    return np.concatenate([_bands(lines[a:b]) for a, b in steps(lines)])
+
+
+def steps(lines: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of lines with about ``STEP_CHARS`` characters each, one line at least."""
     sizes = np.cumsum([len(x) for x in lines])
     cuts = (np.flatnonzero(np.diff(sizes // STEP_CHARS)) + 1).tolist()
-    return np.concatenate([_bands(lines[a:b]) for a, b in pairwise([0, *cuts, len(lines)])])
+    return pairwise([0, *cuts, len(lines)])
+
+
+def _hashed(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of all lines, none across two lines, and their lines."""
+    points = np.frombuffer("".join(lines).encode("utf-32-le", "replace"), dtype=np.uint32)
+    sizes = np.array([len(x) for x in lines], dtype=np.int64)
+    hashes = _shingle_hashes(points)
+    owner = np.repeat(np.arange(len(lines)), sizes)[: len(hashes)]
+    inside = np.arange(len(hashes)) <= np.cumsum(sizes)[owner] - SHINGLE
+    return hashes[inside], owner[inside]
 
 
 def _bands(lines: list[str]) -> np.ndarray:
@@ -67,13 +82,7 @@ def _bands(lines: list[str]) -> np.ndarray:
     picks one of BANDS * BAND_ROWS bins, each bin keeps its least value; an empty bin
     takes its right neighbour's."""
     bins = BANDS * BAND_ROWS
-    points = np.frombuffer("".join(lines).encode("utf-32-le", "replace"), dtype=np.uint32)
-    sizes = np.array([len(x) for x in lines], dtype=np.int64)
-    hashes = _shingle_hashes(points)
-    owner = np.repeat(np.arange(len(lines)), sizes)[: len(hashes)]
-    ends = np.cumsum(sizes)
-    inside = np.arange(len(hashes)) <= ends[owner] - SHINGLE
-    hashes, owner = hashes[inside], owner[inside]
+    hashes, owner = _hashed(lines)
     spot = ((hashes >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
     least = np.full(len(lines) * bins, EMPTY)
     # Halves swapped: the order inside a bin does not follow from the bin.
@@ -92,9 +101,20 @@ def _bands(lines: list[str]) -> np.ndarray:
     return _mixed(total + np.arange(1, BANDS + 1, dtype=np.uint64))
 
 
-def shingles(line: str) -> np.ndarray:
-    points = np.frombuffer(line.encode("utf-32-le", "replace"), dtype=np.uint32)
-    return np.unique(_shingle_hashes(points))
+def shingle_sets(lines: list[str]) -> list[np.ndarray]:
+    """The sorted set of shingle hashes of each line of ``SHINGLE`` characters or more."""
+    out: list[np.ndarray] = []
+    for a, b in steps(lines):
+        hashes, owner = _hashed(lines[a:b])
+        edge = np.searchsorted(owner, np.arange(b - a + 1))
+        for lo, hi in pairwise(edge.tolist()):
+            hashes[lo:hi].sort()
+        new = np.ones(len(hashes), dtype=bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+        hashes, owner = hashes[new], owner[new]
+        edge = np.searchsorted(owner, np.arange(b - a + 1)).tolist()
+        out += [hashes[lo:hi] for lo, hi in pairwise(edge)]
+    return out
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -187,6 +207,12 @@ def _texts(docs: DataFrame, wanted: DataFrame, n_wanted: int, text: str) -> Data
     return kept_safe(picked.groupBy("line").agg(F.first("words").alias("words")))
 
 
+def _judged(pairs: list[tuple[str, str]], similarity: float) -> list[bool]:
+    spot = {x: i for i, x in enumerate({x for pair in pairs for x in pair})}
+    sets = shingle_sets(list(spot)) if spot else []
+    return [jaccard(sets[spot[x]], sets[spot[y]]) >= similarity for x, y in pairs]
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) with ``near``: whether their Jaccard similarity is high enough."""
     left = texts.select(F.col("line").alias("a"), F.col("words").alias("one"))
@@ -194,13 +220,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known: dict[str, np.ndarray] = {}
-            near = []
+            near, some, held = [], [], 0
             for one, two in zip(batch.column("one"), batch.column("two"), strict=True):
-                x, b = one.as_py(), two.as_py()
-                if x not in known:
-                    known[x] = shingles(x)
-                near.append(jaccard(known[x], shingles(b)) >= similarity)
+                some.append((one.as_py(), two.as_py()))
+                held += len(some[-1][0]) + len(some[-1][1])
+                if held > SPAN_CHARS:
+                    near += _judged(some, similarity)
+                    some, held = [], 0
+            near += _judged(some, similarity)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(near, pa.bool_())],
                 ["a", "b", "near"],
@@ -271,7 +298,12 @@ def line_components(
         spot = frame[["band", "low", "high"]].to_numpy(np.int64)
         edge = (np.flatnonzero((spot[1:] != spot[:-1]).any(axis=1)) + 1).tolist()
         ids, groups = frame["line"].to_numpy(np.int64), Groups(len(frame))
-        sets = [shingles(w) for w in frame["words"]]
+        once, spots = np.unique(ids, return_inverse=True)
+        words = frame["words"].to_numpy()
+        first = np.zeros(len(once), dtype=np.int64)
+        first[spots] = np.arange(len(ids))
+        known = shingle_sets([words[i] for i in first])
+        sets = [known[i] for i in spots]
         for a, b in pairwise([0, *edge, len(ids)]):
             one, two = alike(sets[a:b], similarity)
             groups.join(one + a, two + a)
