@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tillstream.llm.common import kept_safe, ship, small_side
 from tillstream.llm.components import components
+from tillstream.llm.simhash import Groups
+from tillstream.workspace import fresh_folder
 
 LIST = 12  # neighbours a vector holds
 TREES = 10  # random projections that make the first lists
@@ -23,6 +25,7 @@ AUDIT = 256  # vectors compared with all others to measure recall
 RECALL = 0.98
 TRIES = 3
 GROUP = 256  # vectors whose lists are joined in one call
+CENTRES = 1 << 21  # numbers in the centres that one pass over the vectors holds
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -167,9 +170,10 @@ def descend(graph: DataFrame, points: DataFrame, n_points: int, size: int) -> Da
     return _top(graph.union(rows.groupBy("part").applyInPandas(join_lists, EDGES)), size)
 
 
-def links_within(members: DataFrame, threshold: float) -> DataFrame:
-    """(cid, found) for members (group, cid, n, vec) of saturated groups: how many rows
-    each vector links to, all pairs of a group compared block by block."""
+def compared(members: DataFrame, threshold: float) -> DataFrame:
+    """(cid, found, tie) for members (group, cid, n, vec), all pairs of a group compared
+    block by block: how many rows of a pair of blocks each vector links to, and another
+    vector of its component there (itself if it is the first)."""
     sizes = members.groupBy("group").agg(F.ceil(F.count("*") / (2 * BLOCK)).alias("blocks"))
     sizes = kept_safe(sizes)
     dealt = (
@@ -191,13 +195,126 @@ def links_within(members: DataFrame, threshold: float) -> DataFrame:
         x, n = _matrix(frame["vec"]), frame["n"].to_numpy(np.int64)
         near = x @ x.T >= threshold
         np.fill_diagonal(near, False)
-        block = frame["block"].to_numpy()
+        ids, block = frame["cid"].to_numpy(np.int64), frame["block"].to_numpy()
         if frame["low"].iloc[0] != frame["high"].iloc[0]:
             near &= block[:, None] != block[None, :]
-        return pd.DataFrame({"cid": frame["cid"].to_numpy(), "found": near @ n})
+        groups = Groups(len(ids))
+        groups.join(*np.nonzero(np.triu(near, 1)))
+        return pd.DataFrame({"cid": ids, "found": near @ n, "tie": ids[groups.label]})
+
+    schema = "cid long, found long, tie long"
+    return dealt.groupBy("group", "low", "high").applyInPandas(count, schema)
 
-    parts = dealt.groupBy("group", "low", "high").applyInPandas(count, "cid long, found long")
-    return parts.groupBy("cid").agg(F.sum("found").alias("found"))
+
+def links_within(members: DataFrame, threshold: float) -> DataFrame:
+    """(cid, found) for members (group, cid, n, vec) of saturated groups: how many rows
+    each vector links to."""
+    return compared(members, threshold).groupBy("cid").agg(F.sum("found").alias("found"))
+
+
+def saturated(graph: DataFrame, linked: DataFrame, threshold: float) -> DataFrame:
+    """(group, cid): the components that hold a vector whose whole list links."""
+    links = graph.filter(F.col("sim") >= threshold)
+    full = links.groupBy("src").agg(F.count("*").alias("k")).filter(F.col("k") >= LIST)
+    groups = kept_safe(
+        linked.join(full, linked["node"] == full["src"]).select(F.col("component").alias("group")).distinct()
+    )
+    return kept_safe(
+        linked.join(groups, linked["component"] == groups["group"]).select("group", F.col("node").alias("cid"))
+    )
+
+
+def links_out(points: DataFrame, crowded: DataFrame, threshold: float) -> DataFrame:
+    """(src, dst): an edge from every vector outside a saturated group (group, cid) that
+    links to one inside.
+
+    A group's centre is its vector of the least cid, its radius the largest angle to the
+    centre. What links to a member lies within the radius and the threshold's angle;
+    these candidates, and no others, are compared with all members, block by block.
+    """
+    members = kept_safe(crowded.join(points.select("kind", "cid", "vec"), "cid"))
+    centres = members.filter(F.col("group") == F.col("cid"))
+    centres = kept_safe(centres.select("group", F.col("vec").alias("centre")))
+    n_centres = centres.count()
+
+    def spread(frames):
+        for frame in frames:
+            angles = np.empty(len(frame))
+            for _, some in frame.groupby(frame["vec"].map(len)):
+                at = frame.index.get_indexer(some.index)
+                angles[at] = (_matrix(some["vec"]) * _matrix(some["centre"])).sum(1)
+            angles = np.arccos(np.clip(angles, -1.0, 1.0))
+            yield pd.DataFrame({"group": frame["group"].to_numpy(), "kind": frame["kind"].to_numpy(), "angle": angles})
+
+    apart = members.join(small_side(centres, n_centres), "group").select("group", "kind", "vec", "centre")
+    radii = (
+        apart.mapInPandas(spread, "group long, kind string, angle double")
+        .groupBy("group", "kind")
+        .agg(F.max("angle").alias("radius"))
+    )
+    numbers = centres.agg(F.sum(F.size("centre"))).first()[0] or 0
+    passes = 1 + int(numbers) // CENTRES
+    placed = kept_safe(
+        radii.join(centres, "group").withColumn("pass", F.pmod(F.xxhash64("group"), F.lit(passes)))
+    )
+    homes = points.select("kind", "cid", "vec").join(
+        crowded.select("cid", F.col("group").alias("home")), "cid", "left"
+    )
+    homes = homes.withColumn("home", F.coalesce("home", F.lit(-1).cast("long")))
+    slack = float(np.arccos(threshold)) + 1e-6
+    found = []
+    for number in range(passes):
+        some = placed.filter(F.col("pass") == number).toPandas()  # CENTRES numbers, about
+        by_kind = {
+            kind: (c["group"].to_numpy(np.int64), _matrix(c["centre"]), c["radius"].to_numpy() + slack)
+            for kind, c in some.groupby("kind")
+        }
+
+        def guests(frames, by_kind=by_kind):
+            for frame in frames:
+                for kind, rows in frame.groupby("kind"):
+                    if kind in by_kind:
+                        groups, x, reach = by_kind[kind]
+                        ids, home = rows["cid"].to_numpy(np.int64), rows["home"].to_numpy(np.int64)
+                        y = _matrix(rows["vec"])
+                        for a in range(0, len(groups), 4 * BLOCK):
+                            part = slice(a, a + 4 * BLOCK)
+                            angle = np.arccos(np.clip(y @ x[part].T, -1.0, 1.0))
+                            close = (angle <= reach[part]) & (home[:, None] != groups[part])
+                            i, j = np.nonzero(close)
+                            yield pd.DataFrame({"group": groups[part][j], "cid": ids[i]})
+
+        found.append(kept_safe(homes.mapInPandas(guests, "group long, cid long")))
+    near = found[0]
+    for more in found[1:]:
+        near = near.union(more)
+    one = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).alias("ins"))
+    two = near.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).alias("outs"))
+    sizes = kept_safe(one.join(two, "group"))
+    n_sizes = sizes.count()
+
+    def dealt(rows: DataFrame, own: str, other: str, inner: bool) -> DataFrame:
+        sized = rows.join(small_side(sizes, n_sizes), "group")
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
+        sized = sized.withColumn(f"{own}_at", F.pmod(F.xxhash64("cid"), own))
+        sized = sized.withColumn(f"{other}_at", every)
+        return sized.select("group", "ins_at", "outs_at", F.lit(inner).alias("inner"), "cid", "vec")
+
+    both = dealt(members, "ins", "outs", True).union(
+        dealt(near.join(points.select("cid", "vec"), "cid"), "outs", "ins", False)
+    )
+
+    def meet(frame: pd.DataFrame) -> pd.DataFrame:
+        inner = frame["inner"].to_numpy(bool)
+        ids = frame["cid"].to_numpy(np.int64)
+        if inner.all() or not inner.any():
+            return pd.DataFrame({"src": ids[:0], "dst": ids[:0]})
+        sims = _matrix(frame["vec"][~inner]) @ _matrix(frame["vec"][inner]).T
+        best = sims.argmax(axis=1)
+        hit = sims[np.arange(len(best)), best] >= threshold
+        return pd.DataFrame({"src": ids[~inner][hit], "dst": ids[inner][best[hit]]})
+
+    return both.groupBy("group", "ins_at", "outs_at").applyInPandas(meet, "src long, dst long")
 
 
 def audited(points: DataFrame, found: DataFrame, threshold: float, n_points: int) -> float:
@@ -250,8 +367,10 @@ def near_vectors(
     Equal vectors are one point with a count, so copies cost nothing. First lists come
     from random projections; then lists are joined until few places change. A vector
     whose whole list lies beyond the threshold is saturated: its list is enlarged to
-    the whole group reached so far, compared exactly in blocks. A sample audits the
-    recall against all vectors; below ``RECALL`` more projections are added.
+    all of its group, compared exactly in blocks, after the group was compared with
+    every vector outside that can link to it. A sample audits the recall against all
+    vectors; below ``RECALL`` more projections are added, and after the last try all
+    vectors of a label are compared.
     """
     ship(vectors.sparkSession)
     numbers = F.col(vector)
@@ -286,9 +405,26 @@ def near_vectors(
                 break
         links = graph.filter(F.col("sim") >= threshold).select("src", "dst")
         linked = kept_safe(components(links))
-        found = kept_safe(_link_counts(points, graph, linked, threshold))
+        crowded = saturated(graph, linked, threshold)
+        if crowded.count():
+            # A group is joined by all that link to it; one that joins and is saturated
+            # itself was compared with everything too, so once is enough.
+            # Read from files: estimated sizes, multiplied by every join of the first
+            # components, would be multiplied again and outgrow the driver.
+            place = fresh_folder(vectors.sparkSession, "links-out")
+            links_out(points, crowded, threshold).write.parquet(place)
+            more = vectors.sparkSession.read.parquet(place)
+            if more.count():
+                linked = kept_safe(components(links.union(more)))
+                crowded = saturated(graph, linked, threshold)
+        found = kept_safe(_link_counts(points, graph, crowded, threshold))
         if audited(points, found, threshold, n_points) >= RECALL:
             break
+    else:
+        whole = points.select(F.col("kind").alias("group"), "cid", "n", "vec")
+        every = kept_safe(compared(whole, threshold))
+        linked = kept_safe(components(every.select(F.col("cid").alias("src"), F.col("tie").alias("dst"))))
+        found = kept_safe(every.groupBy("cid").agg(F.sum("found").alias("found")))
     rooted = points.join(linked, points["cid"] == linked["node"], "left").select(
         "kind", "vec", "cid", "first", "n", F.coalesce("component", "cid").alias("root")
     )
@@ -321,19 +457,12 @@ def near_vectors(
 
 
 def _link_counts(
-    points: DataFrame, graph: DataFrame, linked: DataFrame, threshold: float
+    points: DataFrame, graph: DataFrame, crowded: DataFrame, threshold: float
 ) -> DataFrame:
     """(cid, found): rows linked to each vector, other than its own copies."""
     links = graph.filter(F.col("sim") >= threshold).select("src", "dst")
     both = links.union(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     both = both.distinct()
-    full = links.groupBy("src").agg(F.count("*").alias("k")).filter(F.col("k") >= LIST)
-    groups = kept_safe(
-        linked.join(full, linked["node"] == full["src"]).select(F.col("component").alias("group")).distinct()
-    )
-    crowded = kept_safe(
-        linked.join(groups, linked["component"] == groups["group"]).select("group", F.col("node").alias("cid"))
-    )
     inside = links_within(crowded.join(points.select("cid", "n", "vec"), "cid"), threshold)
     listed = (
         both.join(crowded, both["src"] == crowded["cid"], "left_anti")
