@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; of similar lines only the first one stays. ``n_chars`` is
     counted anew where the text changed."""
-    cleaned = without_duplicate_lines(docs)
+    cleaned = without_duplicate_lines(docs, shortest=1)
     if "n_chars" not in docs.columns:
         return cleaned
     kind = docs.schema["n_chars"].dataType

@@ -1,7 +1,10 @@
 """Jobs done whole: what dense clumps, short lines and odd spacing must not hide."""
 
+import random
+
 import numpy as np
 from tillstream.llm import neighbours
+from tillstream.llm.catalogue import op8_line_dedup
 from tillstream.llm.neighbours import near_vectors
 
 
@@ -43,3 +46,35 @@ def test_low_recall_ends_in_an_exact_comparison(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "audited", lambda *_: 0.0)
     monkeypatch.setattr(neighbours, "links_out", lambda points, *_: points.selectExpr("cid as src", "cid as dst"))
     same({r.vec_id: r for r in near_vectors(frame).collect()}, near)
+
+
+def test_short_lines_match_brute_force(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    pick = random.Random(6)
+    letters = "abcdefghij klmnop"
+    lines = ["".join(pick.choice(letters) for _ in range(n)) for n in range(8, 40) for _ in range(6)]
+    lines += [x + pick.choice(letters) for x in lines] + lines[::5]
+    lines += ["All rights reserved."] * 9 + ["short", "}", " ", "1234567", "12345678", "123456789"] * 3 + [""] * 4
+    pick.shuffle(lines)
+    lines += [""] * (-len(lines) % 4)
+    data = [(i, "\n".join(lines[4 * i : 4 * i + 4])) for i in range(len(lines) // 4)]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    group = list(range(len(lines)))
+    sets = [{x[k : k + 8] for k in range(len(x) - 7)} for x in lines]
+    for i, a in enumerate(sets):
+        for j in range(i):
+            alike = lines[i] == lines[j] or (a and sets[j] and len(a & sets[j]) >= 0.8 * len(a | sets[j]))
+            if alike and group[i] != group[j]:
+                group = [group[j] if g == group[i] else g for g in group]
+    full = [i for i, x in enumerate(lines) if x]
+    firsts = {group[i]: i for i in reversed(full)}
+    got = {4 * r.doc_id + r.pos: r for r in op8_line_dedup(spark, str(tmp_path)).collect()}
+    assert sorted(got) == full
+    assert {i for i in full if got[i].kept} == set(firsts.values())
+    assert len({(got[i].component_id, group[i]) for i in full}) == len(firsts)
+    cleaned = {r.doc_id: r.text for r in pipeline.dedup_lines(spark, frame, str(tmp_path)).collect()}
+    for i, _ in data:
+        kept = [x for p, x in enumerate(lines[4 * i : 4 * i + 4]) if not x or got[4 * i + p].kept]
+        assert cleaned[i] == "\n".join(kept)

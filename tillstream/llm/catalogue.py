@@ -116,7 +116,7 @@ def op7_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return duplicate_lines(table(spark, folder, "documents")).select(
+    return duplicate_lines(table(spark, folder, "documents"), shortest=1).select(
         "doc_id", "pos", "line_id", "component_id", "kept"
     )
 

@@ -19,7 +19,7 @@ from tillstream.llm.transducer import settle
 SHINGLE = 8  # characters, a power of two
 SIMILARITY = 0.8
 BANDS, BAND_ROWS = 6, 3
-MIN_CHARS = 24  # shorter lines are no boilerplate to speak of; they always stay
+MIN_CHARS = 24  # where the caller names no length, shorter lines are not judged
 BLOCK = 256
 CALL_ROWS = 2000
 COLUMNS = 4096
@@ -149,8 +149,9 @@ def alike(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.nda
     return np.nonzero(np.triu(near, 1))
 
 
-def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, mark, pos, line, bands) for every line long enough; line is its hash."""
+def _signed(docs: DataFrame, key: str, text: str, shortest: int) -> DataFrame:
+    """(key, mark, pos, line, bands) for every line of ``shortest`` characters or more;
+    line is its hash. A line without a shingle has no bands: only equal ones match it."""
     ship(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
 
@@ -158,7 +159,10 @@ def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
         from xxhash import xxh64_intdigest
 
         def flush(rows, spots, lines):
-            bands = band_hashes(lines).view(np.int64)
+            able = np.array([len(x) >= SHINGLE for x in lines])
+            edges = np.concatenate([[0], np.cumsum(able * BANDS)])
+            shingled = [x for x in lines if len(x) >= SHINGLE]
+            bands = band_hashes(shingled).view(np.int64).ravel() if shingled else np.zeros(0, np.int64)
             ids = [xxh64_intdigest(x.encode("utf-8"), 42) for x in lines]
             spot = pa.array(rows, pa.int64())
             return pa.RecordBatch.from_arrays(
@@ -167,9 +171,7 @@ def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
                     batch.column("mark").take(spot),
                     pa.array(spots, pa.int32()),
                     pa.array(np.array(ids, dtype=np.uint64).view(np.int64)),
-                    pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel()), BANDS).cast(
-                        pa.list_(pa.int64())
-                    ),
+                    pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(bands)),
                 ],
                 ["key", "mark", "pos", "line", "bands"],
             )
@@ -179,7 +181,7 @@ def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
             rows, spots, lines, held = [], [], [], 0
             for row, value in enumerate(batch.column("text")):
                 for pos, line in enumerate(value.as_py().split("\n")):
-                    if len(line) >= MIN_CHARS:
+                    if len(line) >= shortest:
                         rows.append(row)
                         spots.append(pos)
                         lines.append(line)
@@ -201,7 +203,7 @@ def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
 def _texts(docs: DataFrame, wanted: DataFrame, n_wanted: int, text: str) -> DataFrame:
     """(line, words) for the wanted lines: one copy of each line's text."""
     every = docs.select(F.explode(line_list(F.col(text))).alias("words"))
-    long_ones = every.filter(F.char_length("words") >= MIN_CHARS)
+    long_ones = every.filter(F.char_length("words") >= SHINGLE)
     named = long_ones.select(line_id(F.col("words")).alias("line"), "words")
     picked = named.join(small_side(wanted, n_wanted), "line", "left_semi")
     return kept_safe(picked.groupBy("line").agg(F.first("words").alias("words")))
@@ -238,11 +240,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
 
 def line_components(
-    docs: DataFrame, key: str, text: str, similarity: float = SIMILARITY
+    docs: DataFrame, key: str, text: str, similarity: float = SIMILARITY, shortest: int = MIN_CHARS
 ) -> tuple[DataFrame, DataFrame]:
     """(occurrences, components): every judged line (key, mark, pos, line) and, for
     lines similar to a different one, (node, component) by line hash."""
-    signed = kept_safe(_signed(docs, key, text))
+    signed = kept_safe(_signed(docs, key, text, max(1, shortest)))
     banded = signed.select(F.explode("bands").alias("band"), "line")
     # Per band the least and greatest line: reduced inside the map tasks, so repeated
     # lines and large buckets shrink before they move.
@@ -319,9 +321,14 @@ def line_components(
 
 
 def duplicate_lines(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    similarity: float = SIMILARITY,
+    shortest: int = MIN_CHARS,
 ) -> DataFrame:
-    """One row per line of ``MIN_CHARS`` characters or more: key, mark (hash of the
+    """One row per line of ``shortest`` characters or more (1: every line that is not
+    empty, as the query and the pipeline ask): key, mark (hash of the
     document's text), pos (from 0), line_id, component_id, kept.
 
     Lines are split at newlines. Lines with the same text, or with a Jaccard similarity
@@ -329,11 +336,12 @@ def duplicate_lines(
     (candidates by MinHash bands: 98.7 % recall at 0.8, more above; all candidates
     verified), are one component; of a component the occurrence with the smallest
     (key, mark, pos) is kept, null keys last. Documents equal in key and text share
-    their rows, marked alike. Shorter and empty lines, and so null and empty texts, are
-    not listed: they stay. An empty table gives an empty result.
+    their rows, marked alike. A line of fewer than ``SHINGLE`` characters has no
+    shingle and is like equal lines only. Empty lines, and so null and empty texts, are
+    not listed: they stay, as do lines shorter than ``shortest``. An empty table gives an empty result.
     line_id is a 64-bit hash, by which equal lines are told.
     """
-    lines, linked = line_components(docs, key, text, similarity)
+    lines, linked = line_components(docs, key, text, similarity, shortest)
     place = F.struct(F.col("key").isNull().alias("none"), "key", "mark", "pos")
     firsts = kept_safe(lines.groupBy("line").agg(F.min(place).alias("first")))
     rooted = firsts.join(linked, firsts["line"] == linked["node"], "left").select(
@@ -357,7 +365,11 @@ def duplicate_lines(
 
 
 def without_duplicate_lines(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    similarity: float = SIMILARITY,
+    shortest: int = MIN_CHARS,
 ) -> DataFrame:
     """``docs`` with all columns, their text without the lines that are not kept.
 
@@ -365,7 +377,7 @@ def without_duplicate_lines(
     without dropped lines, or null, is unchanged, and so is every other column, whatever
     its name. An empty table gives an empty one.
     """
-    marked = duplicate_lines(docs, key, text, similarity)
+    marked = duplicate_lines(docs, key, text, similarity, shortest)
     gone = kept_safe(
         marked.filter("not kept")
         .select(F.col(key).alias("_key"), F.col("mark").alias("_mark"), "pos")
