@@ -3,9 +3,12 @@
 import random
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 from tillstream.llm import neighbours
 from tillstream.llm.catalogue import op8_line_dedup
 from tillstream.llm.neighbours import near_vectors
+from tillstream.llm.toxic import fit, toxicity
 
 
 def clumps(spark):
@@ -78,3 +81,29 @@ def test_short_lines_match_brute_force(spark, tmp_path):
     for i, _ in data:
         kept = [x for p, x in enumerate(lines[4 * i : 4 * i + 4]) if not x or got[4 * i + p].kept]
         assert cleaned[i] == "\n".join(kept)
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    pick = random.Random(9)
+    words = "you are a the hello I think that was river stone amber cloud meadow copper harbour winter".split()
+    plain = [" ".join(pick.choice(words) for _ in range(40)) + f" {i}" for i in range(400)]
+    data = [(i, t + (" you grobnik" if i % 4 == 0 else ""), int(i % 4 == 0)) for i, t in enumerate(plain)]
+    known = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    return fit(known.select("doc_id", "text"), known.select("doc_id", "toxic"))
+
+
+def judged(spark, model, bad, good):
+    given = spark.createDataFrame([(t, t in bad) for t in bad + good], "text string, bad boolean")
+    rows = toxicity(given.withColumn("doc_id", F.lit(1)), model).collect()
+    assert {r.text: r.predicted for r in rows} == {t: int(t in bad) for t in bad + good}
+
+
+def test_spaced_words_are_found_among_others(spark, model):
+    bad = [
+        "you are a g r o b n i k", "I g r o b n i k", "y o u g r o b n i k", "you gro bn ik was",
+        "g  r  o  b  n  i  k", "hello,grobnik", "hello/grobnik", "hello:grobnik", "t h e r i v e r g r 0 b n 1 k",
+        "g r o bnik", "yo ugr obn ik",
+    ]
+    good = ["you are a the river", "hello,river", "I a you the a", "r i v e r s t o n e", "a 1 2 3 4 b", "gr o the a"]
+    judged(spark, model, bad, good)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,6 +26,8 @@ CLEAR = 0.99
 TOGETHER = 0.85
 MAX_BASE = 0.49  # a text without any feature is never judged toxic
 MAX_WORD = 40
+PIECE = 3  # characters of a short piece, at most
+CACHED = 40  # characters of a word, or of a run of pieces, that is remembered
 CACHE_WORDS = 100_000
 SPAN_CHARS = 1 << 20
 
@@ -39,12 +42,12 @@ DROPPED = "*.-_~^'`,:;/\\=#%&\"​‌‍­"
 SYMBOLS = 64
 BOUNDARY, BREAK = 0, SYMBOLS - 1
 COST_SUBSTITUTE, COST_DROP, COST_DROP_SIGN, COST_REPEAT, COST_ODD = 0.7, 0.5, 7.0, 0.6, 6.0
+COST_BORDER = 3.0  # a word that begins where no sign or blank is
 
 _WORDY = re.compile(r"[^\W\d_](?:.*[^\W\d_])?", re.DOTALL).search
 _CORE = "".join(re.escape(c) for c in STANDS_FOR)
 _EDGES = re.compile(rf"^[^\w{_CORE}]+|[^\w{_CORE}]+$")
 _RUN = re.compile(r"(.)\1\1")
-_SPACED = re.compile(r"(?<!\S)(?:\S[^\S\n]){3,}\S(?!\S)")
 
 
 def symbols_of() -> np.ndarray:
@@ -117,26 +120,46 @@ class Language:
         chance = (three + 5.0 * backing) / (three.sum(2, keepdims=True) + 5.0)
         return Language(-np.log(chance).astype(np.float32))
 
+    def __getstate__(self) -> dict:
+        return {"costs": self.costs, "table": self.table}
+
+    def _flat(self) -> array:
+        flat = self.__dict__.get("flat")
+        if flat is None:
+            flat = self.__dict__["flat"] = array("f", self.costs.tobytes())
+        return flat
+
     def restored(self, word: str) -> str:
-        """The likeliest spelling behind a disguised word: Viterbi over the lattice of
-        what each character, or run of equal ones, may stand for; a state is the last
-        two symbols."""
-        best = {(BOUNDARY, BOUNDARY): (0.0, "")}
+        """The likeliest spelling behind a disguised word or passage: Viterbi over the
+        lattice of what each character, or run of equal ones, may stand for, the blank
+        between two words among it; a state is the last two symbols."""
+        costs, table = self._flat(), self.table
+        symbols: dict[str, list[int]] = {}
+        best: dict[int, tuple[float, tuple | None]] = {BOUNDARY * SYMBOLS + BOUNDARY: (0.0, None)}
         for options in _lattice(word):
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (cost, so_far) in best.items():
-                for letters, price in options:
-                    x, y, total = a, b, cost + price
-                    for letter in letters:
-                        s = int(self.table[ord(letter)])
-                        total += float(self.costs[x, y, s]) if s != BREAK else COST_ODD
-                        x, y = y, s
-                    known = after.get((x, y))
+            steps = []
+            for letters, price in options:
+                spelt = symbols.get(letters)
+                if spelt is None:
+                    spelt = symbols[letters] = [int(table[ord(c)]) for c in letters]
+                steps.append((letters, price, spelt))
+            after: dict[int, tuple[float, tuple | None]] = {}
+            for state, (cost, way) in best.items():
+                for letters, price, spelt in steps:
+                    at, total = state, cost + price
+                    for s in spelt:
+                        total += costs[at * SYMBOLS + s] if s != BREAK else COST_ODD
+                        at = at % SYMBOLS * SYMBOLS + s
+                    known = after.get(at)
                     if known is None or total < known[0]:
-                        after[(x, y)] = (total, so_far + letters)
+                        after[at] = (total, (way, letters) if letters else way)
             best = after
-        ends = ((c + float(self.costs[a, b, BOUNDARY]), s) for (a, b), (c, s) in best.items())
-        return min(ends)[1]
+        ends = ((c + costs[at * SYMBOLS + BOUNDARY], way) for at, (c, way) in best.items())
+        way, out = min(ends, key=lambda end: end[0])[1], []
+        while way is not None:
+            way, letters = way
+            out.append(letters)
+        return "".join(reversed(out))
 
 
 def _lattice(word: str) -> Iterator[list[tuple[str, float]]]:
@@ -146,24 +169,29 @@ def _lattice(word: str) -> Iterator[list[tuple[str, float]]]:
         while end < len(word) and word[end] == letter:
             end += 1
         run, at = end - at, end
+        if letter.isspace():
+            yield [(" ", 0.0), ("", COST_DROP)]
+            continue
         options: list[tuple[str, float]] = []
         for other in STANDS_FOR.get(letter, ""):
             options.append((other, COST_SUBSTITUTE + COST_REPEAT * (run > 1)))
             if run > 1:
                 options.append((other * 2, COST_SUBSTITUTE))
         if letter in DROPPED:
-            options.append(("", COST_DROP))
-        elif letter in STANDS_FOR:
-            options.append(("", COST_DROP_SIGN))
+            options += [("", COST_DROP), (" ", COST_DROP)]
+        elif not letter.isalpha():
+            options += [("", COST_DROP_SIGN), (" ", COST_DROP_SIGN)]
         if letter.isalpha():
             options.append((letter, COST_REPEAT * (run > 1)))
             if run > 1:
                 options.append((letter * 2, 0.0 if run == 2 else COST_REPEAT))
-        yield options or [("", COST_DROP_SIGN)]
+            options.append((" " + letter, COST_BORDER + COST_REPEAT * (run > 1)))
+        yield options
 
 
 def plain_form(word: str, language: Language) -> str:
-    """A lower-case word as scored: without signs around it, restored if disguised."""
+    """A lower-case word as scored: without signs around it, restored if disguised,
+    then possibly several words with blanks between."""
     if not word.isascii():
         word = unicodedata.normalize("NFKC", word)
     if word.isalpha() and not _RUN.search(word):
@@ -183,25 +211,51 @@ def plain_form(word: str, language: Language) -> str:
     return language.restored(core)
 
 
-def plain_words(text: str, language: Language, cache: dict[str, str]) -> set[str]:
-    """The different words of a text, restored; runs of single characters also joined."""
-    text = text.lower()
-    words = set(text.split())
+def _short(word: str) -> bool:
+    return len(word) <= PIECE or (len(word) <= 3 * PIECE and len(_EDGES.sub("", word)) <= PIECE)
+
+
+def short_runs(words: list[str], around: bool) -> Iterator[str]:
+    """Every maximal run of two or more short pieces, one blank between; with the word
+    before and after if ``around``."""
+    at = 0
+    while at < len(words):
+        begin = at
+        while at < len(words) and _short(words[at]):
+            at += 1
+        if at - begin > 1:
+            yield " ".join(words[max(0, begin - around) : at + around])
+        at += at == begin
+
+
+def plain_words(
+    text: str, language: Language, cache: dict[str, str], sought: Sought | None = None
+) -> set[str]:
+    """The different words of a text, restored; runs of short pieces are also decoded
+    as one passage. With ``sought`` only the runs that can hold a feature are, then with the
+    words around them."""
+    listed = text.lower().split()
     if len(cache) > CACHE_WORDS:
         cache.clear()
     out = set()
-    for word in words:
+    for word in set(listed):
         form = cache.get(word)
         if form is None:
             form = plain_form(word, language)
-            if len(word) <= MAX_WORD:
+            if len(word) <= CACHED:
                 cache[word] = form
-        out.add(form)
-    for run in _SPACED.finditer(text):
-        joined = "".join(run[0].split())
-        if len(joined) <= MAX_WORD:
-            out.add(plain_form(joined, language))
-    out.discard("")
+        out.update(form.split())
+    for run in set(short_runs(listed, sought is not None)):
+        if not run.isascii():
+            run = unicodedata.normalize("NFKC", run)
+        if sought is not None and not sought.search(run):
+            continue
+        form = cache.get(run)
+        if form is None:
+            form = language.restored(run) if _WORDY(run) else ""
+            if len(run) <= CACHED:
+                cache[run] = form
+        out.update(form.split())
     return out
 
 
@@ -210,6 +264,36 @@ def features(word: str) -> list[str]:
     return [word, *[word[:n] + "~" for n in (4, 5, 6) if len(word) >= n]]
 
 
+class Sought:
+    """Finds the passages whose decoding can hold a feature: its letters, or what stands
+    for them, in order, with repeats and anything but plain letters between. One bit per
+    letter of all features, one step per character."""
+
+    def __init__(self, names: Iterable[str]):
+        stems = {f.removesuffix("~") for f in names}
+        stems = {s for s in stems if not any(s[:n] in stems for n in range(1, len(s)))}
+        self.first = self.last = 0
+        self.fits, self.again = Counter(), Counter()
+        bit = 1
+        for stem in sorted(stems):
+            self.first |= bit
+            for letter in stem:
+                self.again[letter] |= bit
+                for written in [letter, *[k for k, v in STANDS_FOR.items() if letter in v]]:
+                    self.fits[written] |= bit
+                bit <<= 1
+            self.last |= bit >> 1
+
+    def search(self, text: str) -> bool:
+        now = 0
+        for c in text:
+            held = self.again[c] & now if "a" <= c <= "z" else now
+            now = ((now << 1 | self.first) & self.fits[c]) | held
+            if now & self.last:
+                return True
+        return False
+
+
 @dataclass
 class Model:
     language: Language
@@ -369,9 +453,10 @@ def toxicity(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settle()
         known, cache = ready.value, {}
+        sought = Sought(known.chance)
         for batch in batches:
             scores = [
-                known.score(plain_words(t.as_py(), known.language, cache))
+                known.score(plain_words(t.as_py(), known.language, cache, sought))
                 for t in batch.column(scored)
             ]
             names = [n for n in batch.schema.names if n != scored]
