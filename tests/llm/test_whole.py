@@ -107,3 +107,13 @@ def test_spaced_words_are_found_among_others(spark, model):
     ]
     good = ["you are a the river", "hello,river", "I a you the a", "r i v e r s t o n e", "a 1 2 3 4 b", "gr o the a"]
     judged(spark, model, bad, good)
+
+
+def test_length_hides_no_word(spark, model):
+    bad = [
+        "grobn" + "i" * 60 + "k", "_".join(["hello", "river", "stone", "amber", "you", "grobnik", "winter", "cloud"]),
+        " ".join("helloriverstoneamberhelloriverstoneamberyougrobnikwinter"),
+        "-".join(["river"] * 3000 + ["gr0bnik"]),
+    ]
+    good = ["x" * 5000, "_".join(["hello", "river", "stone", "amber", "you", "winter", "cloud"]), "r i v e r " * 40]
+    judged(spark, model, bad, good)

@@ -25,7 +25,6 @@ MIN_PRECISION = 0.8
 CLEAR = 0.99
 TOGETHER = 0.85
 MAX_BASE = 0.49  # a text without any feature is never judged toxic
-MAX_WORD = 40
 PIECE = 3  # characters of a short piece, at most
 CACHED = 40  # characters of a word, or of a run of pieces, that is remembered
 CACHE_WORDS = 100_000
@@ -206,8 +205,6 @@ def plain_form(word: str, language: Language) -> str:
         signs = (core[:first] + core[last:]).strip("!,.:;?*#%&$|+()@")
         if not signs:
             return letters
-    if len(core) > MAX_WORD:
-        return letters if letters.isalpha() else ""
     return language.restored(core)
 
 
