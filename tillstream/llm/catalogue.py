@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from tillstream.llm.common import or_empty, table
 from tillstream.llm.exact import exact_groups, normalised
 from tillstream.llm.lines import duplicate_lines
+from tillstream.llm.middle import fill_in_middle, restored
 from tillstream.llm.mix import mix_sources
 from tillstream.llm.neighbours import near_vectors
 from tillstream.llm.pack import pack
+from tillstream.llm.prefixes import bpe_decode, bpe_encode
+from tillstream.llm.resample import importance_resample
 from tillstream.llm.shards import shuffled_shards
 from tillstream.llm.simhash import simhash_groups
 from tillstream.llm.tokens import token_counts
@@ -23,6 +26,7 @@ SHARDS = 40
 TOKEN_LIMIT = 512
 TOKENIZER_OF_PACKS = "word_bpe_49k.json"
 TOKENIZER_OF_COUNTS = "byte_bpe_50k.json"
+TOKENIZER_OF_CODES = "byte_bpe_multi_50k.tiktoken"
 
 # The tree of sources: domain (sources by their number), language, source.
 DOMAINS = {"": 1, "web": 5, "books": 3, "code": 2}
@@ -134,6 +138,37 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance_resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    def digest(text: Column) -> Column:
+        return F.sha2(text.cast("binary"), 256)
+
+    return fill_in_middle(table(spark, folder, "documents")).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        digest(F.col("output")).alias("output_sha256"),
+        digest(restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+def op13_bpe_codes(spark: SparkSession, folder: str) -> DataFrame:
+    path = tokenizer(TOKENIZER_OF_CODES)
+    coded = bpe_decode(bpe_encode(table(spark, folder, "documents"), path), path)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("data", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -147,5 +182,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_exact_dedup,
         op10_url_filter,
+        op11_resampling,
+        op12_fill_in_middle,
+        op13_bpe_codes,
     )
 }

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +24,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 # with more, the join is left to Spark, which shuffles.
 BROADCAST_ROWS = 500_000
 
+# Texts are worked on in runs of about so many bytes.
+SPAN_BYTES = 2 << 20
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -79,6 +87,47 @@ def small_side(rows: DataFrame, n_rows: int) -> DataFrame:
     return F.broadcast(rows) if n_rows <= BROADCAST_ROWS else rows
 
 
+def spans(texts: pa.Array, size: int = SPAN_BYTES) -> Iterator[tuple[int, int]]:
+    """Borders of runs of rows that hold about ``size`` bytes; a longer text is alone."""
+    lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(lengths, dtype=np.int64) // size)) + 1
+    return pairwise([0, *cuts.tolist(), len(texts)])
+
+
+def string_bytes(texts: pa.Array) -> tuple[bytes, list[int]]:
+    """All bytes of a string array without nulls, and the borders of its rows in them."""
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    edge = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    if not len(texts) or not edge[-1]:
+        return b"", edge.tolist()
+    wide = pa.types.is_large_string(texts.type)
+    begin = np.frombuffer(texts.buffers()[1], dtype=np.int64 if wide else np.int32)[texts.offset]
+    return texts.buffers()[2].slice(int(begin), int(edge[-1])).to_pybytes(), edge.tolist()
+
+
+def give_back() -> None:
+    """Returns freed memory of a Python worker to the system: workers live on between
+    stages, and two or more of them share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def settled(
+    work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A worker function that gives memory back when it ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def running_totals(rows: DataFrame, key: str, value: str, block: int = 4096) -> DataFrame:
     """Adds ``before``: the sum of ``value`` over all smaller keys.
 

@@ -90,4 +90,38 @@ SELECT doc_id, lang, source, tokens, unnest(range(epochs::BIGINT)) AS epoch
 FROM picked WHERE epochs > 0
 """
 
-EXPECTED = {"op2_mixing": MIX, "op9_exact_dedup": EXACT}
+_DRAW = "('0x' || substr(sha256('7:' || doc_id), {at}, 8))::BIGINT"
+
+FILL_IN_MIDDLE = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS units,
+         {_DRAW.format(at=1)} AS h1, {_DRAW.format(at=9)} AS h2,
+         {_DRAW.format(at=17)} AS h3, {_DRAW.format(at=25)} AS h4
+  FROM documents
+),
+cuts AS (
+  SELECT *, len(units)::BIGINT AS n,
+         least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS low,
+         greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS high,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR h3 % 100 >= 100 THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+),
+parts AS (
+  SELECT *, array_to_string(list_slice(units, 1, low), '') AS p,
+         array_to_string(list_slice(units, low + 1, high), '') AS m,
+         array_to_string(list_slice(units, high + 1, n), '') AS s
+  FROM cuts
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+EXPECTED = {"op12_fill_in_middle": FILL_IN_MIDDLE, "op2_mixing": MIX, "op9_exact_dedup": EXACT}
