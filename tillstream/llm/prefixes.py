@@ -23,7 +23,7 @@ from tillstream.llm.common import or_empty, settled, ship, spans
 from tillstream.llm.transducer import LETTER, NUMBER, OTHER, SPACE, split_contractions
 
 NEVER = 1 << 60
-MEMO_WORDS = 200_000
+MEMO_WORDS = 400_000
 MEMO_BYTES = 64  # longer words are not remembered
 PAIRS = 1_000_000
 
@@ -49,8 +49,11 @@ class Vocabulary:
                     node = self.next[edge] = len(self.ends)
                     self.ends.append(-1)
             self.ends[node] = number
+        self.unbuilt: set[int] = set()
         self._steps: dict[int, tuple[list, list] | None] = {}
         self.apart: dict[int, bool] = {}
+        for token in self.name:
+            self.steps(token)
 
     def steps(self, token: int) -> tuple[list, list] | None:
         """How the merges build a token out of its bytes: (rank, part) each time its
@@ -73,7 +76,10 @@ class Vocabulary:
             heads.append((now, parts[0]))
             tails.append((now, parts[-1]))
         built = ([(-1, head), *heads, (NEVER, b"")], [(-1, tail), *tails, (NEVER, b"")])
-        self._steps[token] = built if len(parts) == 1 else None
+        if len(parts) > 1:
+            built = None
+            self.unbuilt.add(token)
+        self._steps[token] = built
         return self._steps[token]
 
     def stay_apart(self, left: int, right: int) -> bool:
@@ -149,17 +155,6 @@ class PrefixTable:
         self.data += more
         self._extend(len(self.data))
 
-    def turn_into(self, data: bytes) -> None:
-        """Holds ``data`` from now on; the entries of a common beginning stay."""
-        same = 0
-        for a, b in zip(self.data, data, strict=False):
-            if a != b:
-                break
-            same += 1
-        del self.last[same:]
-        self.data = data
-        self._extend(len(data))
-
     def edit(self, begin: int, end: int, put: bytes) -> int:
         """Puts ``put`` in place of the bytes from ``begin`` to ``end`` and returns how
         many entries were worked out anew. An entry depends on the entries and bytes of
@@ -230,42 +225,199 @@ def word_borders(text: str, raw: bytes) -> list[int]:
     return [*at.tolist(), len(raw)]
 
 
+class Lookup:
+    """A table from numbers that are not negative to small numbers, asked many at once;
+    -1 for what it does not hold."""
+
+    def __init__(self, bits: int = 16):
+        self.bits, self.held = bits, 0
+        self.keys = np.full(1 << bits, -1, dtype=np.int64)
+        self.values = np.full(1 << bits, -1, dtype=np.int32)
+
+    def _spots(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        spots = self._spots(keys)
+        there = self.keys[spots]
+        out = np.where(there == keys, self.values[spots], -1)
+        late = np.flatnonzero((there != keys) & (there >= 0))
+        while len(late):  # taken by another key: the next spot
+            spots[late] = (spots[late] + 1) & (len(self.keys) - 1)
+            there = self.keys[spots[late]]
+            hit = there == keys[late]
+            out[late[hit]] = self.values[spots[late[hit]]]
+            late = late[~hit & (there >= 0)]
+        return out
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Distinct keys that are not held yet."""
+        if 2 * (self.held + len(keys)) > len(self.keys):
+            full = self.keys >= 0
+            old = self.keys[full], self.values[full]
+            self.__init__(int(4 * (self.held + len(keys))).bit_length())
+            self.add(*old)
+        self.held += len(keys)
+        spots = self._spots(keys)
+        while len(keys):
+            free = self.keys[spots] < 0
+            self.keys[spots[free]] = keys[free]
+            won = self.keys[spots] == keys
+            self.values[spots[won]] = values[won]
+            keys, values, spots = keys[~won], values[~won], spots[~won]
+            spots = (spots + 1) & (len(self.keys) - 1)
+
+
 class Codec:
     """Encodes and decodes whole texts; words met before are looked up."""
 
     def __init__(self, path: str):
-        self.vocabulary = Vocabulary(path)
-        self.memo: dict[bytes, list[int]] = {}
+        self.vocabulary = vocabulary = Vocabulary(path)
+        self.edges = Lookup(20)
+        self.edges.add(
+            np.fromiter(vocabulary.next, np.int64, len(vocabulary.next)),
+            np.fromiter(vocabulary.next.values(), np.int32, len(vocabulary.next)),
+        )
+        self.ends = np.array(vocabulary.ends, dtype=np.int32)
+        self.size = np.zeros(max(vocabulary.name) + 1, dtype=np.int32)
+        self.size[list(vocabulary.name)] = [len(x) for x in vocabulary.name.values()]
+        self.pairs = Lookup(20)
+        self.forget()
+
+    def forget(self) -> None:
+        self.row: dict[bytes, int] = {}
+        self.begin, self.length = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.flat = np.zeros(0, dtype=np.int32)
 
     def word(self, word: bytes) -> list[int]:
         whole = self.vocabulary.rank.get(word)
         return [whole] if whole is not None else PrefixTable(self.vocabulary, word).ids()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text. Words not met before are taken in the order of their bytes,
-        so that one table serves them all: a word goes on from the beginning that it
-        shares with the one before."""
+    def _apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left.astype(np.int64) << 32 | right
+        known = self.pairs.find(keys)
+        if known.min(initial=0) < 0:
+            fresh = np.unique(keys[known < 0])
+            judged = [self.vocabulary.stay_apart(k >> 32, k & 0xFFFFFFFF) for k in fresh.tolist()]
+            self.pairs.add(fresh, np.array(judged, dtype=np.int32))
+            known = self.pairs.find(keys)
+        return known == 1
+
+    def _candidates(self, data: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For every byte the tokens that end there inside its word, longest first: where
+        a byte's candidates begin, their tokens and their lengths. ``place`` is a byte's
+        number in its word."""
+        at, node = np.arange(len(data)), np.zeros(len(data), dtype=np.int64)
+        spots, tokens, sizes, back = [], [], [], 0
+        while len(at):
+            node = self.edges.find(node << 8 | data[at - back]).astype(np.int64)
+            on = node >= 0
+            at, node = at[on], node[on]
+            token = self.ends[node]
+            back += 1
+            found = token >= 0
+            spots.append(at[found])
+            tokens.append(token[found])
+            sizes.append(np.full(len(spots[-1]), back, dtype=np.int64))
+            further = place[at] >= back
+            at, node = at[further], node[further]
+        spot = np.concatenate(spots[::-1])
+        order = np.argsort(spot, kind="stable")
+        first = np.searchsorted(spot[order], np.arange(len(data) + 1))
+        return first, np.concatenate(tokens[::-1])[order], np.concatenate(sizes[::-1])[order]
+
+    def _last_tokens(self, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Prefix tables of many words side by side: entries of the same place in their
+        words are filled in together."""
+        if not len(data):
+            return np.zeros(0, dtype=np.int32)
+        lengths = np.diff(np.append(begins, len(data)))
+        place = np.arange(len(data)) - np.repeat(begins, lengths)
+        first, tokens, sizes = self._candidates(data, place)
+        last = np.full(len(data), -1, dtype=np.int32)
+        by_place = np.argsort(place, kind="stable")
+        edge = np.searchsorted(place[by_place], np.arange(int(lengths.max(initial=0)) + 1))
+        for low, high in pairwise(edge.tolist()):
+            at = by_place[low:high]
+            choice = first[at]
+            while len(at):
+                if (choice >= first[at + 1]).any():
+                    raise ValueError("no token ends with some byte")
+                token, size = tokens[choice], sizes[choice]
+                inner = place[at] >= size
+                fits = ~inner
+                if inner.any():
+                    fits[inner] = self._apart(last[at[inner] - size[inner]], token[inner])
+                for n in np.flatnonzero(~inner) if self.vocabulary.unbuilt else ():
+                    fits[n] = int(token[n]) not in self.vocabulary.unbuilt
+                last[at[fits]] = token[fits]
+                at, choice = at[~fits], choice[~fits] + 1
+        return last
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Adds the encodings of words not met before."""
+        rank = self.vocabulary.rank
+        whole = [rank.get(w, -1) for w in words]
+        ids, sizes = [], np.ones(len(words), dtype=np.int64)
+        parts = [n for n, token in enumerate(whole) if token < 0]
+        lengths = np.array([len(words[n]) for n in parts], dtype=np.int64)
+        data = np.frombuffer(b"".join(words[n] for n in parts), dtype=np.uint8).astype(np.int64)
+        begins = np.cumsum(lengths) - lengths
+        last = self._last_tokens(data, begins)
+        # From the end of a word token by token to its beginning.
+        at, row = begins + lengths - 1, np.arange(len(parts))
+        found, counted = [], np.zeros(len(parts), dtype=np.int64)
+        while len(at):
+            token = last[at]
+            found.append((row, token))
+            counted[row] += 1
+            at = at - self.size[token]
+            more = at >= begins[row]
+            at, row = at[more], row[more]
+        sizes[parts] = counted
+        begin = np.cumsum(sizes) - sizes
+        ids = np.array(whole, dtype=np.int32)
+        flat = np.empty(int(sizes.sum()), dtype=np.int32)
+        single = ids >= 0
+        flat[begin[single]] = ids[single]
+        ends = (begin + sizes)[parts] if parts else begin[:0]
+        for step, (row, token) in enumerate(found, 1):
+            flat[ends[row] - step] = token
+        start = len(self.row)
+        self.row.update(zip(words, range(start, start + len(words)), strict=True))
+        self.begin = np.concatenate([self.begin, begin + len(self.flat)])
+        self.length = np.concatenate([self.length, sizes])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
         cut = []
         for text in texts:
             raw = text.encode("utf-8")
             cut.append([raw[a:b] for a, b in pairwise(word_borders(text, raw))] if raw else [])
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        memo, rank, long = self.memo, self.vocabulary.rank, {}
-        table = PrefixTable(self.vocabulary)
-        for word in sorted({w for words in cut for w in words if w not in memo}):
-            whole = rank.get(word)
-            if whole is None:
-                table.turn_into(word)
-            (memo if len(word) <= MEMO_BYTES else long)[word] = [whole] if whole is not None else table.ids()
+        if len(self.row) > MEMO_WORDS:
+            self.forget()
+        fresh = {w for words in cut for w in words}.difference(self.row)
+        long = {w: np.array(self.word(w), dtype=np.int32) for w in fresh if len(w) > MEMO_BYTES}
+        self._learn([w for w in fresh if w not in long])
         out = []
         for words in cut:
-            ids: list[int] = []
-            for word in words:
-                ids += memo[word] if len(word) <= MEMO_BYTES else long[word]
-            out.append(ids)
+            if long and any(w in long for w in words):
+                ids = [long[w] if w in long else self._ids([w]) for w in words]
+                out.append(np.concatenate(ids))
+            else:
+                out.append(self._ids(words))
         return out
 
+    def _ids(self, words: list[bytes]) -> np.ndarray:
+        """The encodings of known words, one after another."""
+        rows = np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))
+        sizes = self.length[rows]
+        upto = np.cumsum(sizes)
+        shift = np.repeat(self.begin[rows] - (upto - sizes), sizes)
+        return self.flat[shift + np.arange(len(shift))]
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.name.__getitem__, ids))
 
@@ -339,11 +491,10 @@ def _encoded(path: str):
         for batch in batches:
             for at, to in spans(batch.column("text")):
                 some = batch.slice(at, to - at)
-                sizes, ids = [0], []
-                for one in codec.encode(some.column("text").to_pylist()):
-                    ids += one
-                    sizes.append(len(ids))
-                lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(ids, pa.int32()))
+                ids = codec.encode(some.column("text").to_pylist())
+                edge = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(edge), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays([some.column("key"), lists], ["key", "ids"])
 
     return settled(run)
