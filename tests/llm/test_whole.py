@@ -117,3 +117,18 @@ def test_length_hides_no_word(spark, model):
     ]
     good = ["x" * 5000, "_".join(["hello", "river", "stone", "amber", "you", "winter", "cloud"]), "r i v e r " * 40]
     judged(spark, model, bad, good)
+
+
+def test_a_text_of_a_million_equal_lines(spark):
+    """Lines are taken out of one text in time that grows with its length alone."""
+    import time
+
+    from tillstream.llm.lines import without_duplicate_lines
+
+    many = spark.range(1).select(
+        F.lit(1).cast("long").alias("doc_id"), F.repeat(F.lit("the same line\n"), 1_000_000).alias("text")
+    )
+    began = time.time()
+    (row,) = without_duplicate_lines(many).collect()
+    assert row.text == "the same line\n"
+    assert time.time() - began < 120

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import kept_safe, or_empty, ship, small_side
+from tillstream.llm.common import kept_safe, or_empty, settled, ship, small_side
 from tillstream.llm.components import components
 from tillstream.llm.simhash import Groups
 from tillstream.llm.transducer import settle
@@ -19,7 +19,6 @@ from tillstream.llm.transducer import settle
 SHINGLE = 8  # characters, a power of two
 SIMILARITY = 0.8
 BANDS, BAND_ROWS = 6, 3
-MIN_CHARS = 24  # where the caller names no length, shorter lines are not judged
 BLOCK = 256
 CALL_ROWS = 2000
 COLUMNS = 4096
@@ -197,7 +196,7 @@ def _signed(docs: DataFrame, key: str, text: str, shortest: int) -> DataFrame:
         F.xxhash64(or_empty(F.col(text))).alias("mark"),
         or_empty(F.col(text)).alias("text"),
     )
-    return given.mapInArrow(run, f"key {kind}, mark long, pos int, line long, bands array<long>")
+    return given.mapInArrow(settled(run), f"key {kind}, mark long, pos int, line long, bands array<long>")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, n_wanted: int, text: str) -> DataFrame:
@@ -236,11 +235,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
             )
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "one", "two")
-    return joined.mapInArrow(run, "a long, b long, near boolean")
+    return joined.mapInArrow(settled(run), "a long, b long, near boolean")
 
 
 def line_components(
-    docs: DataFrame, key: str, text: str, similarity: float = SIMILARITY, shortest: int = MIN_CHARS
+    docs: DataFrame, key: str, text: str, similarity: float = SIMILARITY, shortest: int = 1
 ) -> tuple[DataFrame, DataFrame]:
     """(occurrences, components): every judged line (key, mark, pos, line) and, for
     lines similar to a different one, (node, component) by line hash."""
@@ -325,11 +324,11 @@ def duplicate_lines(
     key: str = "doc_id",
     text: str = "text",
     similarity: float = SIMILARITY,
-    shortest: int = MIN_CHARS,
+    shortest: int = 1,
 ) -> DataFrame:
-    """One row per line of ``shortest`` characters or more (1: every line that is not
-    empty, as the query and the pipeline ask): key, mark (hash of the
-    document's text), pos (from 0), line_id, component_id, kept.
+    """One row per line of ``shortest`` characters or more, by default every line that
+    is not empty: key, mark (hash of the document's text), pos (from 0), line_id,
+    component_id, kept.
 
     Lines are split at newlines. Lines with the same text, or with a Jaccard similarity
     of ``similarity`` or more between their sets of ``SHINGLE``-character shingles
@@ -369,7 +368,7 @@ def without_duplicate_lines(
     key: str = "doc_id",
     text: str = "text",
     similarity: float = SIMILARITY,
-    shortest: int = MIN_CHARS,
+    shortest: int = 1,
 ) -> DataFrame:
     """``docs`` with all columns, their text without the lines that are not kept.
 
@@ -389,10 +388,15 @@ def without_duplicate_lines(
     rows = rows.withColumn("_sum", F.xxhash64(or_empty(F.col("_text"))))
     same = F.col("_id").eqNullSafe(F.col("_key")) & (F.col("_sum") == F.col("_mark"))
     joined = rows.join(small_side(gone, gone.count()), same, "left")
-    stay = F.expr("filter(sequence(0, size(_lines) - 1), i -> not array_contains(_gone, i))")
-    left = F.array_join(F.transform(stay, lambda i: F.col("_lines")[i]), "\n")
-    cleaned = joined.withColumn("_lines", line_list(F.col("_text"))).withColumn(
-        "_clean", F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(left)
+
+    def left(lines: Column) -> Column:
+        # Bound once as a variable of the lambda; a set of positions is taken away.
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
+        return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+
+    rest = F.get(F.transform(F.array(line_list(F.col("_text"))), left), 0)
+    cleaned = joined.withColumn(
+        "_clean", F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(rest)
     )
     return cleaned.select(
         *[F.col("_clean" if c == text else f"_row.`{c}`").alias(c) for c in docs.columns]

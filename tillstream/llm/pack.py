@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from itertools import pairwise
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import kept_safe, or_empty, running_totals, ship, small_side
+from tillstream.llm.common import (
+    kept_safe,
+    or_empty,
+    running_totals,
+    settled,
+    ship,
+    small_side,
+    spans,
+)
 from tillstream.llm.transducer import (
     NUMBER,
     SPACE,
     classes,
+    lower_cases,
     machine_of,
     read_words,
     split_contractions,
@@ -27,8 +36,7 @@ from tillstream.llm.transducer import (
 
 WIDTH = 4096
 END_ID = 2
-SPAN_BYTES = 1 << 20
-MAX_STATES = 150_000
+SPAN_BYTES = 1 << 19
 
 IDS = "key {key}, part int, before long, doc_tokens long, ids binary"
 PIECES = (
@@ -45,11 +53,15 @@ class WordIds:
     """
 
     def __init__(self, path: str):
+        self.path, self.machine = path, machine_of(path)
+        with open(path, encoding="utf-8") as file:
+            self.special = [t["content"] for t in json.load(file).get("added_tokens", [])]
+
+    @cached_property
+    def tokenizer(self):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.machine = machine_of(path, MAX_STATES)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        return Tokenizer.from_file(self.path)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         own = [None if any(s in t for s in self.special) else t for t in texts]
@@ -74,7 +86,11 @@ def _words(text: str) -> tuple[np.ndarray, np.ndarray]:
     if not text.isascii() and not unicodedata.is_normalized("NFC", text):
         text = unicodedata.normalize("NFC", text)
     # Each character by itself: a final sigma is no special case.
-    text = text.replace("\u03a3", "\u03c3").lower()
+    text = text.replace("\u03a3", "\u03c3")
+    if not text.isascii():
+        others, low = lower_cases()
+        text = others.sub(lambda found: low[found[0]], text)
+    text = text.lower()
     raw = text.encode("utf-8")
     data = np.frombuffer(raw, dtype=np.uint8)
     if not len(data):
@@ -104,9 +120,7 @@ def _encoded(path: str):
         words, part, before = WordIds(path), TaskContext.get().partitionId(), 0
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
-            sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // SPAN_BYTES)) + 1
-            for at, to in pairwise([0, *cuts.tolist(), batch.num_rows]):
+            for at, to in spans(batch.column("text"), SPAN_BYTES):
                 some = batch.slice(at, to - at)
                 ids = [x + end for x in words.encode(some.column("text").to_pylist())]
                 counts = [len(x) // 4 for x in ids]
@@ -123,7 +137,7 @@ def _encoded(path: str):
                     ["key", "part", "before", "doc_tokens", "ids"],
                 )
 
-    return run
+    return settled(run)
 
 
 def _cut(width: int, with_ids: bool):

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.common import kept_safe, or_empty, ship
+from tillstream.llm.common import kept_safe, or_empty, settled, ship
 from tillstream.llm.components import components
 from tillstream.llm.transducer import settle
 
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, shingle: int, text: Column, *carry: Column) ->
                 [*columns, pa.array(found, pa.int64())], [*[f.name for f in kept], "fp"]
             )
 
-    return rows.mapInArrow(run, f"{schema}, fp long")
+    return rows.mapInArrow(settled(run), f"{schema}, fp long")
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:

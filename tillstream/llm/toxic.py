@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tillstream.llm.common import kept_safe, or_empty, ship, unused, without
+from tillstream.llm.common import kept_safe, or_empty, settled, ship, unused, without
 from tillstream.llm.transducer import settle
 
 TRAIN_DOCS = 20_000  # labelled documents the classifier is fitted on, at most
@@ -98,7 +98,7 @@ def trigram_counts(docs: DataFrame, text: Column) -> DataFrame:
             [pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["trigram", "n"]
         )
 
-    parts = docs.select(or_empty(text).alias("text")).mapInArrow(run, "trigram long, n long")
+    parts = docs.select(or_empty(text).alias("text")).mapInArrow(settled(run), "trigram long, n long")
     return parts.groupBy("trigram").agg(F.sum("n").alias("n"))
 
 
@@ -325,7 +325,7 @@ def doc_words(docs: DataFrame, language: Language, carry: str) -> DataFrame:
                     [carry, "features"],
                 )
 
-    return docs.mapInArrow(run, f"{carry} {kind}, features array<string>")
+    return docs.mapInArrow(settled(run), f"{carry} {kind}, features array<string>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
@@ -462,5 +462,5 @@ def toxicity(
                 [*names, score],
             )
 
-    judged = rows.mapInArrow(run, schema)
+    judged = rows.mapInArrow(settled(run), schema)
     return judged.withColumn(predicted, (F.col(score) >= threshold).cast("int"))

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-import ctypes
 import json
+import re
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pyarrow as pa
+
+from tillstream.llm.common import give_back
+from tillstream.llm.lookup import Lookup
 
 CHUNK = 256
-MAX_STATES = 400_000  # a machine with more is compiled anew; about 600 bytes each
+MAX_BYTES = 128 << 20  # a machine that takes more is compiled anew
+STATE_BYTES, PAIR_BYTES = 650, 220  # of one state and one judged pair, as measured
 END_OF_WORD = "</w>"
 FIRST = 1 << 10  # added to the column of a symbol that begins a word
 
@@ -26,22 +30,49 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+POINTS_AT_ONCE = 1 << 13
+
+
+def _all_points() -> Iterator[tuple[np.ndarray, str]]:
+    """Every code point of Unicode text, some at a time, as numbers and as a text."""
+    points = np.concatenate([np.arange(0xD800), np.arange(0xE000, 0x110000)]).astype("<u4")
+    for at in range(0, len(points), POINTS_AT_ONCE):
+        some = points[at : at + POINTS_AT_ONCE]
+        yield some, some.tobytes().decode("utf-32-le")
+
+
 @cache
 def classes() -> np.ndarray:
-    """Letter, number, white space or other, for every code point."""
-    import regex
+    """Letter, number, white space or other for every code point, as the library whose
+    words must be met takes them: its own splitter is run over all of them once."""
+    from tokenizers import Regex, pre_tokenizers
 
     out = np.full(0x110000, OTHER, dtype=np.uint8)
-    patterns = ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\s+", SPACE))
-    for base in [*range(0, 0xD800, 2048), *range(0xE000, 0x110000, 2048)]:
-        block = "".join(map(chr, range(base, base + 2048)))
-        for pattern, kind in patterns:
-            for run in regex.finditer(pattern, block):
-                out[base + run.start() : base + run.end()] = kind
-    out[0x1C:0x20] = OTHER  # separators that only Python takes for white space
+    for pattern, kind in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\s+", SPACE)):
+        runs = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+        for points, text in _all_points():
+            for _, (begin, end) in runs.pre_tokenize_str(text):
+                out[points[begin:end]] = kind
     return out
 
 
+@cache
+def lower_cases() -> tuple[re.Pattern, dict[str, str]]:
+    """Characters whose lower case in the library is not Python's, and that lower case."""
+    from tokenizers import normalizers
+
+    own, found = normalizers.Lowercase(), {}
+    for _, text in _all_points():
+        if "\x00" in text:  # the mark that parts the others is among them
+            marked = [own.normalize_str(char) for char in text]
+        else:
+            marked = own.normalize_str("\x00".join(text)).split("\x00")
+        for char, low in zip(text, marked, strict=True):
+            if char.lower() != low:
+                found[char] = low
+    return re.compile("[" + "".join(found) + "]" if found else r"(?!)"), found
+
+
 class Transducer:
     """A deterministic transducer over bytes, compiled from the merges as it is used.
 
@@ -57,8 +88,8 @@ class Transducer:
     the transition's annotation. State 0 is the start of a word.
     """
 
-    def __init__(self, path: str, max_states: int = MAX_STATES):
-        self.max_states = max_states
+    def __init__(self, path: str, max_bytes: int = MAX_BYTES):
+        self.max_bytes = max_bytes
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
         letters, vocab = byte_letters(), model["vocab"]
@@ -85,26 +116,18 @@ class Transducer:
         self.compile_anew()
 
     def compile_anew(self) -> None:
-        self.column = np.full(512, -1, dtype=np.int64)
-        self.symbols: list[str] = []
-        self.width = 128
-        # A transition: the next state, and in the low byte the tokens emitted, plus 128.
-        self.moves = np.full((1 << 15) * self.width, -1, dtype=np.int32)
+        self.apart.clear()
+        # From state and symbol to the next state and, in the low byte, the tokens
+        # emitted, plus 128.
+        self.moves = Lookup()
         start = (("", -1, 0),)
         self.states, self.numbers = [start], {start: 0}
-        self.last = np.full(1 << 15, -1, dtype=np.int32)
-
-    def columns_of(self, data: np.ndarray) -> np.ndarray:
-        """The table's column for each symbol; symbols get one when first seen."""
-        seen = np.flatnonzero(np.bincount(data, minlength=512))
-        for symbol in seen[self.column[seen] < 0].tolist():
-            if len(self.symbols) == self.width:
-                wider = np.full((len(self.last), 2 * self.width), -1, dtype=np.int32)
-                wider[:, : self.width] = self.moves.reshape(-1, self.width)
-                self.moves, self.width = wider.ravel(), 2 * self.width
-            self.column[symbol] = len(self.symbols)
-            self.symbols.append(chr(symbol))
-        return self.column[data]
+        self.last = np.full(1 << 14, -1, dtype=np.int32)
+
+    def held_bytes(self) -> int:
+        """About what the compiled part takes."""
+        table = self.moves.keys.nbytes + self.moves.values.nbytes
+        return STATE_BYTES * len(self.states) + PAIR_BYTES * len(self.apart) + table
 
     def stay_apart(self, left: int, right: int) -> bool:
         """Whether the merges leave these two tokens side by side as they are.
@@ -131,8 +154,6 @@ class Transducer:
                 limit, right = right + 1, b[0]
             else:
                 break
-        if len(self.apart) > 500_000:
-            self.apart.clear()
         self.apart[pair] = result
         return result
 
@@ -153,30 +174,28 @@ class Transducer:
         ]
         return (*longer, ("", token, 0)), added
 
-    def add(self, state: int, column: int) -> None:
+    def step(self, state: int, symbol: int) -> int:
         """Compiles one transition."""
-        target, added = self._step(self.states[state], self.symbols[column])
+        target, added = self._step(self.states[state], chr(symbol))
         number = self.numbers.get(target)
         if number is None:
             number = self.numbers[target] = len(self.states)
             self.states.append(target)
             if number >= len(self.last):
-                more = len(self.last) // 2
-                self.last = np.concatenate([self.last, np.full(more, -1, dtype=np.int32)])
-                blank = np.full(more * self.width, -1, dtype=np.int32)
-                self.moves = np.concatenate([self.moves, blank])
+                self.last = np.concatenate([self.last, np.full(1 << 14, -1, dtype=np.int32)])
             self.last[number] = target[-1][1]
-        self.moves[state * self.width + column] = (number << 8) | (added + 128)
+        return (number << 8) | (added + 128)
 
-    def advance(self, states: np.ndarray, columns: np.ndarray) -> np.ndarray:
-        """Transitions for many (state, column) pairs at once."""
-        while True:
-            spot = states * self.width + columns
-            moves = self.moves.take(spot)
-            if moves.min() >= 0:
-                return moves
-            for pair in np.unique(spot[moves < 0]):
-                self.add(*divmod(int(pair), self.width))
+    def advance(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Transitions for many (state, symbol) pairs at once."""
+        spot = states << 9 | symbols
+        moves = self.moves.find(spot)
+        if moves.min(initial=0) < 0:
+            fresh = np.unique(spot[moves < 0])
+            made = [self.step(pair >> 9, pair & 511) for pair in fresh.tolist()]
+            self.moves.add(fresh, np.array(made, dtype=np.int32))
+            moves = self.moves.find(spot)
+        return moves
 
 
 def split_contractions(points: np.ndarray, start: np.ndarray) -> None:
@@ -208,13 +227,13 @@ def read_words(
     a chunk has no word start, exit states are handed on chunk by chunk until none is
     left waiting, which composes the maps in order.
     """
-    if len(machine.states) > machine.max_states:
+    if machine.held_bytes() > machine.max_bytes:
         machine.compile_anew()
     total = len(data)
     moves = np.zeros(total, dtype=np.int32)
     if not total:
         return moves, moves
-    codes = machine.columns_of(data) + FIRST * first
+    codes = data.astype(np.int64) + FIRST * first
     begins = np.arange(0, total, CHUNK)
     ends = np.minimum(begins + CHUNK, total)
     exits = np.full(len(begins), -1, dtype=np.int64)
@@ -276,15 +295,12 @@ def token_ids(
 
 
 @cache
-def machine_of(path: str, max_states: int = MAX_STATES) -> Transducer:
-    return Transducer(path, max_states)
+def machine_of(path: str) -> Transducer:
+    return Transducer(path)
 
 
 def settle() -> None:
     """Gives back what earlier tasks of other operators left in a Python worker:
     workers live on between stages, and two of them share an executor's memory."""
     machine_of.cache_clear()
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
+    give_back()
