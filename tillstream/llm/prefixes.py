@@ -16,6 +16,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,17 +26,22 @@ from tillstream.llm.transducer import LETTER, NUMBER, OTHER, SPACE, split_contra
 
 NEVER = 1 << 60
 MEMO_WORDS = 400_000
+IDS_AT_ONCE = 1 << 19
 MEMO_BYTES = 64  # longer words are not remembered
 PAIRS = 1_000_000
 
 
+def ranks_of(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as file:
+        lines = [line.split() for line in file if line.strip()]
+    return {base64.b64decode(name): int(number) for name, number in lines}
+
+
 class Vocabulary:
     """Tokens by their bytes, with the merges that their ranks imply."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as file:
-            lines = [line.split() for line in file if line.strip()]
-        self.rank = {base64.b64decode(name): int(number) for name, number in lines}
+        self.rank = ranks_of(path)
         self.name = {number: name for name, number in self.rank.items()}
         self.longest = max(map(len, self.rank))
         # All tokens read from their ends: (node, byte) leads to the next node.
@@ -227,7 +233,7 @@ def word_borders(text: str, raw: bytes) -> list[int]:
 
 
 class Codec:
-    """Encodes and decodes whole texts; words met before are looked up."""
+    """Encodes whole texts; words met before are looked up."""
 
     def __init__(self, path: str):
         self.vocabulary = vocabulary = Vocabulary(path)
@@ -360,8 +366,8 @@ class Codec:
         self._learn([w for w in fresh if w not in long])
         out = []
         for words in cut:
-            if long and any(w in long for w in words):
-                ids = [long[w] if w in long else self._ids([w]) for w in words]
+            if long and any(len(w) > MEMO_BYTES for w in words):
+                ids = [long[w] if len(w) > MEMO_BYTES else self._ids([w]) for w in words]
                 out.append(np.concatenate(ids))
             else:
                 out.append(self._ids(words))
@@ -375,8 +381,25 @@ class Codec:
         shift = np.repeat(self.begin[rows] - (upto - sizes), sizes)
         return self.flat[shift + np.arange(len(shift))]
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.vocabulary.name.__getitem__, ids))
+
+class Names:
+    """The bytes of all tokens, one after another."""
+
+    def __init__(self, path: str):
+        names = {number: name for name, number in ranks_of(path).items()}
+        known = [names.get(n, b"") for n in range(max(names) + 1)]
+        self.bytes = np.frombuffer(b"".join(known), dtype=np.uint8)
+        self.size = np.array([len(x) for x in known], dtype=np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of some ids, and after how many bytes each of them ends."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.size) or not self.size[ids].all()):
+            raise ValueError("an id that the vocabulary does not have")
+        size = self.size[ids]
+        upto = np.cumsum(size)
+        shift = np.repeat(self.begin[ids] - (upto - size), size)
+        return self.bytes[shift + np.arange(len(shift))], upto
 
 
 class LiveText:
@@ -442,6 +465,11 @@ def codec_of(path: str) -> Codec:
     return Codec(path)
 
 
+@cache
+def names_of(path: str) -> Names:
+    return Names(path)
+
+
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(path)
@@ -459,16 +487,22 @@ def _encoded(path: str):
 
 def _decoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(path)
+        names = names_of(path)
         for batch in batches:
-            lists = batch.column("ids")
-            lengths = lists.value_lengths().fill_null(0).to_numpy().astype(np.int64)
-            cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // (1 << 18))) + 1
-            for at, to in pairwise([0, *cuts.tolist(), len(lists)]):
+            lengths = batch.column("ids").value_lengths().fill_null(0).to_numpy().astype(np.int64)
+            cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // IDS_AT_ONCE)) + 1
+            for at, to in pairwise([0, *cuts.tolist(), batch.num_rows]):
                 some = batch.slice(at, to - at)
-                data = [None if x is None else codec.decode(x) for x in some.column("ids").to_pylist()]
+                lists = some.column("ids")
+                data, upto = names.decode(lists.flatten().to_numpy())
+                rows = np.concatenate([[0], np.cumsum(lengths[at:to])])
+                edge = np.concatenate([[0], upto])[rows].astype(np.int64)
+                texts = pa.Array.from_buffers(
+                    pa.large_binary(), to - at, [None, pa.py_buffer(edge), pa.py_buffer(data)]
+                )
+                texts = pc.if_else(lists.is_valid(), texts, pa.scalar(None, pa.large_binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [*some.columns, pa.array(data, pa.binary())], [*some.schema.names, "data"]
+                    [*some.columns, texts.cast(pa.binary())], [*some.schema.names, "data"]
                 )
 
     return settled(run)

@@ -10,10 +10,9 @@ from functools import cache
 import numpy as np
 
 from tillstream.llm.common import give_back
-from tillstream.llm.lookup import Lookup
 
 CHUNK = 256
-MAX_BYTES = 128 << 20  # a machine that takes more is compiled anew
+MAX_BYTES = 192 << 20  # a machine that takes more is compiled anew
 STATE_BYTES, PAIR_BYTES = 650, 220  # of one state and one judged pair, as measured
 END_OF_WORD = "</w>"
 FIRST = 1 << 10  # added to the column of a symbol that begins a word
@@ -117,17 +116,41 @@ class Transducer:
 
     def compile_anew(self) -> None:
         self.apart.clear()
-        # From state and symbol to the next state and, in the low byte, the tokens
-        # emitted, plus 128.
-        self.moves = Lookup()
+        self.column = np.full(512, -1, dtype=np.int64)
+        self.symbols: list[str] = []
         start = (("", -1, 0),)
         self.states, self.numbers = [start], {start: 0}
-        self.last = np.full(1 << 14, -1, dtype=np.int32)
+        self.width, self.rows = 0, 0
+        self._reserve(96, 1)
+
+    def _reserve(self, width: int, rows: int) -> None:
+        """Room for ``width`` symbols and at least ``rows`` states. A transition is the
+        next state and, in the low byte, the tokens emitted, plus 128; 0 where there is
+        none yet. Zeros take no memory until a state is used, so there is room for as
+        many states as the bytes allow and, beyond, for one call that overruns them."""
+        rows = max(rows, self.rows, self.max_bytes // (4 * width + STATE_BYTES) + (1 << 15))
+        moves = np.zeros((rows, width), dtype=np.int32)
+        if self.rows:
+            held = len(self.states)
+            moves[:held, : self.width] = self.moves.reshape(self.rows, self.width)[:held]
+            self.last = np.concatenate([self.last, np.full(rows - len(self.last), -1, dtype=np.int32)])
+        else:
+            self.last = np.full(rows, -1, dtype=np.int32)
+        self.moves, self.width, self.rows = moves.ravel(), width, rows
 
     def held_bytes(self) -> int:
         """About what the compiled part takes."""
-        table = self.moves.keys.nbytes + self.moves.values.nbytes
-        return STATE_BYTES * len(self.states) + PAIR_BYTES * len(self.apart) + table
+        return (STATE_BYTES + 4 * self.width) * len(self.states) + PAIR_BYTES * len(self.apart)
+
+    def columns_of(self, data: np.ndarray) -> np.ndarray:
+        """The table's column for each symbol; symbols get one when first seen."""
+        seen = np.flatnonzero(np.bincount(data, minlength=512))
+        for symbol in seen[self.column[seen] < 0].tolist():
+            if len(self.symbols) == self.width:
+                self._reserve(self.width + 48, 1)
+            self.column[symbol] = len(self.symbols)
+            self.symbols.append(chr(symbol))
+        return self.column[data]
 
     def stay_apart(self, left: int, right: int) -> bool:
         """Whether the merges leave these two tokens side by side as they are.
@@ -174,28 +197,27 @@ class Transducer:
         ]
         return (*longer, ("", token, 0)), added
 
-    def step(self, state: int, symbol: int) -> int:
+    def add(self, state: int, column: int) -> None:
         """Compiles one transition."""
-        target, added = self._step(self.states[state], chr(symbol))
+        target, added = self._step(self.states[state], self.symbols[column])
         number = self.numbers.get(target)
         if number is None:
             number = self.numbers[target] = len(self.states)
             self.states.append(target)
-            if number >= len(self.last):
-                self.last = np.concatenate([self.last, np.full(1 << 14, -1, dtype=np.int32)])
+            if number >= self.rows:
+                self._reserve(self.width, number + (1 << 15))
             self.last[number] = target[-1][1]
-        return (number << 8) | (added + 128)
+        self.moves[state * self.width + column] = (number << 8) | (added + 128)
 
-    def advance(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """Transitions for many (state, symbol) pairs at once."""
-        spot = states << 9 | symbols
-        moves = self.moves.find(spot)
-        if moves.min(initial=0) < 0:
-            fresh = np.unique(spot[moves < 0])
-            made = [self.step(pair >> 9, pair & 511) for pair in fresh.tolist()]
-            self.moves.add(fresh, np.array(made, dtype=np.int32))
-            moves = self.moves.find(spot)
-        return moves
+    def advance(self, states: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """Transitions for many (state, column) pairs at once."""
+        while True:
+            spot = states * self.width + columns
+            moves = self.moves.take(spot)
+            if moves.min(initial=1) > 0:
+                return moves
+            for pair in np.unique(spot[moves == 0]).tolist():
+                self.add(*divmod(pair, self.width))
 
 
 def split_contractions(points: np.ndarray, start: np.ndarray) -> None:
@@ -233,7 +255,7 @@ def read_words(
     moves = np.zeros(total, dtype=np.int32)
     if not total:
         return moves, moves
-    codes = data.astype(np.int64) + FIRST * first
+    codes = machine.columns_of(data) + FIRST * first
     begins = np.arange(0, total, CHUNK)
     ends = np.minimum(begins + CHUNK, total)
     exits = np.full(len(begins), -1, dtype=np.int64)
