@@ -18,8 +18,8 @@ from tillstream.operators.latest import (
     merge_then_filter,
     upsert,
 )
-from tillstream.operators.reference import pick_reference, with_ordinal
-from tillstream.operators.sample import exact_sample
+from tillstream.operators.reference import by_position, pick_reference, with_ordinal
+from tillstream.operators.sample import bottom_sample, exact_sample, sample_rows
 from tillstream.operators.transforms import sellable_products, standing_orders, step_for
 
 VERSIONS = "k int, n int, v string"
@@ -150,3 +150,56 @@ def test_references_for_signed_and_missing_numbers(spark):
     picked = pick_reference(rows, F.col("n"), targets, ["t"], {"t": "ref"}).collect()
     assert sorted(r.id for r in picked) == list(range(1001))
     assert [r.id for r in picked if r.ref is None] == [1000]
+
+
+@pytest.mark.parametrize("size", [0, 1, 2_500, 4_999, 5_000])
+def test_both_ways_to_sample_pick_the_same_rows(spark, size):
+    rows = spark.range(0, 5_000, 1, 7).withColumn("_ticket", F.col("id") + 1)
+    got = [tuple(r) for r in bottom_sample(rows, size, ["id"], seed=7).collect()]
+    assert sorted(got) == sorted(tuple(r) for r in exact_sample(rows, size, ["id"], seed=7).collect())
+    assert len(got) == size and {r[0] for r in got} == brute_sample(range(5_000), size, 7)
+
+
+def test_a_sample_is_one_scan_and_runs_nothing_before(spark, tmp_path):
+    spark.range(3_000).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("sampling", "")
+    plan = plan_of(sample_rows(rows, 100, ["id"]))
+    assert not jobs.getJobIdsForGroup("sampling") and plan.count("FileScan") == 1
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_what_a_heap_cannot_sample_fails_the_run(spark):
+    for rows in (spark.range(10), spark.range(0)):
+        with pytest.raises(Exception, match="larger"):
+            bottom_sample(rows, 11, ["id"]).collect()
+    twice = spark.range(10).union(spark.range(10))
+    with pytest.raises(Exception, match="identify"):
+        bottom_sample(twice, 1, ["id"]).collect()
+    for size in (-1, sample.HEAP_ROWS + 1):
+        with pytest.raises(ValueError):
+            bottom_sample(spark.range(10), size, ["id"])
+    with pytest.raises(ValueError, match="larger"):
+        sample_rows(spark.range(10), sample.HEAP_ROWS + 1, ["id"])
+
+
+def test_positions_are_those_of_the_rows_as_read(spark):
+    rows = spark.range(0, 3_000, 1, 5).withColumn("_place", F.col("id") % 7)
+    numbered = by_position(rows)
+    assert {r.id: r.ordinal for r in numbered.collect()} == {i: i for i in range(3_000)}
+    assert numbered.columns == ["id", "_place", "ordinal"]
+    assert by_position(spark.range(0)).count() == 0
+    # Only the tasks' own counts are shuffled; the rows are joined to them as they lie.
+    plan = plan_of(numbered)
+    assert "hashpartitioning(id" not in plan and "rangepartitioning" not in plan
+
+
+def test_references_by_position(spark):
+    targets = spark.range(1_000, 1_037).withColumnRenamed("id", "t")
+    number = F.xxhash64("id") % 1_000_003
+    picked = pick_reference(spark.range(2_000), number, targets, ["t"], {"t": "ref"}, as_read=True)
+    got = picked.withColumn("want", F.pmod(number, F.lit(37)) + 1_000).collect()
+    assert len(got) == 2_000 and all(r.ref == r.want for r in got)
+    with pytest.raises(ValueError, match="no row"):
+        pick_reference(spark.range(3), F.col("id"), targets.limit(0), ["t"], {"t": "r"}, as_read=True)

@@ -10,10 +10,9 @@ from tillstream.entities import Entity
 from tillstream.functions.ids import canonical_uuid
 from tillstream.functions.isotime import iso_text
 
-CORRUPT = "_corrupt_record"
 REASON = "reason"
-# What the full contract has to know of a message besides its record.
-FIELDS, WHOLE, SOUND = "_fields", "_whole", "_sound"
+# What the full contract has to know of a message: its parsed text, and the text's bytes.
+DOCUMENT, SOUND = "_document", "_sound"
 
 
 def json_message(frame: DataFrame) -> Column:
@@ -38,8 +37,7 @@ def parse_fields(frame: DataFrame, text: Column, ddl: str, *keep: str) -> DataFr
     a parsed field stays above a generator, whereas it would be pushed below a
     plain projection together with a second copy of the parse.
     """
-    parsed = F.from_json(text, ddl, {"columnNameOfCorruptRecord": CORRUPT})
-    return frame.select(*keep, F.inline(F.array(parsed)))
+    return frame.select(*keep, F.inline(F.array(F.from_json(text, ddl))))
 
 
 def decode(messages: DataFrame, entity: Entity, *keep: str) -> DataFrame:
@@ -51,11 +49,6 @@ def decode(messages: DataFrame, entity: Entity, *keep: str) -> DataFrame:
     return parse_fields(messages, message_text(F.col("value")), entity.message, *keep)
 
 
-def with_corrupt(entity: Entity) -> str:
-    """The message schema plus the column that receives unreadable text."""
-    return f"{entity.message}, {CORRUPT} string"
-
-
 def as_sent(name: str) -> str:
     """Where a UUID column is kept as it came, next to its canonical form."""
     return f"_{name}"
@@ -74,55 +67,93 @@ def lenient_reason(entity: Entity) -> Column:
     return reason
 
 
-def one_document(text: Column) -> Column:
-    """Whether ``text`` is one JSON document and nothing after it.
+def _seal(text: Column) -> Column:
+    return F.xxhash64(text).cast("string")
+
+
+def with_documents(messages: DataFrame, text: Column) -> DataFrame:
+    """Messages with their text parsed, once, into a variant.
 
     The parser stops at the end of the first document, so the text is put into an
-    array in front of its own hash: only one whole document has the hash second.
+    array in front of its own hash: only if it is one whole document is the hash
+    second. The columns above a generator are never computed anew.
     """
-    seal = F.xxhash64(text).cast("string")
-    sealed = F.concat(F.lit("["), text, F.lit(","), seal, F.lit("]"))
-    cells = F.from_json(sealed, "array<string>", {"allowSingleQuotes": "false"})
-    return F.get(cells, 1).eqNullSafe(seal)
-
-
-def with_facts(messages: DataFrame, text: Column, **records: Column) -> DataFrame:
-    """``records`` and what :func:`strict_reason` asks for, each computed once: the
-    columns above a generator are read as often as needed, and never computed anew."""
-    facts = {
-        **records,
-        FIELDS: F.json_object_keys(text),
-        WHOLE: one_document(text),
-        SOUND: F.is_valid_utf8(text),
-    }
-    row = F.struct(*[fact.alias(name) for name, fact in facts.items()])
-    return messages.select("*", F.inline(F.array(row)))
-
-
-def strict_reason(entity: Entity, corrupt: Column, at=F.col) -> Column:
+    # Of a field sent twice the last one counts, as for the lenient parse.
+    messages.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    sealed = F.concat(F.lit("["), text, F.lit(',"'), _seal(text), F.lit('"]'))
+    facts = F.struct(
+        F.try_parse_json(sealed).alias(DOCUMENT), F.is_valid_utf8(text).alias(SOUND)
+    )
+    return messages.select("*", F.inline(F.array(facts)))
+
+
+def record_of(entity: Entity, text: Column) -> Column:
+    """Per field of ``entity`` a struct of its value and its JSON type; null when the
+    text is not one JSON object. A type is null where the field is missing. Values are
+    those of the field's own type, so a number sent as text is none."""
+    document = F.col(DOCUMENT)
+    whole = F.try_variant_get(document, "$[1]", "string") == _seal(text)
+    wanted = ", ".join(f"`{name}` variant" for name in entity.columns)
+    fields = F.try_variant_get(document, "$[0]", f"struct<{wanted}>")
+    cells = []
+    for field in entity.schema:
+        cell = fields.getField(field.name)
+        kind = F.schema_of_variant(cell)
+        value = F.try_variant_get(cell, "$", field.dataType.simpleString())
+        right = _right_kind(field.dataType, kind)
+        cells.append(F.struct(F.when(right, value).alias("value"), kind.alias("kind")).alias(field.name))
+    return F.when(whole & fields.isNotNull(), F.struct(*cells))
+
+
+def _right_kind(kind: T.DataType, sent: Column) -> Column:
+    """Whether a JSON value of type ``sent`` may stand in a field of type ``kind``."""
+    if isinstance(kind, T.StringType):
+        return sent == "STRING"
+    if isinstance(kind, T.BooleanType):
+        return sent == "BOOLEAN"
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return sent.isin("STRING", "BIGINT")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        # Text may name a number that is none, or is endless: told apart below.
+        return sent.isin("BIGINT", "DOUBLE", "STRING") | sent.startswith("DECIMAL")
+    return sent == "BIGINT"
+
+
+def strict_reason(entity: Entity, text: Column, record: Column, uuids) -> Column:
     """Why a message breaks the full contract, or null when it keeps it.
 
     The text must be valid UTF-8 and one JSON object with every expected field
     present (null is a value), every field must have its type, numbers must be
-    finite, and every UUID column must hold one. ``at`` finds a field by name; UUIDs
-    are in canonical form, null when invalid. Needs the columns of ``with_facts``.
+    finite, and every UUID column must hold one. ``record`` is that of
+    :func:`record_of`; ``uuids`` finds the canonical form of a UUID column, null when
+    invalid. Only a message without a record is looked at again, to say why.
     """
-    present = F.col(FIELDS)
-    names = F.array(*[F.lit(name) for name in entity.columns])
     reason = (
         F.when(~F.col(SOUND), F.lit("not UTF-8 text"))
-        .when(present.isNull(), F.lit("not a JSON object"))
-        .when(~F.col(WHOLE), F.lit("not one JSON document"))
-        .when(F.size(F.array_except(names, present)) > 0, F.lit("missing field"))
-        .when(corrupt.isNotNull(), F.lit("wrong type"))
+        .when(
+            record.isNull(),
+            F.when(F.json_object_keys(text).isNull(), F.lit("not a JSON object")).otherwise(
+                F.lit("not one JSON document")
+            ),
+        )
     )
+    missing, wrong, endless = F.lit(False), F.lit(False), F.lit(False)
     for field in entity.schema:
+        value, kind = record[field.name]["value"], record[field.name]["kind"]
+        missing = missing | kind.isNull()
+        wrong = wrong | (value.isNull() & (kind != "VOID"))
         if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
             # Not a number counts as greater than infinity.
-            endless = F.abs(at(field.name)) >= F.lit(float("inf"))
-            reason = reason.when(endless, F.lit("number out of range"))
+            beyond = F.coalesce(F.abs(value) >= F.lit(float("inf")), F.lit(False))
+            endless = endless | beyond
+            wrong = wrong | ((kind == "STRING") & ~beyond)
+    reason = (
+        reason.when(missing, F.lit("missing field"))
+        .when(wrong, F.lit("wrong type"))
+        .when(endless, F.lit("number out of range"))
+    )
     for name in entity.uuids:
-        reason = reason.when(at(name).isNull(), F.lit(f"invalid {name}"))
+        reason = reason.when(uuids(name).isNull(), F.lit(f"invalid {name}"))
     return reason
 
 
@@ -143,13 +174,15 @@ def grade_lenient(messages: DataFrame, entity: Entity) -> DataFrame:
 def grade_strict(messages: DataFrame, entity: Entity) -> DataFrame:
     """As :func:`grade_lenient`, with the full contract."""
     text = message_text(F.col("value"))
-    record = F.from_json(text, with_corrupt(entity), {"columnNameOfCorruptRecord": CORRUPT})
-    judged = with_facts(messages, text, _record=record)
-    parsed = judged.select("*", "_record.*").drop("_record")
-    graded = canonical_keys(parsed, entity).withColumn(
-        REASON, strict_reason(entity, F.col(CORRUPT))
+    parsed = with_documents(messages, text)
+    read = parsed.select(
+        *messages.columns, SOUND, F.inline(F.array(F.struct(record_of(entity, text).alias("_record"))))
     )
-    return graded.drop(CORRUPT, FIELDS, WHOLE, SOUND, *[as_sent(n) for n in entity.uuids])
+    cells = {name: F.col("_record")[name]["value"] for name in entity.columns}
+    cells |= {name: canonical_uuid(cells[name]) for name in entity.uuids}
+    graded = read.withColumns(cells)
+    reason = strict_reason(entity, text, F.col("_record"), F.col)
+    return graded.withColumn(REASON, reason).drop("_record", SOUND)
 
 
 def accepted(graded: DataFrame) -> DataFrame:

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstream.operators.sample import _free
+from tillstream.workspace import fixed
+
 GROUP_DIGITS = 4  # at most 16 ** 4 groups, whatever the size of the table
 
 
@@ -35,24 +38,60 @@ def with_ordinal(rows: DataFrame, keys: Sequence[str], name: str = "ordinal") ->
     )
 
 
+def by_position(rows: DataFrame, name: str = "ordinal") -> DataFrame:
+    """Number the rows 0, 1, 2, ... in the order in which they are read.
+
+    The rows are checkpointed in the shared folder, so their order stands, whatever is
+    lost or done again; read anew, files of another layout may come in another order.
+    Each task counts its own; how many rows lie before a task, one
+    number each, is all that is ever seen together. No row moves and none is sorted.
+    """
+    stored = fixed(rows)
+    place, task = _free(rows, "_place"), _free(rows, "_task")
+    number = F.monotonically_increasing_id()  # task above 33 bits, place below
+    placed = stored.withColumns(
+        {task: F.shiftright(number, 33), place: number.bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+    before = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy(F.col(task).alias("_at"))
+        .count()
+        .select("_at", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    )
+    return (
+        placed.join(F.broadcast(starts), F.col(task) == F.col("_at"))
+        .withColumn(name, F.col("_start") + F.col(place))
+        .drop(task, place, "_at", "_start")
+    )
+
+
 def pick_reference(
     rows: DataFrame,
     number: Column,
     targets: DataFrame,
     keys: Sequence[str],
     columns: dict[str, str],
+    *,
+    as_read: bool = False,
 ) -> DataFrame:
     """Join each row to the target at position ``number`` modulo their count.
 
+    Targets are numbered by the hash of their ``keys``, whatever their order, or
+    ``as_read``, which moves none of them (:func:`by_position`).
     ``columns`` maps target columns to their names in the result. Numbers may have
     either sign; a row without a number stays, without a reference. The positions
     are spread evenly, so the join has no hot key; whether the targets are small
     enough to be sent to every task is left to Spark's own size check.
     """
-    total = targets.count()
+    wanted = targets.select(*dict.fromkeys([*keys, *columns]))
+    if as_read:
+        numbered = by_position(wanted, "_ordinal")
+        total = numbered.count()
+    else:
+        total = targets.count()
+        numbered = with_ordinal(wanted, keys, "_ordinal")
     if total == 0:
         raise ValueError("there is no row to refer to")
-    numbered = with_ordinal(targets.select(*dict.fromkeys([*keys, *columns])), keys, "_ordinal")
     picked = numbered.select(
         "_ordinal", *[F.col(old).alias(new) for old, new in columns.items()]
     )

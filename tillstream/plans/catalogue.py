@@ -30,9 +30,10 @@ from tillstream.operators.latest import (
     merge_then_filter,
     upsert,
 )
-from tillstream.operators.reference import pick_reference, with_ordinal
-from tillstream.operators.sample import exact_sample
+from tillstream.operators.reference import by_position, pick_reference, with_ordinal
+from tillstream.operators.sample import sample_rows
 from tillstream.operators.transforms import sellable_products, standing_orders
+from tillstream.plans.changes import sync_all_changed
 from tillstream.plans.sync import sync_all
 from tillstream.sources.generate import (
     generate_customers,
@@ -453,6 +454,46 @@ def sync_index_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return _stacked(parts)
 
 
+def documents_null_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of orders of which every seventh has no date."""
+    orders = load(spark, folder, "orders")
+    date = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderdate"))
+    rows = orders.select(
+        derived_uuid("order", F.col("o_orderkey")).alias("order_id"),
+        derived_uuid("customer", F.col("o_custkey")).alias("customer_id"),
+        F.lit(None).cast("string").alias("product_id"),
+        date.alias("order_date"),
+        (F.col("o_orderkey") % 5 + 1).cast("int").alias("quantity"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    return to_documents(rows, MAPPERS["orders"], FIRST_SYNC)
+
+
+def sync_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Sync, then sync what changed: products without stock get another title, those of
+    unknown stock come new, cancelled orders are gone, and nothing else is written."""
+    store = open_store(spark, folder, "changes")
+    first = {n: partial(view, spark, folder) for n, view in VIEWS.items()}
+    title = F.when(F.col("stock") == 0, F.concat("title", F.lit("*"))).otherwise(F.col("title"))
+    second = {
+        **first,
+        "products": lambda: first["products"]().withColumn("title", title),
+        "orders": lambda: standing_orders(first["orders"]()),
+    }
+    known = {**first, "products": lambda: first["products"]().filter("stock is not null")}
+    for tables, stamp in ((known, FIRST_SYNC), (second, SECOND_SYNC)):
+        failed = [r for r in sync_all_changed(store, tables, synced=stamp) if r.error]
+        if failed:
+            raise RuntimeError(str(failed))
+    parts = []
+    for e in ENTITIES.values():
+        rows = store.index(e).current(spark)
+        gone = store.gone(e).current(spark).select("id", F.col("last_synced").alias("gone_since"))
+        listed = rows.select("id", payload(rows, e).alias("payload"), "last_synced")
+        parts.append(listed.join(gone, "id", "left").withColumn("index_name", F.lit(e.index)))
+    return _stacked(parts)
+
+
 # --- generators and sampling ------------------------------------------------
 
 
@@ -512,7 +553,7 @@ def payments_rejected(spark: SparkSession, folder: str) -> DataFrame:
 
 def exact_sample_orders(spark: SparkSession, folder: str) -> DataFrame:
     orders = load(spark, folder, "orders")
-    return exact_sample(orders, orders.count() // 2, ["o_orderkey"])
+    return sample_rows(orders, orders.count() // 2, ["o_orderkey"])
 
 
 def customers_numbered(spark: SparkSession, folder: str) -> DataFrame:
@@ -520,7 +561,15 @@ def customers_numbered(spark: SparkSession, folder: str) -> DataFrame:
     return with_ordinal(customers, ["c_custkey"])
 
 
-def reference_pick(spark: SparkSession, folder: str) -> DataFrame:
+def customers_by_position(spark: SparkSession, folder: str) -> DataFrame:
+    return by_position(load(spark, folder, "customer").select("c_custkey", "c_name"))
+
+
+def reference_pick_by_position(spark: SparkSession, folder: str) -> DataFrame:
+    return reference_pick(spark, folder, as_read=True)
+
+
+def reference_pick(spark: SparkSession, folder: str, as_read: bool = False) -> DataFrame:
     """For every order a customer and a part, chosen anew."""
     orders = load(spark, folder, "orders").select("o_orderkey")
 
@@ -529,10 +578,20 @@ def reference_pick(spark: SparkSession, folder: str) -> DataFrame:
 
     customers, parts = load(spark, folder, "customer"), load(spark, folder, "part")
     with_customer = pick_reference(
-        orders, number("customer"), customers, ["c_custkey"], {"c_custkey": "customer_key"}
+        orders,
+        number("customer"),
+        customers,
+        ["c_custkey"],
+        {"c_custkey": "customer_key"},
+        as_read=as_read,
     )
     return pick_reference(
-        with_customer, number("part"), parts, ["p_partkey"], {"p_partkey": "part_key"}
+        with_customer,
+        number("part"),
+        parts,
+        ["p_partkey"],
+        {"p_partkey": "part_key"},
+        as_read=as_read,
     )
 
 
@@ -568,7 +627,11 @@ def _catalogue() -> dict[str, Query]:
         payments_rejected,
         exact_sample_orders,
         customers_numbered,
+        customers_by_position,
         reference_pick,
+        reference_pick_by_position,
+        sync_changes,
+        documents_null_dates,
     ]
     found = {query.__name__: query for query in named}
     for name, entity in ENTITIES.items():

@@ -287,6 +287,32 @@ EXPECTED: dict[str, str] = {
         + {"products": "stock > 0", "orders": "status <> 'Cancelled'"}.get(n, "true")
         + f" then '{SECOND_SYNC}' else '{FIRST_SYNC}' end as last_synced from {v}"
     ),
+    "documents_null_dates": f"""select {_uid("order", "o_orderkey")} as id,
+      {_uid("customer", "o_custkey")} as customer_id, cast(null as varchar) as product_id,
+      case when o_orderkey % 7 <> 0 then {_iso("o_orderdate")} end as order_date,
+      cast(o_orderkey % 5 + 1 as int) as quantity, o_orderstatus as status,
+      '{FIRST_SYNC}' as last_synced from orders""",
+    "sync_changes": _union(
+        lambda n, v: f"select 'ecommerce_{n}' as index_name, {KEYS[n]} as id, "
+        + (
+            PAYLOADS[n].replace("cast(title as", "cast(title || case when stock = 0 then '*' else '' end as")
+            if n == "products"
+            else PAYLOADS[n]
+        )
+        + " as payload, "
+        + (
+            f"case when coalesce(stock, 0) = 0 then '{SECOND_SYNC}' else '{FIRST_SYNC}' end"
+            if n == "products"
+            else f"'{FIRST_SYNC}'"
+        )
+        + " as last_synced, "
+        + (
+            f"case when status = 'Cancelled' then '{SECOND_SYNC}' end"
+            if n == "orders"
+            else "cast(null as varchar)"
+        )
+        + f" as gone_since from {v}"
+    ),
     "generated_products": GENERATED_PRODUCTS,
     "generated_customers": GENERATED_CUSTOMERS,
     "generated_orders": GENERATED_ORDERS.format(key=""),
@@ -300,6 +326,15 @@ EXPECTED: dict[str, str] = {
         <= (select count(*) // 2 from orders)""",
     "customers_numbered": f"select c_custkey, c_name, {_NUMBERED.format(key='c_custkey')} "
     "as ordinal from customer",
+    "customers_by_position": "select c_custkey, c_name, row_number() over (order by c_custkey) - 1 "
+    "as ordinal from customer",
+    "reference_pick_by_position": f"""select o_orderkey, c_custkey as customer_key, p_partkey as part_key
+      from (select o_orderkey,
+          {_wide(_digest("customer", "o_orderkey"))} % (select count(*) from customer) as cn,
+          {_wide(_digest("part", "o_orderkey"))} % (select count(*) from part) as pn
+        from orders) o
+      join (select c_custkey, row_number() over (order by c_custkey) - 1 as n from customer) c on c.n = o.cn
+      join (select p_partkey, row_number() over (order by p_partkey) - 1 as n from part) p on p.n = o.pn""",
     "reference_pick": f"""select o_orderkey, c_custkey as customer_key, p_partkey as part_key
       from (select o_orderkey,
           {_wide(_digest("customer", "o_orderkey"))} % (select count(*) from customer) as cn,

@@ -22,6 +22,7 @@ from tillstream.operators.latest import latest_per_key
 
 POSITION_DDL = "timestamp timestamp, partition int, offset bigint"
 LETTER_COLUMNS = ("topic", "partition", "offset", "timestamp", "value", "reason")
+GONE_DDL = "id string, last_synced string"
 LETTER_DDL = (
     "topic string, partition int, offset bigint, timestamp timestamp, value binary, reason string"
 )
@@ -122,6 +123,10 @@ class Store:
         """A table of documents; call once per job, before the write."""
         self._create(index, ddl, "id")
 
+    def ensure_gone(self, entity: Entity) -> None:
+        """A table of the ids that an index has and its source has no more."""
+        self._create(f"gone_{entity.index}", GONE_DDL, "id")
+
     def _create(self, table: str, ddl: str, *keys: str) -> None:
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.database}.{table} ({ddl}) USING parquet "
@@ -146,6 +151,9 @@ class Store:
     def index(self, entity: Entity) -> KeyedTable:
         return self._keyed(entity.index, ["id"], ["last_synced"])
 
+    def gone(self, entity: Entity) -> KeyedTable:
+        return self._keyed(f"gone_{entity.index}", ["id"], ["last_synced"])
+
     def copy_to(self, other: Store) -> Store:
         """Fold old versions away: the current rows, written into another store.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
 
@@ -31,3 +31,12 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new, unused folder name below the shared root."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def fixed(rows: DataFrame) -> DataFrame:
+    """Rows checkpointed in the shared folder: their order and content stand from now on,
+    and executors may be lost without work being done again."""
+    context = rows.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(shared_root(rows.sparkSession))
+    return rows.checkpoint()
