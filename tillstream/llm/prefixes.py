@@ -25,10 +25,11 @@ from tillstream.llm.lookup import Lookup
 from tillstream.llm.transducer import LETTER, NUMBER, OTHER, SPACE, split_contractions
 
 NEVER = 1 << 60
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 IDS_AT_ONCE = 1 << 19
+TEXT_BYTES = 1 << 20
 MEMO_BYTES = 64  # longer words are not remembered
-PAIRS = 1_000_000
+PAIRS = 500_000
 
 
 def ranks_of(path: str) -> dict[bytes, int]:
@@ -57,21 +58,20 @@ class Vocabulary:
                     self.ends.append(-1)
             self.ends[node] = number
         self.unbuilt: set[int] = set()
-        self._steps: dict[int, tuple[list, list] | None] = {}
+        self._steps: dict[int, tuple | None] = {}
         self.apart: dict[int, bool] = {}
         for token in self.name:
             self.steps(token)
 
-    def steps(self, token: int) -> tuple[list, list] | None:
-        """How the merges build a token out of its bytes: (rank, part) each time its
-        first part grows, and the same for its last part, the single bytes first and an
-        endless wait at the end. None if they never build it."""
+    def steps(self, token: int) -> tuple[tuple, tuple, tuple] | None:
+        """How the merges build a token out of its bytes: the ranks of the merges in
+        their order, and the first and the last part before the first merge and after
+        each one, as tokens. None if they never build it."""
         if token in self._steps:
             return self._steps[token]
         name, rank = self.name[token], self.rank
         parts = [name[i : i + 1] for i in range(len(name))]
-        heads, tails = [], []
-        head, tail, now = parts[0], parts[-1], -1
+        ranks, heads, tails = [], [rank[parts[0]]], [rank[parts[-1]]]
         while True:
             pairs = [rank.get(a + b, NEVER) for a, b in pairwise(parts)]
             best = min(pairs, default=NEVER)
@@ -79,44 +79,45 @@ class Vocabulary:
                 break
             at = pairs.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            now = best
-            heads.append((now, parts[0]))
-            tails.append((now, parts[-1]))
-        built = ([(-1, head), *heads, (NEVER, b"")], [(-1, tail), *tails, (NEVER, b"")])
+            ranks.append(best)
+            heads.append(rank[parts[0]])
+            tails.append(rank[parts[-1]])
+        built = (*ranks, NEVER), tuple(heads), tuple(tails)
         if len(parts) > 1:
             built = None
             self.unbuilt.add(token)
         self._steps[token] = built
-        return self._steps[token]
+        return built
 
-    def stay_apart(self, left: int, right: int) -> bool:
+    def judge(self, left: int, right: int) -> bool:
         """Whether the merges leave two tokens side by side as they are: both are built
         at the same time, lowest rank first and of equals the leftmost, and no pair
         across their border may come first."""
-        key = left << 32 | right
-        known = self.apart.get(key)
-        if known is not None:
-            return known
-        steps, rank = self.steps(right), self.rank
-        result = steps is not None
-        tails, heads = self.steps(left)[1], steps[0] if result else [(-1, b""), (NEVER, b"")]
-        i = j = 0
+        one, two = self.steps(left), self.steps(right)
+        if one is None or two is None:
+            return False
+        (in_left, _, tails), (in_right, heads, _) = one, two
+        name, rank, i, j = self.name, self.rank, 0, 0
         while True:
-            in_left, in_right = tails[i + 1][0], heads[j + 1][0]
-            across = rank.get(tails[i][1] + heads[j][1], NEVER)
-            if across < in_left and across <= in_right:
-                result = False
-                break
-            if in_left == in_right == NEVER:
-                break
-            if in_left <= in_right:
+            across = rank.get(name[tails[i]] + name[heads[j]], NEVER)
+            if across < in_left[i] and across <= in_right[j]:
+                return False
+            if in_left[i] == in_right[j] == NEVER:
+                return True
+            if in_left[i] <= in_right[j]:
                 i += 1
             else:
                 j += 1
-        if len(self.apart) > PAIRS:
-            self.apart.clear()
-        self.apart[key] = result
-        return result
+
+    def stay_apart(self, left: int, right: int) -> bool:
+        """:meth:`judge`, remembered."""
+        key = left << 32 | right
+        known = self.apart.get(key)
+        if known is None:
+            if len(self.apart) > PAIRS:
+                self.apart.clear()
+            known = self.apart[key] = self.judge(left, right)
+        return known
 
 
 class PrefixTable:
@@ -261,8 +262,10 @@ class Codec:
         keys = left.astype(np.int64) << 32 | right
         known = self.pairs.find(keys)
         if known.min(initial=0) < 0:
+            if self.pairs.held > 4 * PAIRS:
+                self.pairs, known = Lookup(20), np.full(len(keys), -1)
             fresh = np.unique(keys[known < 0])
-            judged = [self.vocabulary.stay_apart(k >> 32, k & 0xFFFFFFFF) for k in fresh.tolist()]
+            judged = [self.vocabulary.judge(k >> 32, k & 0xFFFFFFFF) for k in fresh.tolist()]
             self.pairs.add(fresh, np.array(judged, dtype=np.int32))
             known = self.pairs.find(keys)
         return known == 1
@@ -474,7 +477,7 @@ def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(path)
         for batch in batches:
-            for at, to in spans(batch.column("text")):
+            for at, to in spans(batch.column("text"), TEXT_BYTES):
                 some = batch.slice(at, to - at)
                 ids = codec.encode(some.column("text").to_pylist())
                 edge = np.cumsum([0, *map(len, ids)]).astype(np.int32)
