@@ -69,3 +69,49 @@ def test_cassandra_statements():
 
 def test_refused_documents_are_passed_over():
     assert connectors.index_options("h")["es.write.rest.error.handlers"] == "log"
+
+
+def test_late_older_versions_carry_the_older_write_time(spark):
+    rows = spark.sql(
+        "select 'k' as id, 1 as n, timestamp_millis(m) as timestamp, 0 as partition, o as offset "
+        "from values (1700000000000, 4l), (1700000000000, 5l), (1700000000001, 1l), "
+        "(1699999999999, 999l), (null, 7l) as v(m, o)"
+    )
+    sent = connectors.written_columns(rows, ["id", "n"], True)
+    assert sent.columns == ["id", "n", connectors.WRITE_TIME]
+    times = [r[2] for r in sent.collect()]
+    assert times[3] < times[0] < times[1] < times[2] and times[4] is None
+    assert times[0] == 1_700_000_000_000_004
+    fine = rows.withColumn("timestamp", F.timestamp_micros(F.lit(1_700_000_000_000_123)))
+    assert {r[2] for r in connectors.written_columns(fine, ["id", "n"], True).collect()} == {
+        1_700_000_000_000_123
+    }
+    assert connectors.written_columns(rows, ["id"], False).columns == ["id"]
+
+
+def test_write_time_is_an_option_of_the_writer(spark, monkeypatch):
+    seen = {}
+
+    class Writer:
+        def format(self, name):
+            seen["format"] = name
+            return self
+
+        def options(self, **options):
+            seen.update(options)
+            return self
+
+        def mode(self, name):
+            return self
+
+        def save(self):
+            seen["saved"] = True
+
+    frame = type(spark.range(0))
+    monkeypatch.setattr(frame, "write", property(lambda self: Writer()))
+    rows = spark.sql("select 1 as id, current_timestamp() as timestamp, 2l as offset")
+    connectors.cassandra_writer("k", "t", ["id"], "h", by_position=True)(rows)
+    assert seen["writetime"] == connectors.WRITE_TIME and seen["saved"]
+    seen.clear()
+    connectors.cassandra_writer("k", "t", ["id"], "h")(rows)
+    assert "writetime" not in seen and seen["table"] == "t"

@@ -12,6 +12,7 @@ import hashlib
 import logging
 import os
 import sys
+import threading
 from collections.abc import Callable
 from datetime import datetime
 from functools import partial
@@ -22,17 +23,14 @@ from tillstream.entities import ENTITIES, KEYSPACE, POSITION, Entity
 from tillstream.operators.documents import FOREIGN_KEYS, MAPPERS
 from tillstream.operators.transforms import step_for
 from tillstream.jobs import side_by_side
+from tillstream.plans.changes import sync_all_changed
 from tillstream.plans.sync import sync_all, sync_table
 from tillstream.sources import connectors, topics
 from tillstream.sources.generate import SEED, Sizes, generate_all
 from tillstream.sources.keyed import Store
-from tillstream.streaming.ingest import (
-    ALL_AVAILABLE,
-    finish_all,
-    start_routed,
-    start_topic,
-)
+from tillstream.streaming.ingest import ALL_AVAILABLE, start_routed, start_topic
 from tillstream.streaming.progress import ProgressLog
+from tillstream.streaming.supervise import Start, Supervisor, drained_by
 
 Writer = Callable[[DataFrame], None]
 
@@ -50,6 +48,7 @@ def parser() -> argparse.ArgumentParser:
     ingest = jobs.add_parser("ingest", help="all topics into raw tables")
     transform = jobs.add_parser("transform", help="each topic into its transformed table")
     sync = jobs.add_parser("sync", help="tables into search documents")
+    sync.add_argument("--changed", action="store_true", help="only new and changed documents")
     jobs.add_parser("ddl", help="print the statements for the Cassandra tables")
     for job in (generate, ingest, transform):
         where = job.add_mutually_exclusive_group(required=True)
@@ -105,7 +104,7 @@ def _store(spark: SparkSession, args: argparse.Namespace) -> Store:
 def _target(args: argparse.Namespace, table: str, columns: list[str], own: Writer) -> Writer:
     if not args.cassandra:
         return own
-    return connectors.cassandra_writer(KEYSPACE, table, columns, args.cassandra)
+    return connectors.cassandra_writer(KEYSPACE, table, columns, args.cassandra, by_position=True)
 
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> bool:
@@ -117,32 +116,35 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> bool:
         )
         for name, entity in ENTITIES.items()
     }
-    query = start_routed(
+    draining = threading.Event()
+    start = partial(
+        start_routed,
         messages,
         writers,
         store.letters("raw").append,
         _checkpoints(args),
         trigger=_trigger(args),
+        closed=draining.is_set,
     )
-    return _run([query])
+    return _run(spark, {"raw": start}, draining)
 
 
 def run_transform(spark: SparkSession, args: argparse.Namespace) -> bool:
-    store, queries = _store(spark, args), []
+    store, starts, draining = _store(spark, args), {}, threading.Event()
     for name, entity in ENTITIES.items():
         table = store.table(entity)
         columns = table.versions(spark).drop(*POSITION).columns
-        queries.append(
-            start_topic(
-                _messages(spark, args, entity.topic),
-                entity,
-                _target(args, name, columns, table.append_folded),
-                store.letters(name).append,
-                _checkpoints(args),
-                trigger=_trigger(args),
-            )
+        starts[name] = partial(
+            start_topic,
+            _messages(spark, args, entity.topic),
+            entity,
+            _target(args, name, columns, table.append_folded),
+            store.letters(name).append,
+            _checkpoints(args),
+            trigger=_trigger(args),
+            closed=draining.is_set,
         )
-    return _run(queries)
+    return _run(spark, starts, draining)
 
 
 def _checkpoints(args: argparse.Namespace) -> str:
@@ -156,12 +158,11 @@ def _trigger(args: argparse.Namespace) -> dict | None:
     return ALL_AVAILABLE if args.once else None
 
 
-def _run(queries: list) -> bool:
-    try:
-        finish_all(queries)
-    except KeyboardInterrupt:
-        pass
-    return True
+def _run(spark: SparkSession, starts: dict[str, Start], draining: threading.Event) -> bool:
+    """Until all streams have ended or a signal drains them; whether none was given up."""
+    supervisor = Supervisor(spark, starts, draining=draining)
+    with drained_by(supervisor):
+        return not any(supervisor.run().values())
 
 
 def run_sync(spark: SparkSession, args: argparse.Namespace) -> bool:
@@ -178,6 +179,13 @@ def run_sync(spark: SparkSession, args: argparse.Namespace) -> bool:
         return step_for(entity.name)(rows) if args.merge_first else rows
 
     tables = {name: partial(read, entity) for name, entity in ENTITIES.items()}
+    if args.changed:
+        if args.elasticsearch:
+            raise SystemExit("--changed compares with the store's own indices")
+        found = sync_all_changed(store, tables, none_text=args.none_text)
+        for report in found:
+            logging.getLogger("tillstream").info("%s", report)
+        return all(report.error is None for report in found)
     if not args.elasticsearch:
         done = sync_all(store, tables, none_text=args.none_text)
     else:

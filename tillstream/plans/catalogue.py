@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from datetime import datetime
 from functools import partial
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstream.entities import CUSTOMERS, ENTITIES, PRODUCTS, TRANSACTIONS, Entity
+from tillstream.entities import CUSTOMERS, ENTITIES, POSITION, PRODUCTS, TRANSACTIONS, Entity
 from tillstream.functions.draws import digest, wide_draw
 from tillstream.functions.ids import canonical_uuid, derived_uuid
 from tillstream.functions.isotime import iso_date, iso_seconds, iso_text, moment_of
@@ -18,6 +19,7 @@ from tillstream.functions.wire import (
     REASON,
     accepted,
     decode,
+    grade_lenient,
     grade_strict,
     message_text,
     parse_fields,
@@ -59,7 +61,11 @@ from tillstream.streaming.ingest import (
     finish_all,
     start_all,
     start_raw,
+    start_topic,
+    write_log,
 )
+from tillstream.streaming.changes import read_changes, start_changes
+from tillstream.streaming.supervise import Supervisor
 from tillstream.workspace import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -391,6 +397,51 @@ def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream_changes_only(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions are published twice; only the first time anything changes."""
+    place, changes = fresh_folder(spark, "topics"), fresh_folder(spark, "changes")
+    rows = VIEWS["transactions"](spark, folder)
+    for _ in range(2):
+        _sent(publish(rows, TRANSACTIONS.topic, folder_writer(place)))
+        graded = grade_lenient(stream_folder(spark, place), TRANSACTIONS)
+        start_changes(
+            accepted(graded),
+            TRANSACTIONS,
+            changes,
+            f"{place}-checkpoints",
+            name=changes.rsplit("/", 1)[1],
+            trigger=ALL_AVAILABLE,
+        ).awaitTermination()
+    return naive(read_changes(spark, TRANSACTIONS, changes).drop(*POSITION))
+
+
+def stream_drained_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of one file a batch is drained after its first batch, and goes on later."""
+    place, store = fresh_folder(spark, "topics"), open_store(spark, folder, "drained")
+    rows = VIEWS["transactions"](spark, folder)
+    for part in range(3):
+        some = rows.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == part)
+        _sent(publish(some.coalesce(1), TRANSACTIONS.topic, folder_writer(place)))
+    for drained in (True, False):
+        draining = threading.Event()
+        start = partial(
+            start_topic,
+            stream_folder(spark, place, files_per_batch=1),
+            TRANSACTIONS,
+            store.table(TRANSACTIONS).append_folded,
+            store.letters(TRANSACTIONS.name).append,
+            f"{store.folder}/checkpoints",
+            name=f"{store.database}_{TRANSACTIONS.name}",
+            trigger=ALL_AVAILABLE,
+            closed=draining.is_set,
+            report=(lambda _, end=draining: end.set()) if drained else write_log,
+        )
+        failed = Supervisor(spark, {"transactions": start}, draining=draining).run()
+        if any(failed.values()):
+            raise RuntimeError(str(failed))
+    return naive(store.table(TRANSACTIONS).versions(spark).drop(*POSITION))
+
+
 def batch_reports(spark: SparkSession, folder: str) -> DataFrame:
     """How many messages each topic's stream read and rejected."""
     place, store = _published(spark, folder), open_store(spark, folder, "reported")
@@ -617,6 +668,8 @@ def _catalogue() -> dict[str, Query]:
         route_by_topic,
         stream_replay_unchanged,
         stream_dead_letters,
+        stream_changes_only,
+        stream_drained_resumed,
         batch_reports,
         publish_topic,
         sync_index_upsert,

@@ -266,6 +266,8 @@ EXPECTED: dict[str, str] = {
         f" union all select 'dead ecommerce-{n}', null, 'not a JSON object' from supplier"
         for n in VIEW_NAMES
     ),
+    "stream_changes_only": VIEWS_SQL + "select * from transactions",
+    "stream_drained_resumed": VIEWS_SQL + "select * from transactions",
     "stream_replay_unchanged": VIEWS_SQL + "select * from transactions",
     "stream_dead_letters": " union all ".join(
         f"""select '{way}' as way, 'ecommerce-{n}' as topic, '{{"run":' || run || ',"supplier":'

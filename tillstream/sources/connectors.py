@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.entities import ENTITIES, Entity
 
 KAFKA = "kafka"
 CASSANDRA = "org.apache.spark.sql.cassandra"
+WRITE_TIME = "written_at"
 ELASTICSEARCH = "org.elasticsearch.spark.sql"
 
 
@@ -86,18 +88,51 @@ def raw_name(entity: Entity) -> str:
     return f"raw_{entity.name}"
 
 
+def write_time(timestamp: Column, offset: Column) -> Column:
+    """When a version was written, in microseconds, as the store takes it: of two versions
+    of a key the one with the greater time stays, whichever arrives last.
+
+    Brokers stamp messages to the millisecond. The microseconds they leave open hold the
+    end of the offset, so versions of one millisecond keep their order too, but where a
+    thousand of offsets ends between them. Without a timestamp there is no write time.
+    """
+    micros = F.unix_micros(timestamp)
+    return F.when(micros % 1000 == 0, micros + F.pmod(offset, F.lit(1000))).otherwise(micros)
+
+
 def cassandra_writer(
-    keyspace: str, table: str, columns: Iterable[str], host: str | None = None
+    keyspace: str,
+    table: str,
+    columns: Iterable[str],
+    host: str | None = None,
+    *,
+    by_position: bool = False,
 ) -> Callable[[DataFrame], None]:
-    """Append, which on a table with a primary key inserts or replaces."""
+    """Append, which on a table with a primary key inserts or replaces.
+
+    ``by_position`` gives each row the write time of its message (its columns
+    ``timestamp`` and ``offset``), so that a late older version never replaces a newer
+    one; otherwise the time of writing counts.
+    """
     names, options = list(columns), cassandra_options(keyspace, table, host)
+    if by_position:
+        options["writetime"] = WRITE_TIME
 
     def write(rows: DataFrame) -> None:
-        rows.select(*names).write.format(CASSANDRA).options(**options).mode("append").save()
+        chosen = written_columns(rows, names, by_position)
+        chosen.write.format(CASSANDRA).options(**options).mode("append").save()
 
     return write
 
 
+def written_columns(rows: DataFrame, names: Iterable[str], by_position: bool) -> DataFrame:
+    """What is sent of ``rows``: the table's columns and, if wanted, the write time."""
+    own = [F.col(name) for name in names]
+    if by_position:
+        own.append(write_time(F.col("timestamp"), F.col("offset")).alias(WRITE_TIME))
+    return rows.select(*own)
+
+
 def index_options(nodes: str, port: int = 9200) -> dict[str, str]:
     """A document that the index refuses is logged and passed over; the others of its
     table are written."""

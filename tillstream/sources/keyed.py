@@ -106,12 +106,15 @@ class Store:
         """The bucket count is kept with the files; another one is refused, as its
         tables would be new and empty."""
         place = f"{self.folder}/_layout"
+        fresh = self.spark.createDataFrame([(str(self.buckets),)], "value string")
         try:
-            known = int(self.spark.read.text(place).first()[0])
-        except AnalysisException:
-            fresh = self.spark.createDataFrame([(str(self.buckets),)], "value string")
-            fresh.coalesce(1).write.mode("overwrite").text(place)
+            # Of several jobs that start together one writes it; an existing one stays.
+            fresh.coalesce(1).write.mode("error").text(place)
             return
+        except AnalysisException as failure:
+            if failure.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+        known = int(self.spark.read.text(place).first()[0])
         if known != self.buckets:
             raise ValueError(f"{self.folder} has {known} buckets, not {self.buckets}")
 

@@ -53,6 +53,15 @@ class BatchReport:
 
 
 Report = Callable[[BatchReport], None]
+Closed = Callable[[], bool]
+
+
+class Drained(RuntimeError):
+    """A batch was not begun, because the stream is being drained."""
+
+
+def never() -> bool:
+    return False
 
 
 def write_log(report: BatchReport) -> None:
@@ -70,11 +79,13 @@ def start_topic(
     step: Step | None = None,
     trigger: dict | None = None,
     report: Report = write_log,
+    closed: Closed = never,
 ) -> StreamingQuery:
     """Parse, transform and store the messages of one topic.
 
     ``write`` receives at most one row per key and batch, the latest, together
-    with its position in the topic.
+    with its position in the topic. While ``closed`` says so no further batch is begun:
+    the query then ends by ``Drained``, at a batch's border.
     """
     name, step = name or entity.name, step or step_for(entity.name)
     graded = grade_lenient(live_messages(messages).select(*ENVELOPE), entity)
@@ -83,7 +94,7 @@ def start_topic(
         kept = accepted(batch).drop("topic", "value", REASON)
         write(latest_per_key(step(kept), [entity.key], POSITION))
 
-    return _start(graded, name, [land], write_rejected, checkpoints, trigger, report)
+    return _start(graded, name, [land], write_rejected, checkpoints, trigger, report, closed)
 
 
 def start_routed(
@@ -95,6 +106,7 @@ def start_routed(
     name: str = "raw",
     trigger: dict | None = None,
     report: Report = write_log,
+    closed: Closed = never,
 ) -> StreamingQuery:
     """One subscription over many topics; each message goes to its entity's writer."""
     entities = [ENTITIES[n] for n in writers]
@@ -108,7 +120,7 @@ def start_routed(
         return land
 
     landers = [lander(e) for e in entities]
-    return _start(graded, name, landers, write_rejected, checkpoints, trigger, report)
+    return _start(graded, name, landers, write_rejected, checkpoints, trigger, report, closed)
 
 
 def _start(
@@ -119,8 +131,11 @@ def _start(
     checkpoints: str,
     trigger: dict | None,
     report: Report,
+    closed: Closed,
 ) -> StreamingQuery:
     def on_batch(batch: DataFrame, number: int) -> None:
+        if closed():
+            raise Drained(f"{name} is drained before batch {number}")
         # Messages are fetched and parsed once per batch, by the count, and kept
         # for all writes below.
         seen = batch.persist()
