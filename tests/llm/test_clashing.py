@@ -61,7 +61,7 @@ def test_operators_with_columns_of_their_own(spark, docs):
     assert len(apart(simhash_groups(docs))) == len(TEXTS)
     assert len(apart(pack(docs, tokenizer("word_bpe_49k.json")))) == len(TEXTS)
     assert len(apart(token_counts(docs, tokenizer("byte_bpe_50k.json"), 5))) == len(TEXTS)
-    assert len(apart(duplicate_lines(docs))) == 2
+    assert len(apart(duplicate_lines(docs))) == 3  # also the short line
     vectors = docs.select("*", F.col("doc_id").alias("vec_id"), F.array(F.lit(1.0)).alias("embedding"),
                           F.lit(1).alias("label"), F.lit(1).alias("N_LINKS"), F.lit(1).alias("src"))
     assert {r.n_links for r in apart(near_vectors(vectors))} == {len(TEXTS) - 1}
