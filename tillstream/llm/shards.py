@@ -31,15 +31,15 @@ def shuffled_shards(
     Position in that order decides shard and slot. The text is part of the hash, so
     rows sharing a key spread. Rows equal in key and text would meet in one bucket:
     where they fill it, equal rows are counted (before any shuffle) and each copy gets
-    its number, which is then part of the hash (:func:`_apart`). Tasks hold about two
-    buckets' bytes, however large the table. Null keys and texts hash like any value; no
+    its number, which is then part of the hash (:func:`_apart`). Tasks hold about one
+    bucket's bytes, however large the table. Null keys and texts hash like any value; no
     row is ever dropped.
     """
     docs = without(docs, ("shard", "slot"))
     size = F.octet_length(or_empty(F.col(text))) + 16
     n_bytes = docs.agg(F.sum(size)).first()[0] or 0
     n_buckets = max(4 * n_shards, -(-n_bytes // bucket_bytes))
-    n_tasks = max(1, min(n_buckets, -(-n_bytes // (2 * bucket_bytes))))
+    n_tasks = max(1, min(n_buckets, -(-n_bytes // bucket_bytes)))
     same = (F.col(key), F.col(text))
     bucket = F.pmod(F.xxhash64(F.lit(seed), *same), F.lit(n_buckets))
     order = F.xxhash64(F.lit(seed + 1), *same)
