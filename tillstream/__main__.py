@@ -24,8 +24,9 @@ from tillstream.operators.documents import FOREIGN_KEYS, MAPPERS
 from tillstream.operators.transforms import step_for
 from tillstream.jobs import side_by_side
 from tillstream.plans.changes import sync_all_changed
-from tillstream.plans.sync import sync_all, sync_table
+from tillstream.plans.sync import sync_all, sync_listed, sync_table
 from tillstream.sources import connectors, topics
+from tillstream.sources.bulk import elastic_bulk
 from tillstream.sources.generate import SEED, Sizes, generate_all
 from tillstream.sources.keyed import Store
 from tillstream.streaming.ingest import ALL_AVAILABLE, start_routed, start_topic
@@ -64,6 +65,11 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--buckets", type=int, required=True, help="fixed for a store's life")
         job.add_argument("--cassandra", metavar="HOST")
     sync.add_argument("--elasticsearch", metavar="HOST")
+    sync.add_argument(
+        "--list-refused",
+        action="store_true",
+        help="send documents without the connector and store those that the index refuses",
+    )
     sync.add_argument("--raw", action="store_true", help="read the raw tables")
     sync.add_argument(
         "--merge-first",
@@ -186,7 +192,16 @@ def run_sync(spark: SparkSession, args: argparse.Namespace) -> bool:
         for report in found:
             logging.getLogger("tillstream").info("%s", report)
         return all(report.error is None for report in found)
-    if not args.elasticsearch:
+    if args.list_refused:
+        if not args.elasticsearch:
+            raise SystemExit("--list-refused belongs to --elasticsearch")
+        done = sync_listed(
+            store,
+            tables,
+            lambda entity: elastic_bulk(args.elasticsearch, entity.index),
+            none_text=args.none_text,
+        )
+    elif not args.elasticsearch:
         done = sync_all(store, tables, none_text=args.none_text)
     else:
         jobs = [
@@ -203,7 +218,7 @@ def run_sync(spark: SparkSession, args: argparse.Namespace) -> bool:
         done = side_by_side(spark, jobs)
     for report in done:
         logging.getLogger("tillstream").info(
-            "%s: %d documents, %d without id, error: %s", *vars(report).values()
+            "%s: %d documents, %d without id, error: %s, %d refused", *vars(report).values()
         )
     return all(report.error is None for report in done)
 

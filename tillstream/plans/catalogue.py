@@ -36,7 +36,8 @@ from tillstream.operators.reference import by_position, pick_reference, with_ord
 from tillstream.operators.sample import sample_rows
 from tillstream.operators.transforms import sellable_products, standing_orders
 from tillstream.plans.changes import sync_all_changed
-from tillstream.plans.sync import sync_all
+from tillstream.plans.sync import sync_all, sync_listed
+from tillstream.sources.bulk import Connect
 from tillstream.sources.generate import (
     generate_customers,
     generate_orders,
@@ -545,6 +546,43 @@ def sync_changes(spark: SparkSession, folder: str) -> DataFrame:
     return _stacked(parts)
 
 
+def _tenth_refused(_: Entity) -> Connect:
+    """An index that refuses about every tenth document, by the end of its id."""
+
+    def connect():
+        def reason(ident: str) -> str | None:
+            digits = int(ident[-4:], 16)
+            return f"unwanted id ending in {ident[-4:]}" if digits % 10 == 0 else None
+
+        return lambda documents: [reason(ident) for ident, _ in documents]
+
+    return connect
+
+
+def sync_refused(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document that the index refused, with its reason, and its entity's counts."""
+    store = open_store(spark, folder, "refused")
+    tables = {n: partial(view, spark, folder) for n, view in VIEWS.items()}
+    parts = []
+    reports = sync_listed(store, tables, _tenth_refused, synced=FIRST_SYNC)
+    for entity, report in zip(ENTITIES.values(), reports, strict=True):
+        if report.error:
+            raise RuntimeError(report.error)
+        rows = store.refused(entity).current(spark)
+        parts.append(
+            rows.select(
+                F.lit(entity.index).alias("index_name"),
+                "id",
+                "reason",
+                F.array_join(F.json_object_keys("document"), ",").alias("fields"),
+                "last_synced",
+                F.lit(report.refused).cast("bigint").alias("refused"),
+                F.lit(report.documents).cast("bigint").alias("taken"),
+            )
+        )
+    return _stacked(parts)
+
+
 # --- generators and sampling ------------------------------------------------
 
 
@@ -684,6 +722,7 @@ def _catalogue() -> dict[str, Query]:
         reference_pick,
         reference_pick_by_position,
         sync_changes,
+        sync_refused,
         documents_null_dates,
     ]
     found = {query.__name__: query for query in named}

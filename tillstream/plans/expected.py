@@ -112,6 +112,14 @@ MESSAGE_FIELDS = {
     "transactions": "transaction_id,order_id,payment_method,payment_date,amount,status",
 }
 
+DOCUMENT_FIELDS = {
+    "products": "id,title,price,category,description,stock",
+    "customers": "id,signup_date,name,email,location,loyalty_status",
+    "orders": "id,customer_id,product_id,order_date,quantity,status",
+    "transactions": "id,order_id,payment_method,payment_date,amount,status",
+}
+_UNWANTED = "(cast('0x' || substr(k, 33) as int) % 10 = 0)"
+
 LATEST = "qualify row_number() over (partition by user_id order by event_id desc) = 1"
 EVENT = "event_id, ts, user_id, event_type, value, props"
 
@@ -315,6 +323,14 @@ EXPECTED: dict[str, str] = {
         )
         + f" as gone_since from {v}"
     ),
+    "sync_refused": _union(
+        lambda n, v: f"select index_name, id, 'unwanted id ending in ' || substr(id, 33) as reason, "
+        f"'{DOCUMENT_FIELDS[n]},last_synced' as fields, '{FIRST_SYNC}' as last_synced, refused, taken "
+        f"from (select 'ecommerce_{n}' as index_name, {KEYS[n]} as id, {_UNWANTED} as unwanted, "
+        f"count(*) filter ({_UNWANTED}) over () as refused, "
+        f"count(*) filter (not {_UNWANTED}) over () as taken "
+        f"from (select *, {KEYS[n]} as k from {v})) where unwanted"
+    ),
     "generated_products": GENERATED_PRODUCTS,
     "generated_customers": GENERATED_CUSTOMERS,
     "generated_orders": GENERATED_ORDERS.format(key=""),

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.entities import ENTITIES, POSITION, Entity
 from tillstream.operators.latest import latest_per_key
+from tillstream.sources.bulk import REFUSED_DDL
 
 POSITION_DDL = "timestamp timestamp, partition int, offset bigint"
 LETTER_COLUMNS = ("topic", "partition", "offset", "timestamp", "value", "reason")
@@ -130,6 +131,10 @@ class Store:
         """A table of the ids that an index has and its source has no more."""
         self._create(f"gone_{entity.index}", GONE_DDL, "id")
 
+    def ensure_refused(self, entity: Entity) -> None:
+        """A table of the documents that an index outside refused."""
+        self._create(f"refused_{entity.index}", REFUSED_DDL, "id")
+
     def _create(self, table: str, ddl: str, *keys: str) -> None:
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.database}.{table} ({ddl}) USING parquet "
@@ -157,6 +162,9 @@ class Store:
     def gone(self, entity: Entity) -> KeyedTable:
         return self._keyed(f"gone_{entity.index}", ["id"], ["last_synced"])
 
+    def refused(self, entity: Entity) -> KeyedTable:
+        return self._keyed(f"refused_{entity.index}", ["id"], ["last_synced"])
+
     def copy_to(self, other: Store) -> Store:
         """Fold old versions away: the current rows, written into another store.
 
