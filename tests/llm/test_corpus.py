@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tillstream.llm import expected, urls
+from tillstream.llm import mix as mix_module
 from tillstream.llm.catalogue import DOMAINS, LANGUAGES, SOURCES, mixed, tokenizer
 from tillstream.llm.components import components
 from tillstream.llm.exact import exact_groups
@@ -112,7 +113,11 @@ def test_shards_do_not_keep_the_order(spark):
     assert 900 < rises < 1100
 
 
-def test_mix_matches_sql(spark, docs, tmp_path):
+@pytest.mark.parametrize(("leaf_bytes", "hot"), [(32 << 20, 1000), (0, 8), (0, 1)])
+def test_mix_matches_sql(spark, docs, monkeypatch, leaf_bytes, hot):
+    """With all leaves sent to every task, with only the larger ones, and with none."""
+    monkeypatch.setattr(mix_module, "BROADCAST_BYTES", leaf_bytes)
+    monkeypatch.setattr(mix_module, "HOT_LEAVES", hot)
     frame = docs.select("doc_id", "text", "lang", "source").toPandas()
     frame = frame[frame.doc_id.notna()].drop_duplicates()
     frame["doc_id"] = frame["doc_id"].astype("int64")

@@ -14,6 +14,12 @@ SEED = 42
 HASH_DIGITS = 15
 SLOT_ROWS = 2048
 
+# All leaves go to every task while their names and numbers take no more than this;
+# beyond it only the leaves that hold over one row in so many do.
+BROADCAST_BYTES = 32 << 20
+LEAF_BYTES = 64
+HOT_LEAVES = 1000
+
 
 def word_count(text: Column) -> Column:
     return F.regexp_count(or_empty(text), F.lit(WORD)).cast("long")
@@ -108,6 +114,22 @@ def _place(epoch: Column, key: Column, text: Column, seed: int) -> Column:
     return F.substring(F.md5(marked), 1, HASH_DIGITS)
 
 
+def _by_leaf(
+    rows: DataFrame, leaves: DataFrame, levels: list[str], hot: DataFrame | None, how: str = "inner"
+) -> DataFrame:
+    """``rows`` joined with one row per leaf, which goes to every task while all leaves
+    are small together (``hot`` is None). Else only the ``hot`` leaves, of which there are
+    at most ``HOT_LEAVES``, do so; rows of the others, none of which holds more than
+    its share of one in so many, are shuffled by leaf."""
+    if hot is None:
+        return rows.join(F.broadcast(leaves), levels, how)
+    few = F.broadcast(hot)
+    wide = leaves.join(few, levels, "left_semi")
+    near = rows.join(few, levels, "left_semi").join(F.broadcast(wide), levels, how)
+    far = rows.join(few, levels, "left_anti").join(leaves, levels, how)
+    return near.unionByName(far)
+
+
 def mix_sources(
     docs: DataFrame,
     tree: Sequence[tuple[str, Column]],
@@ -153,7 +175,13 @@ def mix_sources(
         )
     )
     capacity = leaves.withColumn("capacity", F.col("held") * max_epochs)
-    everything = leaves.agg(F.sum("held")).first()[0] or 0
+    name_bytes = sum((F.octet_length(name) for name in levels), F.lit(LEAF_BYTES))
+    everything, n_rows, n_bytes = leaves.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)) for c in (F.col("held"), F.col("rows"), name_bytes)]
+    ).first()
+    hot = None
+    if n_bytes > BROADCAST_BYTES:
+        hot = leaves.filter(F.col("rows") * HOT_LEAVES > n_rows).select(*levels)
     part, whole = share
     total = everything * part // whole
     given_out = kept_safe(
@@ -166,8 +194,7 @@ def mix_sources(
             F.ceil(F.col("rows") / SLOT_ROWS).alias("_slots"),
         )
     )
-    # A row per leaf: bounded by the tree, a few thousand names at most.
-    planned = placed.join(F.broadcast(given_out), levels).withColumn(
+    planned = _by_leaf(placed, given_out, levels, hot).withColumn(
         "_place", _place(F.col("_full"), F.col("_key"), F.col("_text"), seed)
     )
     number = F.conv(F.substring("_place", 1, 8), 16, 10).cast("long")
@@ -186,7 +213,7 @@ def mix_sources(
         .groupBy(*levels)
         .agg(F.min(F.struct("_slot", (F.col("_upto") - F.col("_sum")).alias("spent"))).alias("_cut"))
     )
-    cut = planned.join(F.broadcast(edges), levels, "left")
+    cut = _by_leaf(planned, edges, levels, hot, "left")
     inside = F.col("_rest") > 0
     slot, edge = F.col("_slot"), F.col("_cut._slot")
     below = inside & (edge.isNull() | (slot < edge))
