@@ -66,6 +66,15 @@ from tillstream.streaming.ingest import (
     write_log,
 )
 from tillstream.streaming.changes import read_changes, start_changes
+from tillstream.streaming.sketches import (
+    DISTINCT_ERROR,
+    QUANTILES,
+    RANK_ERROR,
+    delay,
+    estimates,
+    merged,
+    start_sketches,
+)
 from tillstream.streaming.supervise import Supervisor
 from tillstream.workspace import fresh_folder
 
@@ -464,6 +473,44 @@ def batch_reports(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Users and delays per type of event from sketches of four batches, merged, and
+    whether they lie within their bounds of what all events say."""
+    place, events = fresh_folder(spark, "sketches"), load(spark, folder, "events")
+    events.repartition(4, "event_id").write.parquet(f"{place}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    kind, ts = ["event_type"], F.col("ts")
+    start_sketches(
+        stream.parquet(f"{place}/events"),
+        kind,
+        F.col("user_id"),
+        ts,
+        f"{place}/sketches",
+        f"{place}/checkpoint",
+        name=place.rsplit("/", 1)[1],
+        as_of=AS_OF,
+        trigger=ALL_AVAILABLE,
+    ).awaitTermination()
+    found = estimates(merged(spark.read.parquet(f"{place}/sketches"), kind))
+    late = delay(ts, AS_OF)
+    named = {q: f"delay_{round(q * 100)}" for q in QUANTILES}
+    truth = events.join(F.broadcast(found), kind).groupBy(*kind, "rows", "distinct_keys").agg(
+        F.count_distinct("user_id").alias("users"),
+        *[
+            F.abs(F.avg((late <= F.col(n)).cast("int")) - q).alias(n)
+            for q, n in named.items()
+        ],
+    )
+    off = F.abs(F.col("distinct_keys") - F.col("users"))
+    return truth.select(
+        *kind,
+        "rows",
+        "users",
+        (off <= DISTINCT_ERROR * F.col("users")).alias("users_close"),
+        *[(F.col(n) <= RANK_ERROR).alias(f"{n}_close") for n in named.values()],
+    )
+
+
 def publish_topic(spark: SparkSession, folder: str) -> DataFrame:
     """Publish the entities, then read the topics back as text."""
     place = _publish_entities(spark, folder)
@@ -709,6 +756,7 @@ def _catalogue() -> dict[str, Query]:
         stream_changes_only,
         stream_drained_resumed,
         batch_reports,
+        stream_sketches,
         publish_topic,
         sync_index_upsert,
         generated_products,

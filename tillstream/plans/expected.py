@@ -287,6 +287,10 @@ EXPECTED: dict[str, str] = {
         lambda n, v: f"select '{n}' as topic, count(*) + (select count(*) from supplier) "
         f"as messages, (select count(*) from supplier) as rejected from {v}"
     ),
+    # True: estimates within 5 % of the users, quantiles within 2 % of rank.
+    "stream_sketches": """select event_type, count(*) as rows, count(distinct user_id) as users,
+      true as users_close, true as delay_50_close, true as delay_90_close, true as delay_99_close
+      from events group by event_type""",
     "publish_topic": _union(
         lambda n, v: f"select 'ecommerce-{n}' as topic, '{MESSAGE_FIELDS[n]}' as fields, "
         f"{KEYS[n]} as id, {PAYLOADS[n]} as payload from {v}"
