@@ -66,6 +66,7 @@ from tillstream.streaming.ingest import (
     write_log,
 )
 from tillstream.streaming.changes import read_changes, start_changes
+from tillstream.streaming.generated import run_until, stream_ids
 from tillstream.streaming.sketches import (
     DISTINCT_ERROR,
     QUANTILES,
@@ -674,6 +675,21 @@ def generated_transactions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def generated_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The customers as a stream of four batches, broken off half-way and started again."""
+    place, n = fresh_folder(spark, "made"), _numbered_keys(spark, folder, "customer", "c_custkey")
+    for upto in (n // 2, n):
+        query = start_append(
+            stream_ids(spark, n, -(-n // 4), tasks=4),
+            partial(generate_customers, as_of=AS_OF),
+            f"{place}/rows",
+            f"{place}/checkpoint",
+            name=place.rsplit("/", 1)[1],
+        )
+        run_until(query, upto)
+    return spark.read.parquet(f"{place}/rows")
+
+
 def payments_rejected(spark: SparkSession, folder: str) -> DataFrame:
     """Order dates as text, some unreadable and some after the payment window."""
     key = F.col("o_orderkey")
@@ -763,6 +779,7 @@ def _catalogue() -> dict[str, Query]:
         generated_customers,
         generated_orders,
         generated_transactions,
+        generated_stream,
         payments_rejected,
         exact_sample_orders,
         customers_numbered,

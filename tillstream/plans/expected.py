@@ -337,6 +337,7 @@ EXPECTED: dict[str, str] = {
     ),
     "generated_products": GENERATED_PRODUCTS,
     "generated_customers": GENERATED_CUSTOMERS,
+    "generated_stream": GENERATED_CUSTOMERS,
     "generated_orders": GENERATED_ORDERS.format(key=""),
     "generated_transactions": GENERATED_TRANSACTIONS,
     "payments_rejected": f"""select {_uid("order", "o_orderkey")} as order_id,
