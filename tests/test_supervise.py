@@ -8,6 +8,7 @@ import threading
 import time
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from helpers import key, land_file, messages, order, product
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tillstream.entities import ORDERS, PRODUCTS
 from tillstream.functions.wire import accepted, grade_lenient
 from tillstream.sources.topics import stream_folder
-from tillstream.streaming.changes import read_changes, start_changes
+from tillstream.streaming.changes import COLUMNS, judging, read_changes, start_changes
 from tillstream.streaming.ingest import ALL_AVAILABLE, never, start_topic
 from tillstream.streaming.supervise import Supervisor, drained_by
 
@@ -167,3 +168,49 @@ def test_changes_keep_every_value(spark, topics, tmp_path):
     ).first()
     assert row.order_date == datetime(2024, 1, 2, 3, 4, 5, 7) and row.quantity == 2
     assert row.timestamp is not None and row.offset == 0
+
+
+def test_keys_share_the_groups_of_the_state(spark, topics, tmp_path, monkeypatch):
+    monkeypatch.setattr("tillstream.streaming.changes.SLOTS", 2)
+    land_file(messages(spark, PRODUCTS.topic, [product(n) for n in range(1, 41)]), topics)
+    first = changes(spark, topics, tmp_path)
+    assert len(first) == 40
+    land_file(messages(spark, PRODUCTS.topic, [product(n) for n in range(1, 41)], start=50), topics)
+    land_file(messages(spark, PRODUCTS.topic, [product(7, title="x")], start=100), topics)
+    assert changes(spark, topics, tmp_path) == sorted([*first, (key(7), "x", 3, 100)], key=repr)
+
+
+class Held:
+    """A group's state at a time of our choice."""
+
+    def __init__(self):
+        self.now, self.hasTimedOut, self.get, self.due = 0, False, None, None
+
+    exists = property(lambda self: self.get is not None)
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
+
+    def update(self, value):
+        self.get = value
+
+    def remove(self):
+        self.get = None
+
+    def setTimeoutDuration(self, wait):
+        self.due = self.now + wait
+
+
+def test_each_key_of_a_slot_is_forgotten_in_its_own_time():
+    state, judge = Held(), judging(100)
+
+    def passed(now, *rows, timed_out=False):
+        state.now, state.hasTimedOut = now, timed_out
+        frames = [pd.DataFrame([(i, 1, 0, o, d, d) for i, o, d in rows], columns=COLUMNS)] if rows else []
+        return [row.id for frame in judge((0,), iter(frames), state) for row in frame.itertuples()]
+
+    assert passed(0, ("a", 1, "x"), ("b", 1, "x")) == ["a", "b"] and state.due == 100
+    assert passed(60, ("b", 1, "x")) == [] and state.due == 100
+    assert passed(110, timed_out=True) == [] and state.due == 160
+    assert passed(120, ("a", 1, "x"), ("b", 1, "x")) == ["a"]
+    assert passed(300, timed_out=True) == [] and not state.exists

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator
 from datetime import timedelta
 
 import pandas as pd
@@ -19,9 +20,14 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 # Keys time out in batches that have messages; without, a stream that takes what is there
 # and ends would run empty batches for ever.
 IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
-# Where the last version seen of a key stood, and what it said.
-STATE = "at bigint, partition int, offset bigint, digest string"
+# Keys share the groups of the state: a call of Python has a price of its own, which is paid
+# per group that has messages in a batch and not per key. Part of the checkpoint.
+SLOTS = 1 << 13
+# JSON: per key where the last version seen of it stood, what it said, and when a message
+# came last.
+STATE = "held string"
 SEEN = "id string, at bigint, partition int, offset bigint, digest string, row string"
+COLUMNS = ["id", "at", "partition", "offset", "digest", "row"]
 KEPT = timedelta(days=7)
 
 
@@ -36,6 +42,7 @@ def changes_only(records: DataFrame, entity: Entity, kept: timedelta = KEPT) ->
     """
     own = records.select(*entity.columns)
     seen = records.filter(F.col(entity.key).isNotNull()).select(
+        F.pmod(F.xxhash64(F.col(entity.key)), F.lit(SLOTS)).alias("slot"),
         F.col(entity.key).alias("id"),
         F.unix_micros(F.col("timestamp")).alias("at"),
         "partition",
@@ -43,37 +50,52 @@ def changes_only(records: DataFrame, entity: Entity, kept: timedelta = KEPT) ->
         F.md5(json_message(own)).alias("digest"),
         json_message(own).alias("row"),
     )
-    wait = int(kept.total_seconds() * 1000)
+    judged = seen.groupBy("slot").applyInPandasWithState(
+        judging(int(kept.total_seconds() * 1000)),
+        SEEN,
+        STATE,
+        "append",
+        GroupStateTimeout.ProcessingTimeTimeout,
+    )
+    placed = judged.withColumn("timestamp", F.timestamp_micros("at"))
+    return parse_fields(placed, F.col("row"), entity.message, *POSITION)
+
+
+def judging(wait: int) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    """What finds the changes among one slot's messages; keys idle for ``wait`` ms are
+    forgotten."""
 
     def judge(
-        key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
+        _: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        known = json.loads(state.get[0]) if state.exists else {}
+        now = state.getCurrentProcessingTimeMs()
+        latest: dict[str, tuple] = {}
+        for frame in () if state.hasTimedOut else frames:
+            for ident, *place, digest, row in zip(*[frame[c].tolist() for c in COLUMNS], strict=True):
+                place = [int(part) for part in place]
+                best = latest.get(ident)
+                if best is None or place > best[0]:
+                    latest[ident] = place, digest, row
+        changed = []
+        for ident, (place, digest, row) in latest.items():
+            held = known.get(ident)
+            if held is not None and place <= held[:3]:
+                held[4] = now
+                continue
+            if held is None or held[3] != digest:
+                changed.append((ident, *place, digest, row))
+            known[ident] = [*place, digest, now]
+        known = {ident: held for ident, held in known.items() if held[4] + wait > now}
+        if known:
+            state.update((json.dumps(known, separators=(",", ":")),))
+            state.setTimeoutDuration(min(held[4] for held in known.values()) + wait - now)
+        elif state.exists:
             state.remove()
-            return
-        best = None
-        for frame in frames:
-            last = frame.sort_values(["at", "partition", "offset"]).tail(1)
-            place = tuple(int(last[c].iloc[0]) for c in ("at", "partition", "offset"))
-            if best is None or place > best[0]:
-                best = place, last
-        state.setTimeoutDuration(wait)
-        if best is None:
-            return
-        place, last = best
-        held = state.get if state.exists else None
-        if held is not None and place <= tuple(held[:3]):
-            return
-        digest = last["digest"].iloc[0]
-        state.update((*place, digest))
-        if held is None or held[3] != digest:
-            yield last
-
-    judged = seen.groupBy("id").applyInPandasWithState(
-        judge, SEEN, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
-    )
-    placed = judged.withColumn("timestamp", F.timestamp_micros("at"))
-    return parse_fields(placed, F.col("row"), entity.message, *POSITION)
+        if changed:
+            yield pd.DataFrame(changed, columns=COLUMNS)
+
+    return judge
 
 
 def start_changes(
