@@ -135,6 +135,11 @@ def buckets_for(rows: int) -> int:
     return max(8, 1 << (rows // 1_000_000).bit_length())
 
 
+def files_for(rows: int) -> int:
+    """Files of about a quarter of a million messages, each written by a task of its own."""
+    return 1 + rows // 250_000
+
+
 # --- parsing and transforms -------------------------------------------------
 
 
@@ -427,17 +432,19 @@ def stream_changes_only(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_drained_resumed(spark: SparkSession, folder: str) -> DataFrame:
-    """A stream of one file a batch is drained after its first batch, and goes on later."""
+    """A stream of one delivery a batch is drained after its first batch, and goes on later."""
     place, store = fresh_folder(spark, "topics"), open_store(spark, folder, "drained")
     rows = VIEWS["transactions"](spark, folder)
+    files = files_for(_count(spark, folder, "orders") // 3)
     for part in range(3):
         some = rows.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == part)
-        _sent(publish(some.coalesce(1), TRANSACTIONS.topic, folder_writer(place)))
+        dealt = some.repartition(files, "transaction_id")
+        _sent(publish(dealt, TRANSACTIONS.topic, folder_writer(place)))
     for drained in (True, False):
         draining = threading.Event()
         start = partial(
             start_topic,
-            stream_folder(spark, place, files_per_batch=1),
+            stream_folder(spark, place, files_per_batch=files),
             TRANSACTIONS,
             store.table(TRANSACTIONS).append_folded,
             store.letters(TRANSACTIONS.name).append,
