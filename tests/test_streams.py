@@ -8,9 +8,10 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tillstream.entities import ENTITIES, ORDERS, PRODUCTS
-from tillstream.functions.wire import decode
+from tillstream.functions.wire import decode, rejected
 from tillstream.operators.transforms import sellable_products, standing_orders
 from tillstream.sources.topics import stream_folder
+from tillstream.streaming import ingest
 from tillstream.streaming.append import start_append
 from tillstream.streaming.ingest import (
     ALL_AVAILABLE,
@@ -250,3 +251,22 @@ def test_a_failing_stream_stops_the_others():
     with pytest.raises(RuntimeError, match="lost"):
         finish_all([fine, running, broken])
     assert running.stopped
+
+
+def test_a_batch_keeps_the_bytes_of_rejected_messages_only(spark, store, tmp_path, monkeypatch):
+    land_file(messages(spark, PRODUCTS.topic, [product(1), "{bad"]), tmp_path / "topics")
+    kept = []
+    monkeypatch.setattr(
+        ingest, "rejected", lambda seen: kept.extend(seen.collect()) or rejected(seen)
+    )
+    start_topic(
+        stream_folder(spark, str(tmp_path / "topics")),
+        PRODUCTS,
+        lambda rows: None,
+        store.letters("products").append,
+        str(tmp_path / "cp"),
+        trigger=ALL_AVAILABLE,
+    ).awaitTermination()
+    [letter] = store.letters("products").current(spark).collect()
+    assert bytes(letter.value) == b"{bad"
+    assert sorted((r.product_id, r.value is None) for r in kept if r.product_id) == [(key(1), True)]

@@ -213,3 +213,11 @@ def test_strict_grading_parses_each_message_once(spark):
     for frame in (grade_strict(sent, PRODUCTS), grade_by_topic(sent, ENTITIES.values())):
         plan = plan_of(accepted(frame))
         assert plan.count("parseJson") + plan.count("parse_json") == 1 and "from_json" not in plan
+
+
+def test_the_type_of_a_field_is_asked_for_once(spark):
+    frame = messages(spark, ORDERS.topic, [order(1)])
+    one, all_of = grade_strict(frame, ORDERS), grade_by_topic(frame, ENTITIES.values())
+    for graded, entities in ((one, [ORDERS]), (all_of, ENTITIES.values())):
+        asked = plan_of(graded).count("SchemaOfVariant.schemaOfVariant")
+        assert asked == sum(len(e.columns) for e in entities)
