@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pathlib import Path
 
+from helpers import key, plan_of
+
+from tillstream.entities import CUSTOMERS
 
 from tillstream.plans import catalogue
+from tillstream.sources import views
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -22,3 +26,17 @@ def test_a_delivery_is_written_by_many_tasks_and_read_in_one_batch(spark, tmp_pa
 
 def test_files_grow_with_the_rows():
     assert [catalogue.files_for(n) for n in (0, 249_999, 18_000_000)] == [1, 1, 73]
+
+
+def test_many_orders_are_dealt_out_before_they_are_wide(spark, monkeypatch):
+    before = {name: sorted(map(str, views.VIEWS[name](spark, SMALL).collect())) for name in ("orders", "transactions")}
+    monkeypatch.setattr(views, "ROWS_A_TASK", 100)
+    for name, rows in before.items():
+        wide = views.VIEWS[name](spark, SMALL)
+        assert "REPARTITION_BY_NUM" in plan_of(wide) and sorted(map(str, wide.collect())) == rows
+
+
+def test_tables_are_written_with_an_entropy_code(spark, store, tmp_path):
+    rows = spark.createDataFrame([(key(1), "n", "e", None, "l", "Gold", None, 0, 0)], f"{CUSTOMERS.message}, timestamp timestamp, partition int, offset bigint")
+    store.raw(CUSTOMERS).append(rows)
+    assert [f.name for f in Path(store.folder).glob("raw_customers*/*.zstd.parquet")]

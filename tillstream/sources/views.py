@@ -12,6 +12,17 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+# Rows of a task that derives entities: wide ones, which are sorted by key and should not
+# have to leave memory for it.
+ROWS_A_TASK = 500_000
+
+
+def spread(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """``rows``, still narrow, dealt out by ``key`` when they are many: a task of a scan gets
+    as many as fit 128 MB of compressed file, which is too many once they are wide."""
+    return rows.repartition(1 + n // ROWS_A_TASK, key) if n > 2 * ROWS_A_TASK else rows
+
+
 def _day(text_or_date: Column) -> Column:
     return text_or_date.cast("timestamp_ntz")
 
@@ -55,8 +66,10 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.min("l_partkey").alias("part"), F.min("l_quantity").alias("least"))
     )
     status = F.col("o_orderstatus")
+    found = load(spark, folder, "orders")
+    own = found.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     return (
-        load(spark, folder, "orders")
+        spread(own, "o_orderkey", found.count())
         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .select(
             derived_uuid("order", F.col("o_orderkey")).alias("order_id"),
@@ -78,8 +91,10 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
         F.when(key % 3 == 0, "Credit Card").when(key % 3 == 1, "PayPal").otherwise("Bank Transfer")
     )
     paid = F.date_add(F.col("o_orderdate").cast("date"), (key % 30).cast("int"))
+    found = load(spark, folder, "orders")
+    own = found.select("o_orderkey", "o_orderdate", "o_totalprice")
     return (
-        load(spark, folder, "orders")
+        spread(own, "o_orderkey", found.count())
         .select(
             derived_uuid("txn", key).alias("transaction_id"),
             derived_uuid("order", key).alias("order_id"),
