@@ -7,10 +7,12 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from tillstream.llm import expected, urls
+from tillstream.llm import common, expected, urls
 from tillstream.llm import mix as mix_module
+from tillstream.llm import pack as pack_module
 from tillstream.llm.catalogue import DOMAINS, LANGUAGES, SOURCES, mixed, tokenizer
 from tillstream.llm.components import components
 from tillstream.llm.exact import exact_groups
@@ -200,6 +202,47 @@ def test_simhash_tree_loses_no_pair(spark):
     assert [joined.find(i) for i in range(len(points))] == want
 
 
+def test_texts_are_packed_in_batches_of_bounded_bytes(spark, monkeypatch):
+    bound, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+
+    def sizes(path):
+        def run(batches):
+            for batch in batches:
+                rows, none = batch.num_rows, [0] * batch.num_rows
+                ids = [b"\0\0\0\0" * batch.column("text").nbytes] + [b""] * (rows - 1)
+                columns = [batch.column("key"), pa.array(none, pa.int32()), pa.array(none, pa.int64()),
+                           pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "part", "before", "doc_tokens", "ids"])
+
+        return run
+
+    def kept(rows, keep=pack_module.kept_safe):
+        held = keep(rows)
+        seen.append(max(r["doc_tokens"] for r in held.collect()) if "ids" in rows.columns else 0)
+        return held
+
+    monkeypatch.setattr(pack_module, "_encoded", sizes)
+    monkeypatch.setattr(pack_module, "kept_safe", kept)
+    texts = spark.range(0, 600, 1, 1).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("abcdefgh"), 2500).alias("text")
+    )
+    pack(texts, "", with_ids=False)
+    assert 20_000 < seen[0] < 2 * pack_module.BATCH_BYTES  # of 12 MB, 600 rows
+    assert spark.conf.get(bound, None) is None
+    with common.arrow_batches(spark, 1), common.arrow_batches(spark, 2):
+        assert spark.conf.get(bound) == "1"
+
+
+def test_mix_budget_starts_no_python(spark, docs, monkeypatch):
+    rows = mixed(docs).count()
+
+    def none(*args, **kwargs):
+        raise AssertionError("rows of a local list go through Python workers")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", none)
+    assert mixed(docs).count() == rows > 0
+
+
 def test_packed_pieces_hold_every_id_once(docs):
     from tokenizers import Tokenizer
 

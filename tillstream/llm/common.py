@@ -6,6 +6,7 @@ import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from itertools import pairwise
 from pathlib import Path
 
@@ -114,6 +115,22 @@ def give_back() -> None:
         trim(0)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """What is run inside hands rows to Python workers in batches of about ``size`` bytes,
+    a longer row alone, and not by the number of rows only. A bound that the session has
+    already is left."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound, None) is not None:
+        yield
+        return
+    spark.conf.set(bound, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(bound)
+
+
 def settled(
     work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -85,7 +85,9 @@ def leaf_budgets(
     """
     capacity = leaves.agg(F.sum("capacity")).first()[0] or 0
     spark = leaves.sparkSession
-    budgets = spark.createDataFrame([(min(total, capacity),)], "budget long")
+    # Not from a local list: that would start Python workers, which stay, for one number.
+    whole = F.lit(min(total, capacity)).cast("long")
+    budgets = spark.range(0, 1, 1, 1).select(whole.alias("budget"))
     for depth in range(1, len(tree) + 1):
         here, above = list(tree[:depth]), list(tree[: depth - 1])
         named = weights[depth - 1]

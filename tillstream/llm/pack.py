@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import (
+    arrow_batches,
     kept_safe,
     or_empty,
     running_totals,
@@ -37,6 +38,7 @@ from tillstream.llm.transducer import (
 WIDTH = 4096
 END_ID = 2
 SPAN_BYTES = 1 << 20
+BATCH_BYTES = 2 << 20
 
 IDS = "key {key}, part int, before long, doc_tokens long, ids binary"
 PIECES = (
@@ -194,11 +196,9 @@ def pack(
     """
     ship(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
-    encoded = kept_safe(
-        docs.select(F.col(key).alias("key"), or_empty(F.col(text)).alias("text")).mapInArrow(
-            _encoded(tokenizer), IDS.format(key=kind)
-        )
-    )
+    texts = docs.select(F.col(key).alias("key"), or_empty(F.col(text)).alias("text"))
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        encoded = kept_safe(texts.mapInArrow(_encoded(tokenizer), IDS.format(key=kind)))
     parts = kept_safe(encoded.groupBy("part").agg(F.sum("doc_tokens").alias("tokens")))
     starts = running_totals(parts, "part", "tokens").select("part", F.col("before").alias("base"))
     placed = encoded.join(small_side(starts, parts.count()), "part").select(
