@@ -6,8 +6,9 @@ import re
 import unicodedata
 from array import array
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ PIECE = 3  # characters of a short piece, at most
 CACHED = 40  # characters of a word, or of a run of pieces, that is remembered
 CACHE_WORDS = 100_000
 SPAN_CHARS = 1 << 20
+SCAN_CHARS = 1 << 18  # texts are scanned for what may bear a feature in runs of so many
 
 # What a written character may stand for.
 STANDS_FOR = {
@@ -47,6 +49,11 @@ _WORDY = re.compile(r"[^\W\d_](?:.*[^\W\d_])?", re.DOTALL).search
 _CORE = "".join(re.escape(c) for c in STANDS_FOR)
 _EDGES = re.compile(rf"^[^\w{_CORE}]+|[^\w{_CORE}]+$")
 _RUN = re.compile(r"(.)\1\1")
+_LONG = re.compile(rf"(?<!\S)\S{{{3 * PIECE + 1},}}")  # words that are no short pieces
+_SIGNS = "!,.:;?*#%&$|+()@"  # around a plain word they say nothing
+
+# What a code point is to the scan (see ``kinds_of``); WILD: what stands for a letter sought.
+LETTER, BLANK, MARK, SIGN, DIGIT, STRANGE, EDGE, WILD = (1 << n for n in range(8))
 
 
 def symbols_of() -> np.ndarray:
@@ -202,7 +209,7 @@ def plain_form(word: str, language: Language) -> str:
     letters = inner[0]
     if letters.isalpha() and not _RUN.search(letters):
         first, last = inner.span()
-        signs = (core[:first] + core[last:]).strip("!,.:;?*#%&$|+()@")
+        signs = (core[:first] + core[last:]).strip(_SIGNS)
         if not signs:
             return letters
     return language.restored(core)
@@ -212,25 +219,26 @@ def _short(word: str) -> bool:
     return len(word) <= PIECE or (len(word) <= 3 * PIECE and len(_EDGES.sub("", word)) <= PIECE)
 
 
-def short_runs(words: list[str], around: bool) -> Iterator[str]:
-    """Every maximal run of two or more short pieces, one blank between; with the word
-    before and after if ``around``."""
+def short_runs(words: list[str]) -> Iterator[str]:
+    """Every maximal run of two or more short pieces, one blank between."""
     at = 0
     while at < len(words):
         begin = at
         while at < len(words) and _short(words[at]):
             at += 1
         if at - begin > 1:
-            yield " ".join(words[max(0, begin - around) : at + around])
+            yield " ".join(words[begin:at])
         at += at == begin
 
 
-def plain_words(
-    text: str, language: Language, cache: dict[str, str], sought: Sought | None = None
-) -> set[str]:
+def passage_form(run: str, language: Language) -> str:
+    """A passage of several words as scored."""
+    return language.restored(run) if _WORDY(run) else ""
+
+
+def plain_words(text: str, language: Language, cache: dict[str, str]) -> set[str]:
     """The different words of a text, restored; runs of short pieces are also decoded
-    as one passage. With ``sought`` only the runs that can hold a feature are, then with the
-    words around them."""
+    as one passage."""
     listed = text.lower().split()
     if len(cache) > CACHE_WORDS:
         cache.clear()
@@ -242,14 +250,12 @@ def plain_words(
             if len(word) <= CACHED:
                 cache[word] = form
         out.update(form.split())
-    for run in set(short_runs(listed, sought is not None)):
+    for run in set(short_runs(listed)):
         if not run.isascii():
             run = unicodedata.normalize("NFKC", run)
-        if sought is not None and not sought.search(run):
-            continue
         form = cache.get(run)
         if form is None:
-            form = language.restored(run) if _WORDY(run) else ""
+            form = passage_form(run, language)
             if len(run) <= CACHED:
                 cache[run] = form
         out.update(form.split())
@@ -297,16 +303,245 @@ class Model:
     chance: dict[str, float]
     base: float
 
-    def score(self, words: set[str]) -> float:
+    def features_in(self, words: Iterable[str]) -> frozenset[str]:
+        return frozenset(f for w in words for f in features(w) if f in self.chance)
+
+    def score(self, words: Iterable[str]) -> float:
+        return self.score_of(self.features_in(words))
+
+    def score_of(self, found: Iterable[str]) -> float:
         """Chance that at least one cause makes the text toxic: the base rate of
-        texts without any feature, or one of the features found."""
-        found = {f for w in words for f in features(w) if f in self.chance}
+        texts without any feature, or one of the different features found."""
         clean = 1.0 - min(self.base, MAX_BASE)
-        for name in found:
+        for name in sorted(found):
             clean *= 1.0 - self.chance[name]
         return float(min(1.0, max(0.0, 1.0 - clean)))
 
 
+@cache
+def kinds_of() -> np.ndarray:
+    """Flags of every code point. ``LETTER``: a letter that normalisation leaves alone
+    wherever it stands. ``EDGE``: cut off around a word. ``SIGN`` and ``MARK``: says nothing
+    around a plain word, unless it has one of both. ``DIGIT``: ASCII digits and the
+    underscore. ``STRANGE``: no ASCII, and neither letter nor mark."""
+    kinds = np.full(0x110000, STRANGE, dtype=np.uint8)
+    for code in range(0x110000):
+        c = chr(code)
+        if c.isspace():
+            kinds[code] = BLANK
+            continue
+        edge = not (c.isalnum() or c == "_" or c in STANDS_FOR)
+        settled_form = code < 0x80 or (
+            (code < 0x1100 or 0x2000 <= code < 0x3000 or 0x3040 <= code < 0xD7A4)
+            and unicodedata.category(c)[0] != "M"
+            and unicodedata.normalize("NFKC", c) == c
+        )
+        if settled_form and c.isalpha():
+            kinds[code] = LETTER
+        elif settled_form and c in _SIGNS:
+            kinds[code] = 0 if edge else SIGN
+        elif settled_form and edge:
+            kinds[code] = MARK
+        elif code < 0x80:
+            kinds[code] = DIGIT
+        kinds[code] |= EDGE * edge
+    return kinds
+
+
+def _letters_of(kinds: np.ndarray) -> np.ndarray:
+    """Numbers of letters: a-z from 1, 27 for any other, 0 for what is none."""
+    letters = np.where(kinds & LETTER, 27, 0).astype(np.uint8)
+    letters[ord("a") : ord("z") + 1] = np.arange(1, 27)
+    return letters
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """A long text in pieces. A cut lies at a word that is no short piece and belongs to
+    both sides, so no passage, nor the words around it, is cut."""
+    begin = 0
+    while len(text) - begin > SCAN_CHARS:
+        word = _LONG.search(text, begin + SCAN_CHARS)
+        if word is None:
+            break
+        yield text[begin : word.end()]
+        begin = word.start()
+    yield text[begin:]
+
+
+NOTHING: frozenset[str] = frozenset()
+
+
+class Judge:
+    """Scores texts by a model. One scan over all characters of a span of texts finds the
+    words and passages that can bear a feature; only these are decoded, each exactly.
+
+    A word is passed over if it is plain (see ``plain_form``) and no feature begins with
+    its first four letters, or if it holds no letter. A run of short pieces, with the words
+    around it, is passed over if it holds nothing that stands for a letter of a feature and
+    nowhere, blanks, signs and repeats left out, the first four letters of one."""
+
+    def __init__(self, model: Model):
+        self.model, self.sought, self.cache = model, Sought(model.chance), {}
+        stems = {f.removesuffix("~") for f in model.chance}
+        self.kinds = kinds_of().copy()
+        for c in self.sought.fits:
+            if not "a" <= c <= "z":
+                self.kinds[ord(c)] |= WILD
+        self.kinds[(self.kinds & STRANGE) > 0] |= WILD
+        self.letters = _letters_of(self.kinds)
+        self.begins = np.zeros(28**4, dtype=bool)
+        self.passes = np.zeros((27,) * 4, dtype=bool)
+        self.all_runs = False
+        for stem in stems:
+            first = [int(self.letters[ord(c)]) for c in stem[:4]]
+            self.begins[_number(*first, *[0] * (4 - len(first)))] = True
+            if not all("a" <= c <= "z" for c in stem):
+                continue  # its other letters are wild
+            single = re.sub(r"(.)\1+", r"\1", stem)
+            self.all_runs |= len(single) < 2
+            self.passes[tuple(ord(c) - 96 for c in single[:4])] = True
+        self.passes = self.passes.reshape(-1)
+
+    def scores(self, texts: Iterable[str]) -> list[float]:
+        found, n_texts = {}, 0
+        some, held = [], 0
+        for text in texts:
+            for piece in _pieces(text.lower()):
+                some.append((n_texts, piece))
+                held += len(piece) + 1
+                if held > SCAN_CHARS:
+                    self._scan(some, found)
+                    some, held = [], 0
+            n_texts += 1
+        self._scan(some, found)
+        clean = self.model.score_of(NOTHING)
+        return [self.model.score_of(found[n]) if n in found else clean for n in range(n_texts)]
+
+    def _scan(self, pieces: list[tuple[int, str]], found: dict[int, set[str]]) -> None:
+        """Adds the features in pieces of texts to those found in each text."""
+        if not pieces or not self.model.chance:
+            return
+        joined = "".join(f"{piece}\n" for _, piece in pieces)
+        edges = np.cumsum([0, *(len(piece) + 1 for _, piece in pieces)])
+        words, passages = self._suspects(joined, edges)
+        for known, suspects in ((self._word, words), (self._passage, passages)):
+            for at, begin, end in zip(*suspects, strict=True):
+                names = known(joined[begin:end])
+                if names:
+                    found.setdefault(pieces[at][0], set()).update(names)
+
+    def _suspects(self, joined: str, edges: np.ndarray) -> tuple[tuple[list, list, list], ...]:
+        """(pieces, begins, ends) of the words, and of the passages, to be decoded; piece n
+        lies between ``edges`` n and n + 1 and ends with a blank."""
+        points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
+        kinds = self.kinds[points]
+        blank = (kinds & BLANK) > 0
+        turns = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        if not blank[0]:
+            turns = np.concatenate([[0], turns])
+        starts, ends = turns[::2], turns[1::2]
+        if not len(starts):
+            return ([], [], []), ([], [], [])
+        letters = np.concatenate([self.letters[points], np.zeros(3, dtype=np.uint8)])
+
+        def listed(begins: np.ndarray, finals: np.ndarray) -> tuple[list, list, list]:
+            pieces = np.searchsorted(edges, begins, "right") - 1
+            return pieces.tolist(), begins.tolist(), finals.tolist()
+
+        odd = self._odd(points, kinds, letters, starts)
+        first, last = self._runs(kinds, starts, ends, np.searchsorted(starts, edges))
+        begins, finals = starts[first], ends[last]
+        if not self.all_runs:
+            held = np.zeros(len(begins), dtype=bool)
+            for at in (np.flatnonzero(kinds & WILD), self._beginnings(letters)):
+                held |= np.searchsorted(at, begins) < np.searchsorted(at, finals)
+            begins, finals = begins[held], finals[held]
+        return listed(starts[odd], ends[odd]), listed(begins, finals)
+
+    def _odd(self, points, kinds, letters, starts) -> np.ndarray:
+        """Which words are not plain, or begin like a feature."""
+        plain = (kinds & LETTER) > 0
+        blocks = np.flatnonzero(plain & ~np.concatenate([[False], plain[:-1]]))
+        first = np.searchsorted(blocks, starts)
+        n_blocks = np.diff(np.concatenate([first, [len(blocks)]]))
+        kind = np.bitwise_or.reduceat(kinds, starts)
+        both = ((kind & MARK) > 0) & ((kind & SIGN) > 0)
+        odd = ((kind & STRANGE) > 0) | ((n_blocks > 0) & (both | ((kind & DIGIT) > 0)))
+        odd |= n_blocks > 1
+        same = points[1:] == points[:-1]
+        thrice = np.flatnonzero(same[1:] & same[:-1] & plain[2:])
+        odd[np.searchsorted(starts, thrice, "right") - 1] = True
+        rest = np.flatnonzero(~odd & (n_blocks > 0))
+        at = blocks[first[rest]]
+        one, two, three, four = (letters[at + n].astype(np.int32) for n in range(4))
+        three *= two > 0
+        four *= three > 0
+        odd[rest] = self.begins[_number(one, two, three, four)]
+        return odd
+
+    @staticmethod
+    def _runs(kinds, starts, ends, of_piece) -> tuple[np.ndarray, np.ndarray]:
+        """First and last word of each run of two or more short pieces in one piece of text,
+        the words around it included; ``of_piece``: the first word of each, and the end."""
+        length = ends - starts
+        short = length <= PIECE
+        edge = (kinds & EDGE) > 0
+        some = np.flatnonzero(~short & (length <= 3 * PIECE) & (edge[starts] | edge[ends - 1]))
+        if len(some):
+            step = np.arange(3 * PIECE)
+            inside = step < length[some, None]
+            kept = inside & ~edge[np.minimum(starts[some, None] + step, len(edge) - 1)]
+            begin, end = kept.argmax(1), len(step) - kept[:, ::-1].argmax(1)
+            short[some] = ~kept.any(1) | (end - begin <= PIECE)
+        opens = short & ~np.concatenate([[False], short[:-1]])
+        closes = short & ~np.concatenate([short[1:], [False]])
+        begun = of_piece[of_piece < len(short)]
+        opens[begun] = short[begun]
+        closed = of_piece[of_piece > 0] - 1
+        closes[closed] = short[closed]
+        first, last = np.flatnonzero(opens), np.flatnonzero(closes)
+        long = last > first
+        first, last = first[long], last[long]
+        at = np.searchsorted(of_piece, first, "right") - 1
+        return np.maximum(first - 1, of_piece[at]), np.minimum(last + 1, of_piece[at + 1] - 1)
+
+    def _beginnings(self, letters: np.ndarray) -> np.ndarray:
+        """Where the letters a-z, all else and repeats left out, go on like a feature."""
+        at = np.flatnonzero((letters > 0) & (letters < 27))
+        v = letters[at]
+        final = np.ones(len(v), dtype=bool)  # of equal letters the last one
+        final[:-1] = v[1:] != v[:-1]
+        at = at[final]
+        v = np.concatenate([v[final], np.zeros(3, dtype=np.uint8)]).astype(np.int32)
+        n = len(at)
+        return at[self.passes[((v[:n] * 27 + v[1 : n + 1]) * 27 + v[2 : n + 2]) * 27 + v[3 : n + 3]]]
+
+    def _word(self, word: str) -> frozenset[str]:
+        names = self.cache.get(word)
+        return self._names(word, plain_form) if names is None else names
+
+    def _passage(self, run: str) -> frozenset[str]:
+        run = " ".join(run.split())
+        if not run.isascii():
+            run = unicodedata.normalize("NFKC", run)
+        if not self.sought.search(run):
+            return NOTHING
+        names = self.cache.get(run)
+        return self._names(run, passage_form) if names is None else names
+
+    def _names(self, written: str, form: Callable[[str, Language], str]) -> frozenset[str]:
+        names = self.model.features_in(form(written, self.model.language).split()) or NOTHING
+        if len(written) <= CACHED:
+            if len(self.cache) > CACHE_WORDS:
+                self.cache.clear()
+            self.cache[written] = names
+        return names
+
+
+def _number(one, two, three, four):
+    return ((one * 28 + two) * 28 + three) * 28 + four
+
+
 def doc_words(docs: DataFrame, language: Language, carry: str) -> DataFrame:
     """(carry, features) for the bounded training sample."""
     kind = docs.schema[carry].dataType.simpleString()
@@ -449,13 +684,9 @@ def toxicity(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settle()
-        known, cache = ready.value, {}
-        sought = Sought(known.chance)
+        judge = Judge(ready.value)
         for batch in batches:
-            scores = [
-                known.score(plain_words(t.as_py(), known.language, cache, sought))
-                for t in batch.column(scored)
-            ]
+            scores = judge.scores(t.as_py() for t in batch.column(scored))
             names = [n for n in batch.schema.names if n != scored]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(n) for n in names], pa.array(scores, pa.float64())],
