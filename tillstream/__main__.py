@@ -98,8 +98,7 @@ def _messages(spark: SparkSession, args: argparse.Namespace, *names: str) -> Dat
     if args.kafka:
         size = args.per_batch or MESSAGES_PER_BATCH
         return connectors.kafka_stream(spark, args.kafka, *names, per_batch=size, tasks=args.tasks)
-    size = args.per_batch or topics.FILES_PER_BATCH
-    return topics.stream_folder(spark, args.topics, *names, files_per_batch=size)
+    return topics.stream_folder(spark, args.topics, *names, files_per_batch=args.per_batch)
 
 
 def _store(spark: SparkSession, args: argparse.Namespace) -> Store:
